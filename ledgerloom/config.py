@@ -54,6 +54,7 @@ class RunConfig:
     rates: Mapping[str, float] = field(default_factory=lambda: dict(DEFAULT_RATES))
     rules: tuple[MappingRule, ...] = DEFAULT_RULES
     reject_path: str | None = None
+    rules_everywhere: bool = False
     batch_prefix: str = "ETL"
 
 
@@ -71,6 +72,7 @@ def load_config(path: str, rules: Iterable[MappingRule] = DEFAULT_RULES) -> RunC
         rates={code: float(rate) for code, rate in raw["currency_rates"].items()},
         rules=tuple(rules),
         reject_path=settings.get("reject_path"),
+        rules_everywhere=bool(settings.get("rules_everywhere", False)),
         batch_prefix=settings.get("batch_id_prefix", "ETL"),
     )
 

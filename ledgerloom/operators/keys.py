@@ -11,7 +11,7 @@ PREFIX_LENGTH = 3
 
 
 def assign_keys(
-    df: DataFrame, id_column: str, key_column: str, taken: DataFrame | None = None
+    df: DataFrame, id_column: str, key_column: str, taken: DataFrame | int | None = None
 ) -> DataFrame:
     """Number rows ``max(taken) + 1, ...`` in the order of ``(md5(id), id)``.
 
@@ -27,7 +27,10 @@ def assign_keys(
     sizes = spread.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_size"))
     if taken is not None:
         # The empty prefix sorts before all others and carries the highest key in use.
-        used = taken.agg(F.coalesce(F.max(key_column), F.lit(0)).cast("bigint").alias("_size"))
+        if isinstance(taken, int):
+            used = df.sparkSession.range(1).select(F.lit(taken).cast("bigint").alias("_size"))
+        else:
+            used = taken.agg(F.coalesce(F.max(key_column), F.lit(0)).cast("bigint").alias("_size"))
         sizes = used.select(F.lit("").alias("_prefix"), "_size").unionByName(sizes)
     before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

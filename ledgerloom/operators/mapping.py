@@ -37,7 +37,7 @@ def usd_rate(currency: Column, rates: Mapping[str, float]) -> Column:
     if not rates:
         return F.lit(1.0)
     pairs = [F.lit(part) for code, rate in rates.items() for part in (code, float(rate))]
-    return F.coalesce(F.create_map(*pairs).getItem(F.upper(currency)), F.lit(1.0))
+    return F.coalesce(F.create_map(*pairs)[F.upper(currency)], F.lit(1.0))
 
 
 def currency_convert(

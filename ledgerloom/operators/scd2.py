@@ -79,7 +79,7 @@ def closed_versions(changed: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def opened_versions(changed: DataFrame, now: Column, taken: DataFrame | None = None) -> DataFrame:
+def opened_versions(changed: DataFrame, now: Column, taken: DataFrame | int | None = None) -> DataFrame:
     """One open version per new or updated company, with fresh surrogate keys."""
     opened = changed.select("company_id", F.col("new_name").alias("company_name"))
     keyed = assign_keys(opened, "company_id", "dim_company_sk", taken)
