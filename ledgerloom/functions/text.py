@@ -22,6 +22,6 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(strip(text), F.lit(""))
 
 
-def file_name() -> Column:
-    """Name of the file a row was read from, without its directory."""
-    return F.col("_metadata.file_name")
+def file_name(path: Column) -> Column:
+    """Last part of a file path."""
+    return F.substring_index(path, "/", -1)

@@ -13,17 +13,15 @@ from ledgerloom.functions import to_int, to_money
 from ledgerloom.schemas import STAGED_COMPANIES, STAGED_FINANCIALS
 
 
-def typed(df: DataFrame, name: str, dtype: T.DataType) -> Column:
-    """Column ``name`` of ``df`` as ``dtype``; values that do not fit the type become NULL."""
-    have = df.schema[name].dataType
-    column = F.col(name)
-    if have == dtype:
+def typed(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``column`` of type ``have`` as ``want``; values that do not fit the type become NULL."""
+    if have == want:
         return column
-    if isinstance(dtype, T.IntegerType):
+    if isinstance(want, T.IntegerType):
         return to_int(column, have)
-    if isinstance(dtype, T.DecimalType):
+    if isinstance(want, T.DecimalType):
         return to_money(column)
-    return column.try_cast(dtype)
+    return column.try_cast(want)
 
 
 def conform(
@@ -38,12 +36,13 @@ def conform(
     columns) replace whatever the frame holds under that name. One projection.
     """
     defaults, constants = defaults or {}, constants or {}
+    have = {field.name: field.dataType for field in df.schema}
 
     def column(field: T.StructField) -> Column:
         if field.name in constants:
             return constants[field.name].cast(field.dataType)
-        if field.name in df.columns:
-            return typed(df, field.name, field.dataType)
+        if field.name in have:
+            return typed(F.col(field.name), have[field.name], field.dataType)
         return F.lit(defaults.get(field.name)).cast(field.dataType)
 
     return df.select(*(column(field).alias(field.name) for field in schema))

@@ -30,15 +30,16 @@ def incremental(
     existing: DataFrame,
     keys: Sequence[str] = FACT_KEYS,
     null_safe: bool = False,
-    scope: str | None = "source_file",
+    scope: str | None = None,
 ) -> DataFrame:
     """Rows whose key is not among the ``existing`` ones.
 
     With plain keys a NULL never equals a NULL, so such a row always counts as new;
     ``null_safe`` treats NULLs as equal. Existing keys are made unique first, which
-    shrinks copies within each task before the shuffle, and ``scope`` first drops
-    existing rows of files that are not in this batch, so a load of new files does
-    not shuffle the keys of the whole fact table.
+    shrinks copies within each task before the shuffle. ``scope`` names a key; existing
+    rows whose scope is not in this batch are dropped first, so a load of new files
+    does not shuffle the keys of the whole fact table. It reads ``new`` twice: use it
+    where ``new`` is a stored table.
     """
     stored = existing.select(*keys)
     if scope is not None:
@@ -62,14 +63,16 @@ def project_fact(resolved: DataFrame, batch_id: str, as_of: Column | None = None
 
 def new_facts(
     staged: DataFrame, current_dimension: DataFrame, existing: DataFrame | None,
-    batch_id: str, as_of: Column | None = None, null_safe: bool = False,
+    batch_id: str, as_of: Column | None = None, null_safe: bool = False, scope: str | None = None,
 ) -> DataFrame:
     """Staged rows to append to the fact table.
 
     Known rows are dropped before the key lookup: the lookup neither adds nor drops
     rows, so the result is the same and the larger join handles new rows only.
     """
-    fresh = staged if existing is None else incremental(staged, existing, null_safe=null_safe)
+    fresh = staged if existing is None else incremental(
+        staged, existing, null_safe=null_safe, scope=scope
+    )
     return project_fact(resolve_keys(fresh, current_dimension), batch_id, as_of)
 
 

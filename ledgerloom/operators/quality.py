@@ -49,7 +49,8 @@ RULES: tuple[Rule, ...] = (MISSING_COMPANY_ID, INVALID_YEAR, PROFIT_FORMAT)
 
 
 def applicable(df: DataFrame, rules: Sequence[Rule], severity: str) -> list[Rule]:
-    return [r for r in rules if r.severity == severity and r.column in df.columns]
+    present = set(df.columns)
+    return [r for r in rules if r.severity == severity and r.column in present]
 
 
 def _never() -> Column:
@@ -145,10 +146,11 @@ def remove_duplicates(
     Filtering on rank 1 makes Spark keep one row per key and task *before* the
     shuffle (WindowGroupLimit), so a key holding a third of the rows costs one row per task.
     """
-    present = [k for k in keys if k in df.columns]
+    columns = df.columns
+    present = [k for k in keys if k in columns]
     if not present:
         return df
-    order = list(order_by or [c for c in df.columns if c not in present]) or present
+    order = list(order_by or [c for c in columns if c not in present]) or present
     window = Window.partitionBy(*present).orderBy(*(F.col(c).asc_nulls_last() for c in order))
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 

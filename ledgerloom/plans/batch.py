@@ -200,7 +200,8 @@ def load_facts(
         F.col("batch_id") != result.batch_id
     )
     fresh = facts.new_facts(
-        staged, DimensionStore(warehouse).current(), existing, result.batch_id, moment(at), null_safe
+        staged, DimensionStore(warehouse).current(), existing, result.batch_id, moment(at),
+        null_safe, scope="source_file",
     )
     result.facts = warehouse.write(fresh, FACTS, result.batch_id)
     stored = warehouse.read(FACTS, schemas.FINANCIAL_FACT, result.batch_id)

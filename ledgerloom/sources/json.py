@@ -7,6 +7,8 @@ a row of NULLs, an explicit ``null`` drops the record.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +27,30 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def is_object(value: Column) -> Column:
-    """Missing or an object. Anything else (null, text, list) cannot be descended into."""
-    return value.isNull() | kind(value).startswith("OBJECT")
+def is_object(value: Column, *members: Column) -> Column:
+    """Missing or an object. Anything else (null, text, list) cannot be descended into.
+
+    A value one of whose ``members`` was found is an object; only otherwise is its
+    type looked up, which walks the whole value.
+    """
+    known = F.when(value.isNull(), True)
+    for found in members:
+        known = known.when(found.isNotNull(), True)
+    return known.otherwise(kind(value).startswith("OBJECT"))
+
+
+def _fractional(plain: Column, sort: Column) -> Column:
+    # 100.0 is kept as a decimal of scale 0; a whole number that short would be a BIGINT.
+    whole = sort.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$")
+    shown = F.when(whole, F.concat(plain, F.lit(".0"))).otherwise(plain)
+    return F.when(plain.try_cast("double") != 0, shown)
 
 
-def text(value: Column) -> Column:
-    """A value as text; 0, false, empty text, empty containers and null become NULL."""
-    plain = F.try_variant_get(value, "$", "string")
-    sort = kind(value)
+def text_of(plain: Column, sort: Column) -> Column:
+    """Text of a value from its plain string and its kind.
+
+    0, false, empty text, empty containers and null become NULL.
+    """
     return (
         F.when(sort == "STRING", F.nullif(plain, F.lit("")))
         .when(sort == "BIGINT", F.nullif(plain, F.lit("0")))
@@ -44,25 +61,45 @@ def text(value: Column) -> Column:
     )
 
 
-def _fractional(plain: Column, sort: Column) -> Column:
-    # 100.0 is kept as a decimal of scale 0; a whole number that short would be a BIGINT.
-    shown = F.when(sort.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$"), F.concat(plain, F.lit(".0"))).otherwise(plain)
-    return F.when(plain.try_cast("double") != 0, shown)
+def with_texts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Replace VARIANT columns by their text.
+
+    In two projections: each value is looked up once, not once per branch.
+    """
+    kept = [c for c in df.columns if c not in names]
+    looked_up = df.select(
+        *kept,
+        *(F.try_variant_get(F.col(n), "$", "string").alias(f"_{n}_plain") for n in names),
+        *(kind(F.col(n)).alias(f"_{n}_kind") for n in names),
+    )
+    texts = {n: text_of(F.col(f"_{n}_plain"), F.col(f"_{n}_kind")) for n in names}
+    return looked_up.select(*kept, *(text.alias(n) for n, text in texts.items()))
 
 
 def nested_rows(records: DataFrame) -> DataFrame:
     """``company.details.financials`` flattened. Needs VARIANT ``company`` and ``source_file``."""
-    company = F.col("company")
-    details = member(company, "details")
-    financials = member(details, "financials")
-    usable = is_object(company) & is_object(details) & is_object(financials)
-    return records.where(usable).select(
-        text(member(company, "company_id")).alias("company_id"),
-        text(member(details, "year")).alias("year"),
-        text(member(financials, "revenue")).alias("revenue"),
-        text(member(financials, "currency")).alias("currency"),
-        "source_file",
+    outer = records.select(
+        "source_file", "company",
+        member(F.col("company"), "company_id").alias("company_id"),
+        member(F.col("company"), "details").alias("details"),
+    )
+    middle = outer.withColumns({
+        "year": member(F.col("details"), "year"),
+        "financials": member(F.col("details"), "financials"),
+    })
+    inner = middle.withColumns({
+        "revenue": member(F.col("financials"), "revenue"),
+        "currency": member(F.col("financials"), "currency"),
+    })
+    usable = (
+        is_object(F.col("company"), F.col("company_id"), F.col("details"))
+        & is_object(F.col("details"), F.col("year"), F.col("financials"))
+        & is_object(F.col("financials"), F.col("revenue"), F.col("currency"))
     )
+    leaves = ["company_id", "year", "revenue", "currency"]
+    # A generator instead of a filter: a filter would be pushed below and repeat the lookups.
+    rows = inner.select("source_file", F.inline(F.when(usable, F.array(F.struct(*leaves)))))
+    return with_texts(rows, leaves).select(*leaves, "source_file")
 
 
 def period_rows(records: DataFrame) -> DataFrame:
@@ -71,20 +108,24 @@ def period_rows(records: DataFrame) -> DataFrame:
     Needs VARIANT ``company_id`` and ``financials`` and ``source_file``. A period
     that is no object ends its record there: an unusable PY leaves the CY row.
     """
-    current, previous = (member(F.col("financials"), p) for p in PERIODS)
-    rows = F.array(
-        F.struct(F.lit("CY").alias("period"), current.alias("figures"), F.lit(True).alias("usable")),
-        F.struct(F.lit("PY").alias("period"), previous.alias("figures"), is_object(previous).alias("usable")),
-    )
-    each = records.where(is_object(F.col("financials")) & is_object(current)).select(
-        "company_id", "source_file", F.inline(rows)
-    )
-    return each.where("usable").select(
-        text(F.col("company_id")).alias("company_id"),
-        "period",
-        text(member(F.col("figures"), "revenue")).alias("revenue"),
-        "source_file",
+    current, previous = (F.col(p) for p in PERIODS)
+    each = records.select(
+        "source_file", "company_id", "financials",
+        *(member(F.col("financials"), p).alias(p) for p in PERIODS),
+    ).withColumns({f"{p}_revenue": member(F.col(p), "revenue") for p in PERIODS})
+
+    def row(period: str) -> Column:
+        return F.struct(
+            "company_id", F.lit(period).alias("period"), F.col(f"{period}_revenue").alias("revenue")
+        )
+
+    opened = is_object(F.col("financials"), current, previous) & is_object(
+        current, F.col("CY_revenue")
     )
+    both = is_object(previous, F.col("PY_revenue"))
+    rows = F.when(opened & both, F.array(row("CY"), row("PY"))).when(opened, F.array(row("CY")))
+    texts = with_texts(each.select("source_file", F.inline(rows)), ["company_id", "revenue"])
+    return texts.select("company_id", "period", "revenue", "source_file")
 
 
 def _records(spark: SparkSession, source: Source, schema: str) -> DataFrame:

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ORDERED_COLUMNS = ("file", "source_file", "block", "pos", "line")
-
-
 def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
-    """Columns ``file, source_file, block, pos, line``.
+    """Columns ``file, block, pos, line``.
 
     A block is the part of a file that one task reads, named by its byte offset; its
     size is bounded by ``spark.sql.files.maxPartitionBytes``. ``pos`` grows within a
@@ -17,7 +14,6 @@ def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -
     """
     return spark.read.text(path, lineSep=line_sep).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Source
-from ledgerloom.functions import strip
+from ledgerloom.functions import file_name, strip
+from ledgerloom.functions.text import WHITESPACE
 from ledgerloom.sources.ordered_text import ordered_lines
 
 # Column names that make a header, and labels that make a metadata line.
@@ -39,12 +40,12 @@ def _unquote(cell: Column) -> Column:
 
 
 def cells(line: Column) -> Column:
-    """Cells of a CSV line, stripped. Lines without a quote take the short way."""
+    """Cells of a CSV line, stripped. Lines without quote or white space take the short way."""
     quoted = F.transform(
         F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({CELL})"), 1), _unquote
     )
     raw = F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", -1))
-    return F.transform(raw, strip)
+    return F.when(line.rlike(f"[{WHITESPACE}]"), F.transform(raw, strip)).otherwise(raw)
 
 
 def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
@@ -57,14 +58,13 @@ def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
     if source.flag("multiline_cells", False):
         whole = spark.read.text(source.path, wholetext=True).select(
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_name").alias("source_file"),
             F.lit(0).cast("bigint").alias("block"),
             F.regexp_extract_all(
                 F.concat(F.lit("\n"), "value"),
                 F.lit(f"{BREAK}({RECORD_CELL}(?:,{RECORD_CELL})*+)"), 1,
             ).alias("lines"),
         )
-        return whole.select("file", "source_file", "block", F.posexplode("lines").alias("pos", "line"))
+        return whole.select("file", "block", F.posexplode("lines").alias("pos", "line"))
     lines = ordered_lines(spark, source.path)
     spans = F.col("line").contains('"') & F.col("line").rlike(OPEN_CELL)
     message = F.concat(F.lit("cell spans lines, set multiline_cells=true: "), "file")
@@ -72,18 +72,24 @@ def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def classify(lines: DataFrame) -> DataFrame:
-    """Add stripped ``cells`` and the ``kind`` of each line, tested in this order."""
-    with_cells = lines.withColumn("cells", cells(F.col("line"))).drop("line")
+    """Replace ``line`` by its stripped ``cells`` and its ``kind``, tested in this order."""
+    # Most lines hold none of the telling words and are data at a glance.
+    telling = F.lower("line").rlike("|".join((*METADATA_LABELS, *KNOWN_COLUMNS)))
+    filled = F.col("line").rlike(f'[^,"{WHITESPACE}]')
+    with_cells = lines.withColumns(
+        {"cells": cells(F.col("line")), "plain_data": filled & ~telling}
+    ).drop("line")
     lowered = F.transform("cells", F.lower)
     labels = F.array(*(F.lit(label) for label in METADATA_LABELS))
     known = F.array(*(F.lit(name) for name in KNOWN_COLUMNS))
     return with_cells.withColumn(
         "kind",
-        F.when(F.forall("cells", lambda c: c == ""), BLANK)
+        F.when(F.col("plain_data"), DATA)
+        .when(F.forall("cells", lambda c: c == ""), BLANK)
         .when(F.arrays_overlap(lowered, labels), META)
         .when(F.size(F.array_intersect(lowered, known)) >= 2, HEADER)
         .otherwise(DATA),
-    )
+    ).drop("plain_data")
 
 
 def _column_layout() -> Column:
@@ -103,6 +109,8 @@ def _scan_blocks(classified: DataFrame) -> DataFrame:
     ``seen`` counts data lines so far; ``at_header`` and ``at_blank`` are that count
     at the last header and at the last blank line. A data line is in a table exactly
     if no blank line came after a data line of the section, i.e. ``at_blank <= at_header``.
+    Metadata lines count as nothing; filtering them here would push the parsing of
+    every line into the filter and do it twice.
     """
     so_far = (
         Window.partitionBy("file", "block").orderBy("pos")
@@ -111,7 +119,7 @@ def _scan_blocks(classified: DataFrame) -> DataFrame:
     kind = F.col("kind")
     layout = F.when(kind == HEADER, _column_layout())
     return (
-        classified.where(kind != META)
+        classified
         .withColumn("seen", F.count_if(kind == DATA).over(so_far))
         .withColumns({
             "at_header": F.max(F.when(kind == HEADER, F.col("seen"))).over(so_far),
@@ -128,11 +136,10 @@ def _scan_blocks(classified: DataFrame) -> DataFrame:
 def _carry(scanned: DataFrame) -> DataFrame:
     """State at the start of each block: one row per block, scanned in file order.
 
-    The summary also reads ``source_file``: with the same columns as the main branch,
-    Spark reuses the shuffle of the lines instead of reading the files again.
+    It reads the same columns as the main branch, so Spark reuses the shuffle of the
+    lines instead of reading the files again.
     """
     summary = scanned.groupBy("file", "block").agg(
-        F.max("source_file").alias("source_file"),
         F.max("seen").alias("data"),
         F.max("at_header").alias("at_header"),
         F.max("at_blank").alias("at_blank"),
@@ -167,7 +174,8 @@ def _carry(scanned: DataFrame) -> DataFrame:
 def data_rows(lines: DataFrame) -> DataFrame:
     """Data lines of all tables, aligned by the header of their own table."""
     scanned = _scan_blocks(classify(lines))
-    placed = scanned.join(_carry(scanned), ["file", "block"])
+    # Merging costs the lines nothing: they already are partitioned and sorted by block.
+    placed = scanned.join(_carry(scanned).hint("merge"), ["file", "block"])
     header = F.coalesce(F.col("in_seen") + F.col("at_header"), F.col("in_header"))
     blank = F.coalesce(F.col("in_seen") + F.col("at_blank"), F.col("in_blank"), F.lit(0))
     kept = placed.where((F.col("kind") == DATA) & (blank <= header)).withColumn(
@@ -180,20 +188,22 @@ def data_rows(lines: DataFrame) -> DataFrame:
     return kept.select(
         *(cell(name) for name in KNOWN_COLUMNS),
         (F.col("in_tables") + F.col("opens") + F.col("tables") - 1).cast("int").alias("table_index"),
-        "source_file",
+        file_name(F.col("file")).alias("source_file"),
     )
 
 
 def metadata_rows(lines: DataFrame) -> DataFrame:
     """First two filled cells of each metadata line; lines with fewer are dropped."""
     filled = F.filter("cells", lambda c: c != "")
+    # A line with a label among its cells holds the label's text; only those are parsed.
+    candidates = lines.where(F.lower("line").rlike("|".join(METADATA_LABELS)))
     return (
-        classify(lines).where(F.col("kind") == META)
-        .select(filled.alias("filled"), "source_file").where(F.size("filled") >= 2)
+        classify(candidates).where(F.col("kind") == META)
+        .select(filled.alias("filled"), "file").where(F.size("filled") >= 2)
         .select(
             F.get("filled", F.lit(0)).alias("field_name"),
             F.get("filled", F.lit(1)).alias("field_value"),
-            "source_file",
+            file_name(F.col("file")).alias("source_file"),
         )
     )
 

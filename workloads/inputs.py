@@ -23,6 +23,16 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*(F.expr(text).alias(name) for name, text in columns.items()))
 
 
+def _make(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Like ``_select``, but through ``inline``, so that each text is made once per row.
+
+    A plain projection would be merged into every expression of an operator, and the
+    timings would show the making of the input.
+    """
+    row = F.struct(*(F.expr(text).alias(name) for name, text in columns.items()))
+    return df.select(F.inline(F.array(row)))
+
+
 def _sql(columns: dict[str, str], source: str, where: str = "") -> str:
     shown = ", ".join(f"{text} AS {name}" for name, text in columns.items())
     return f"SELECT {shown} FROM {source} {where}"
@@ -79,7 +89,7 @@ LEDGER_SQL = _sql(LEDGER, ORDERS_SQL)
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_orders(spark, sf_dir), LEDGER)
+    return _make(_orders(spark, sf_dir), LEDGER)
 
 
 # One XML element per order: current and previous figures, some incomplete.
@@ -170,34 +180,34 @@ PLACES_PER_CUSTOMER, PLACES_PER_BLOCK = 10_000, 170_003
 MIDDLE_DAY = 1096  # 1998-01-01
 
 
+# Lines around the data of a customer: segment it is limited to, place, text.
+FRAME_LINES = (
+    ("FURNITURE", 0, f"'{WIDE}'"),                   # replaced at once by the next header
+    (None, 1, HEADER_LINE),
+    (None, 2, "',,,'"),                              # blank before any data: table stays open
+    ("BUILDING", 2 * MIDDLE_DAY + 4, "''"),          # ends the table, if it has data by then
+    ("MACHINERY", 2 * MIDDLE_DAY + 4, "',Entity Name , ' || c_name || ',,'"),
+    ("MACHINERY", 2 * MIDDLE_DAY + 4, "',,period start date,,'"),  # no value: dropped
+    (None, 9000, "' , ,'"),
+    (None, 9001, "'stray,words'"),                   # between tables: dropped
+)
+
+
 def csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer, orders = table(spark, sf_dir, "customer"), _orders(spark, sf_dir)
-
-    def lines(df: DataFrame, place: str, line: str) -> DataFrame:
-        return df.select(
-            F.expr("'nation_' || CAST(c_nationkey AS STRING) || '.csv'").alias("source_file"),
-            F.expr(f"c_custkey * {PLACES_PER_CUSTOMER} + {place}").cast("bigint").alias("pos"),
-            F.expr(line).alias("line"),
-        )
-
-    furniture = customer.where("c_mktsegment = 'FURNITURE'")
-    building = customer.where("c_mktsegment = 'BUILDING'")
-    machinery = customer.where("c_mktsegment = 'MACHINERY'")
-    everything = stack([
-        lines(furniture, "0", f"'{WIDE}'"),           # replaced at once by the next header
-        lines(customer, "1", HEADER_LINE),
-        lines(customer, "2", "',,,'"),                # blank before any data: table stays open
-        lines(orders, f"2 * {DAY} + 5", DATA_LINE),
-        lines(building, f"2 * {MIDDLE_DAY} + 4", "''"),  # ends the table, if it has data by then
-        lines(machinery, f"2 * {MIDDLE_DAY} + 4", "',Entity Name , ' || c_name || ',,'"),
-        lines(machinery, f"2 * {MIDDLE_DAY} + 4", "',,period start date,,'"),  # no value: dropped
-        lines(customer, "9000", "' , ,'"),
-        lines(customer, "9001", "'stray,words'"),      # between tables: dropped
-    ])
-    return everything.select(
-        F.col("source_file").alias("file"), "source_file",
-        F.expr(f"pos div {PLACES_PER_BLOCK}").alias("block"), "pos", "line",
+    def line(place: str, text: str) -> str:
+        file = "'tables/nation_' || CAST(c_nationkey AS STRING) || '.csv'"
+        pos = f"CAST(c_custkey * {PLACES_PER_CUSTOMER} + {place} AS BIGINT)"
+        return f"named_struct('file', {file}, 'pos', {pos}, 'line', {text})"
+
+    framed = ", ".join(
+        line(place, text) if segment is None
+        else f"CASE WHEN c_mktsegment = '{segment}' THEN {line(place, text)} END"
+        for segment, place, text in FRAME_LINES
     )
+    frame = table(spark, sf_dir, "customer").selectExpr(f"inline(array_compact(array({framed})))")
+    data = line(f"2 * {DAY} + 5", DATA_LINE)
+    lines = frame.unionByName(_orders(spark, sf_dir).selectExpr(f"inline(array({data}))"))
+    return lines.withColumn("block", F.expr(f"pos div {PLACES_PER_BLOCK}"))
 
 
 # Stored dimension and an incoming batch of companies.

@@ -300,6 +300,7 @@ ORACLES: dict[str, str] = {
         "count(*) - count(dim_company_sk) AS unresolved FROM facts"
     ),
     "fact_incremental": _incremental("="),
+    "fact_incremental_scoped": _incremental("="),
     "fact_incremental_nullsafe": _incremental("IS NOT DISTINCT FROM"),
     "load_facts": LOAD,
     "period_distribution": (

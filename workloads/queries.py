@@ -74,8 +74,10 @@ def json_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The truthiness rule on the JSON column of ``events``: a zero counts as absent."""
-    value = json.text(json.member(F.parse_json("props"), "k"))
-    return table(spark, sf_dir, "events").select("event_id", value.alias("k"))
+    value = json.member(F.parse_json("props"), "k")
+    return json.with_texts(
+        table(spark, sf_dir, "events").select("event_id", value.alias("k")), ["k"]
+    )
 
 
 @query
@@ -366,10 +368,12 @@ def _keys(lines: DataFrame) -> DataFrame:
     ).select("line_id", *facts.FACT_KEYS)
 
 
-def _incremental(spark: SparkSession, sf_dir: str, null_safe: bool) -> DataFrame:
+def _incremental(
+    spark: SparkSession, sf_dir: str, null_safe: bool, scope: str | None = None
+) -> DataFrame:
     lines = inputs.ledger(spark, sf_dir)
     existing = _keys(lines.where("order_status = 'F'"))
-    return facts.incremental(_keys(lines), existing, null_safe=null_safe)
+    return facts.incremental(_keys(lines), existing, null_safe=null_safe, scope=scope)
 
 
 @query
@@ -382,6 +386,11 @@ def fact_incremental_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _incremental(spark, sf_dir, null_safe=True)
 
 
+@query
+def fact_incremental_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _incremental(spark, sf_dir, null_safe=False, scope="source_file")
+
+
 @query
 def load_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five parsed sources through validation, shaping and staging to new facts.
