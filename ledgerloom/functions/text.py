@@ -23,5 +23,6 @@ def blank_to_null(text: Column) -> Column:
 
 
 def file_name(path: Column) -> Column:
-    """Last part of a file path."""
-    return F.substring_index(path, "/", -1)
+    """Last part of a file path, as Spark reports it: percent-encoded, but plus signs are not."""
+    last = F.substring_index(path, "/", -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))

@@ -226,4 +226,11 @@ def _summarise(result: RunResult, loaded: dict[str, SourceResult]) -> None:
 
 
 def _first_line(error: Exception) -> str:
-    return (str(error).splitlines() or [type(error).__name__])[0][:1000]
+    """First line of an error, of its innermost Java cause if it has one."""
+    java = getattr(error, "java_exception", None)
+    text = str(error)
+    if java is not None:
+        while java.getCause() is not None:
+            java = java.getCause()
+        text = java.getMessage() or java.toString()
+    return (text.splitlines() or [type(error).__name__])[0][:1000]

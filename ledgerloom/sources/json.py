@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Source
+from ledgerloom.functions import file_name
+from ledgerloom.sources.json_split import read_records
 
 # The two periods of a record, in output order.
 PERIODS = ("CY", "PY")
@@ -128,23 +130,34 @@ def period_rows(records: DataFrame) -> DataFrame:
     return texts.select("company_id", "period", "revenue", "source_file")
 
 
-def _records(spark: SparkSession, source: Source, schema: str) -> DataFrame:
-    """Records of array files (default) or, with ``lines=true``, one record per line.
+def parse_records(texts: DataFrame, members: Sequence[str]) -> DataFrame:
+    """Members of ``record`` texts as VARIANT columns. Broken JSON fails the source."""
+    parsed = texts.select("source_file", F.parse_json("record").alias("_record"))
+    return parsed.select("source_file", *(member(F.col("_record"), m).alias(m) for m in members))
 
-    Broken JSON fails the source.
+
+def _records(spark: SparkSession, source: Source, members: Sequence[str]) -> DataFrame:
+    """Records of array files: by default one task per file.
+
+    With ``lines=true`` each line is a record and files are split; with
+    ``splittable=true`` arrays are, which a file larger than a task's memory needs.
     """
-    columns = [part.split()[0] for part in schema.split(", ")]
+    if source.flag("splittable", False):
+        texts = read_records(spark, source.path)
+        return parse_records(
+            texts.select("record", file_name(F.col("file")).alias("source_file")), members
+        )
     return (
-        spark.read.schema(schema)
+        spark.read.schema(", ".join(f"{m} variant" for m in members))
         .options(multiLine=not source.flag("lines", False), mode="FAILFAST")
         .json(source.path)
-        .select(*columns, F.col("_metadata.file_name").alias("source_file"))
+        .select(*members, F.col("_metadata.file_name").alias("source_file"))
     )
 
 
 def read_nested(spark: SparkSession, source: Source) -> DataFrame:
-    return nested_rows(_records(spark, source, "company variant"))
+    return nested_rows(_records(spark, source, ["company"]))
 
 
 def read_periods(spark: SparkSession, source: Source) -> DataFrame:
-    return period_rows(_records(spark, source, "company_id variant, financials variant"))
+    return period_rows(_records(spark, source, ["company_id", "financials"]))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.conform import stack
+from ledgerloom.sources import json
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,10 +140,8 @@ JSON_FILE = "'report_' || substr(o_orderpriority, 1, 1) || '.json'"
 
 
 def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _select(_orders(spark, sf_dir), {"record": NESTED_RECORD, "source_file": JSON_FILE})
-    return records.withColumn("v", F.parse_json("record")).select(
-        F.try_variant_get("v", "$.company", "variant").alias("company"), "source_file"
-    )
+    texts = _select(_orders(spark, sf_dir), {"record": NESTED_RECORD, "source_file": JSON_FILE})
+    return json.parse_records(texts, ["company"])
 
 
 PERIOD_RECORD = (
@@ -155,11 +154,23 @@ PERIOD_RECORD = (
 
 
 def period_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _select(_orders(spark, sf_dir), {"record": PERIOD_RECORD, "source_file": JSON_FILE})
-    return records.withColumn("v", F.parse_json("record")).select(
-        F.try_variant_get("v", "$.company_id", "variant").alias("company_id"),
-        F.try_variant_get("v", "$.financials", "variant").alias("financials"),
-        "source_file",
+    texts = _select(_orders(spark, sf_dir), {"record": PERIOD_RECORD, "source_file": JSON_FILE})
+    return json.parse_records(texts, ["company_id", "financials"])
+
+
+def json_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested records as one array per file, cut at closing braces into small blocks."""
+    pieces = _orders(spark, sf_dir).select(
+        F.expr(JSON_FILE).alias("file"), "o_orderkey",
+        # Without the empty text after the last brace: the next record goes on there.
+        F.posexplode(
+            F.expr(f"slice(split(',' || {NESTED_RECORD}, '}}', -1), 1, "
+                   f"size(split({NESTED_RECORD}, '}}', -1)) - 1)")
+        ).alias("n", "line"),
+    )
+    return pieces.select(
+        "file", F.expr("o_orderkey div 300").alias("block"),
+        F.expr("o_orderkey * 100 + n").alias("pos"), "line",
     )
 
 

@@ -188,6 +188,7 @@ ORACLES: dict[str, str] = {
     "xml_periods": PERIOD_XML,
     "xml_hierarchical": COMPANY_XML,
     "json_nested": NESTED_JSON,
+    "json_split": NESTED_JSON,
     "json_periods": PERIOD_JSON,
     "json_events": (
         "SELECT event_id, nullif(json_extract_string(props, '$.k'), '0') AS k FROM events"

@@ -14,6 +14,7 @@ from ledgerloom.operators import facts, mapping, quality, scd2
 from ledgerloom.plans import dates, views
 from ledgerloom.plans.shapes import shape
 from ledgerloom.sources import json, sectioned_csv, xml
+from ledgerloom.sources.json_split import split_records
 from workloads import inputs
 from workloads.inputs import table
 
@@ -71,6 +72,14 @@ def json_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json.period_rows(inputs.period_records(spark, sf_dir))
 
 
+@query
+def json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested records again, found in array text that is cut into blocks."""
+    records = split_records(inputs.json_pieces(spark, sf_dir))
+    texts = records.select("record", F.col("file").alias("source_file"))
+    return json.nested_rows(json.parse_records(texts, ["company"]))
+
+
 @query
 def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The truthiness rule on the JSON column of ``events``: a zero counts as absent."""
