@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.ordered_text import ordered_lines
+from ledgerloom.sources.ordered_text import ordered_lines, placed_only
 
 ESCAPE = r"(?s)\\."
 STRING = r'(?s)"[^"]*(?:"|$)'
@@ -63,71 +63,90 @@ def _measure(pieces: DataFrame) -> DataFrame:
     }).drop("bare_0", "bare_1")
 
 
-def _depths(pieces: DataFrame) -> DataFrame:
-    """Each piece and whether it ``ends`` a record."""
+def _scan_blocks(pieces: DataFrame) -> DataFrame:
+    """Running depth of each piece within its block, under both assumptions."""
     measured = _measure(pieces).withColumn("flipped", _sum(F.col("flips"), _block(-1)) % 2)
 
     def running(name: str, start: int) -> Column:
         inside = (F.col("flipped") + start) % 2 == 1
         change = F.when(inside, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-        return F.sum(change).over(_block(NOW))
+        return F.sum(change).over(_block(NOW)).alias(f"{name}_{start}")
 
-    sums = [f"{name}_{h}" for name in ("depth", "lists") for h in (0, 1)]
-    local = measured.select(
-        "file", "block", "pos", "line", "flips", "flipped",
-        *(running(s[:-2], int(s[-1])).alias(s) for s in sums),
+    return measured.select(
+        "file", "block", "pos", "line",
+        ((F.col("flipped") + F.col("flips")) % 2).alias("flipped"),
+        *(running(name, start) for name in ("depth", "lists") for start in (0, 1)),
     )
-    summary = local.groupBy("file", "block").agg(
-        (F.sum("flips") % 2).alias("flips"), *(F.max_by(s, "pos").alias(s) for s in sums),
+
+
+def _carry(scanned: DataFrame) -> DataFrame:
+    """State at the start of each block: one row per block, scanned in file order.
+
+    A record ends where the depth reaches zero, the lowest it can be; so if a block
+    has an end at all, the last one is the last closing brace at the block's lowest depth.
+    """
+    def lowest(start: int) -> Column:
+        depth = F.when((F.col("flipped") + start) % 2 == 0, F.col(f"depth_{start}"))
+        place = F.struct(depth.alias("depth"), (-F.col("pos")).alias("back"))
+        return F.min(F.when(depth.isNotNull(), place)).alias(f"lowest_{start}")
+
+    ends = ["flipped", "depth_0", "depth_1", "lists_0", "lists_1"]
+    summary = scanned.groupBy("file", "block").agg(
+        *(F.max_by(name, "pos").alias(name) for name in ends), lowest(0), lowest(1),
         # Read here too, so that Spark reuses the shuffle of the pieces.
         F.max(F.length("line")).alias("longest"),
     )
-
-    def actual(name: str) -> Column:
-        inside = F.col("starts_inside") == 1
-        return F.when(inside, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-
-    whole_file = Window.partitionBy("file")
-    carry = summary.withColumn(
-        "starts_inside", _sum(F.col("flips"), _earlier_blocks()) % 2
+    entered = summary.withColumn(
+        "starts_inside", _sum(F.col("flipped"), _earlier_blocks()) % 2
     ).select(
         "file", "block", "starts_inside", "longest",
-        *(_sum(actual(n), _earlier_blocks()).alias(f"{n}_in") for n in ("depth", "lists")),
-        F.sum(actual("lists")).over(whole_file).alias("lists_left"),
-    )
-    placed = local.join(carry.hint("merge"), ["file", "block"]).where("longest >= 0")
-    outside = (F.col("starts_inside") + F.col("flipped") + F.col("flips")) % 2 == 0
-    closed = (F.col("depth_in") + actual("depth") == 0) & outside
-    problem = F.when(F.col("lists_left") != 0, "JSON ends too early: ").when(
-        closed & (F.col("lists_in") + actual("lists") > 1), "array inside the JSON array: "
+        *(_actual(name).alias(name) for name in ("depth", "lists", "lowest")),
+    ).withColumns({
+        "depth_in": _sum(F.col("depth"), _earlier_blocks()),
+        "lists_in": _sum(F.col("lists"), _earlier_blocks()),
+        "lists_left": F.sum("lists").over(Window.partitionBy("file")),
+    })
+    last_end = F.when(
+        F.col("depth_in") + F.col("lowest.depth") == 0,
+        F.struct("block", (-F.col("lowest.back")).alias("pos")),
     )
-    return placed.select(
-        "file", "block", "pos", "line",
-        F.when(problem.isNotNull(), F.raise_error(F.concat(problem, "file")).cast("boolean"))
-        .otherwise(closed).alias("ends"),
+    return entered.withColumn(
+        "after_in", F.last(last_end, ignorenulls=True).over(_earlier_blocks())
+    ).select(
+        "file", "block", "starts_inside", "depth_in", "lists_in", "lists_left", "after_in", "longest"
     )
 
 
+def _actual(name: str) -> Column:
+    """The value under the assumption that holds for the block."""
+    return F.when(F.col("starts_inside") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
+
+
 def split_records(pieces: DataFrame) -> DataFrame:
     """Text of each top-level object. Needs ``file, block, pos, line``, cut at closing braces.
 
     A record is named by the end of the one before it, found in its own block or
     carried over from an earlier one. A group is the pieces of one record, nothing more.
     """
-    ended = _depths(pieces)
-    place = F.when(F.col("ends"), F.struct("block", "pos"))
-    local = ended.withColumn("after", F.last(place, ignorenulls=True).over(_block(-1)))
-    carry = (
-        ended.groupBy("file", "block").agg(F.max(place).alias("last_end"))
-        .withColumn("after_in", F.last("last_end", ignorenulls=True).over(_earlier_blocks()))
-        .select("file", "block", "after_in")
+    scanned = _scan_blocks(placed_only(pieces))
+    placed = scanned.join(_carry(scanned), ["file", "block"]).where("longest >= 0")
+    outside = (F.col("starts_inside") + F.col("flipped")) % 2 == 0
+    closed = (F.col("depth_in") + _actual("depth") == 0) & outside
+    problem = F.when(F.col("lists_left") != 0, "JSON ends too early: ").when(
+        closed & (F.col("lists_in") + _actual("lists") > 1), "array inside the JSON array: "
     )
-    named = local.join(carry.hint("merge"), ["file", "block"]).withColumn(
-        "after", F.coalesce("after", "after_in")
+    ended = placed.select(
+        "file", "block", "pos", "line", "after_in",
+        F.when(problem.isNotNull(), F.raise_error(F.concat(problem, "file")).cast("boolean"))
+        .otherwise(closed).alias("ends"),
     )
-    gathered = named.groupBy("file", "after").agg(
-        F.sort_array(F.collect_list(F.struct("block", "pos", "line"))).alias("parts"),
-        F.bool_or("ends").alias("complete"),
+    last_end = F.last(F.when(F.col("ends"), F.struct("block", "pos")), ignorenulls=True)
+    gathered = (
+        ended.withColumn("after", F.coalesce(last_end.over(_block(-1)), F.col("after_in")))
+        .groupBy("file", "after").agg(
+            F.sort_array(F.collect_list(F.struct("block", "pos", "line"))).alias("parts"),
+            F.bool_or("ends").alias("complete"),
+        )
     )
     text = F.concat(F.array_join(F.col("parts.line"), "}"), F.lit("}"))
     # Before its first brace stand separators and other values of the array.

@@ -18,3 +18,12 @@ def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
+
+
+def placed_only(lines: DataFrame) -> DataFrame:
+    """State what always holds, so that both branches of a block scan infer the same filter.
+
+    Otherwise only the branch next to the join gets it, and Spark no longer sees that
+    both could share one shuffle of the lines.
+    """
+    return lines.where("file IS NOT NULL AND block IS NOT NULL")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.config import Source
 from ledgerloom.functions import file_name, strip
 from ledgerloom.functions.text import WHITESPACE
-from ledgerloom.sources.ordered_text import ordered_lines
+from ledgerloom.sources.ordered_text import ordered_lines, placed_only
 
 # Column names that make a header, and labels that make a metadata line.
 KNOWN_COLUMNS = ("company_id", "profit", "year", "remarks")
@@ -173,9 +173,10 @@ def _carry(scanned: DataFrame) -> DataFrame:
 
 def data_rows(lines: DataFrame) -> DataFrame:
     """Data lines of all tables, aligned by the header of their own table."""
-    scanned = _scan_blocks(classify(lines))
-    # Merging costs the lines nothing: they already are partitioned and sorted by block.
-    placed = scanned.join(_carry(scanned).hint("merge"), ["file", "block"])
+    scanned = _scan_blocks(classify(placed_only(lines)))
+    # A large carry is merged, which costs the lines nothing: they are partitioned and
+    # sorted by block already. A small one is broadcast once its size is known.
+    placed = scanned.join(_carry(scanned), ["file", "block"])
     header = F.coalesce(F.col("in_seen") + F.col("at_header"), F.col("in_header"))
     blank = F.coalesce(F.col("in_seen") + F.col("at_blank"), F.col("in_blank"), F.lit(0))
     kept = placed.where((F.col("kind") == DATA) & (blank <= header)).withColumn(

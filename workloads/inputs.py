@@ -39,8 +39,19 @@ def _sql(columns: dict[str, str], source: str, where: str = "") -> str:
     return f"SELECT {shown} FROM {source} {where}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores if the table has fewer splits than the session has cores.
+
+    A small test table is one row group, which a single task would read and parse. A
+    table with more splits than cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    customer = table(spark, sf_dir, "customer")
     return orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
 
 
@@ -160,17 +171,17 @@ def period_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested records as one array per file, cut at closing braces into small blocks."""
-    pieces = _orders(spark, sf_dir).select(
-        F.expr(JSON_FILE).alias("file"), "o_orderkey",
+    records = _make(_orders(spark, sf_dir), {
+        "file": JSON_FILE, "line_id": "o_orderkey", "parts": f"split(',' || {NESTED_RECORD}, '}}', -1)",
+    })
+    pieces = records.select(
+        "file", "line_id",
         # Without the empty text after the last brace: the next record goes on there.
-        F.posexplode(
-            F.expr(f"slice(split(',' || {NESTED_RECORD}, '}}', -1), 1, "
-                   f"size(split({NESTED_RECORD}, '}}', -1)) - 1)")
-        ).alias("n", "line"),
+        F.posexplode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("n", "line"),
     )
     return pieces.select(
-        "file", F.expr("o_orderkey div 300").alias("block"),
-        F.expr("o_orderkey * 100 + n").alias("pos"), "line",
+        "file", F.expr("line_id div 300").alias("block"),
+        F.expr("line_id * 100 + n").alias("pos"), "line",
     )
 
 
