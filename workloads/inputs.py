@@ -100,8 +100,10 @@ LEDGER = {
 LEDGER_SQL = _sql(LEDGER, ORDERS_SQL)
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _make(_orders(spark, sf_dir), LEDGER)
+def ledger(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The ledger, or the named columns of it; only what those need is read from the files."""
+    wanted = {name: LEDGER[name] for name in columns or LEDGER}
+    return _make(_orders(spark, sf_dir), wanted)
 
 
 # One XML element per order: current and previous figures, some incomplete.

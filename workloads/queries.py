@@ -105,7 +105,8 @@ def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mapped(
     spark: SparkSession, sf_dir: str, rules: list[MappingRule], *shown: str
 ) -> DataFrame:
-    lines = inputs.ledger(spark, sf_dir)
+    read = {"line_id", *shown, *(rule.source_field for rule in rules)} & set(inputs.LEDGER)
+    lines = inputs.ledger(spark, sf_dir, *sorted(read))
     return mapping.apply_rules(lines, rules, DEFAULT_RATES).select("line_id", *shown)
 
 
@@ -141,14 +142,15 @@ def map_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def map_currency_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same conversion against a rate table instead of configured rates."""
     rates = spark.createDataFrame(list(DEFAULT_RATES.items()), "currency string, rate double")
-    converted = mapping.convert_with_rate_table(inputs.ledger(spark, sf_dir), rates)
+    lines = inputs.ledger(spark, sf_dir, "line_id", "currency", "revenue")
+    converted = mapping.convert_with_rate_table(lines, rates)
     return converted.select("line_id", "currency", "revenue_usd")
 
 
 @query
 def map_currency_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a currency column the amount is copied and not rounded."""
-    lines = inputs.ledger(spark, sf_dir).drop("currency")
+    lines = inputs.ledger(spark, sf_dir, "line_id", "revenue")
     rules = [MappingRule("revenue", "revenue_usd", "currency_convert", "numeric")]
     return mapping.apply_rules(lines, rules, DEFAULT_RATES).select("line_id", "revenue_usd")
 
@@ -179,16 +181,18 @@ def map_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Quality
 
+CHECKED = ("line_id", "company_id", "year", "profit")
+
 
 @query
 def dq_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = quality.validate(inputs.ledger(spark, sf_dir))
+    valid, _ = quality.validate(inputs.ledger(spark, sf_dir, *CHECKED))
     return valid.select("line_id", "company_id", "year", "profit")
 
 
 @query
 def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejected = quality.validate(inputs.ledger(spark, sf_dir))
+    _, rejected = quality.validate(inputs.ledger(spark, sf_dir, *CHECKED))
     return rejected.select(
         "line_id", F.col(quality.STATUS).alias("status"), F.col(quality.REASON).alias("reason")
     )
@@ -196,13 +200,13 @@ def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = quality.quality_report(inputs.ledger(spark, sf_dir))
+    report = quality.quality_report(inputs.ledger(spark, sf_dir, *CHECKED))
     return report.toDF(*(name.lower() for name in report.columns))
 
 
 @query
 def dq_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = quality.validate(inputs.ledger(spark, sf_dir))
+    valid, _ = quality.validate(inputs.ledger(spark, sf_dir, *CHECKED))
     return valid.where(quality.PROFIT_FORMAT.failure()).select("line_id", "profit")
 
 
@@ -236,7 +240,7 @@ def reject_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inputs.ledger(spark, sf_dir)
+    lines = inputs.ledger(spark, sf_dir, "line_id", "company_id", "year", "source_file")
     unique = quality.remove_duplicates(
         lines, ["company_id", "year", "no_such_column"], order_by=["source_file", "line_id"]
     )
@@ -286,7 +290,8 @@ def union_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stage_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    companies = conforming.stage_companies(inputs.ledger(spark, sf_dir), BATCH, now())
+    lines = inputs.ledger(spark, sf_dir, "company_id", "company_name", "source_file")
+    companies = conforming.stage_companies(lines, BATCH, now())
     return plain(companies, "load_timestamp")
 
 
@@ -371,6 +376,9 @@ def fact_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.resolution_counts(_facts(spark, sf_dir))
 
 
+KEY_INPUT = ("line_id", "company_id", "period", "source_file", "order_status")
+
+
 def _keys(lines: DataFrame) -> DataFrame:
     return mapping.apply_rules(
         lines, [MappingRule("period", "period_type", "map_cy_py", "varchar")], DEFAULT_RATES
@@ -380,7 +388,7 @@ def _keys(lines: DataFrame) -> DataFrame:
 def _incremental(
     spark: SparkSession, sf_dir: str, null_safe: bool, scope: str | None = None
 ) -> DataFrame:
-    lines = inputs.ledger(spark, sf_dir)
+    lines = inputs.ledger(spark, sf_dir, *KEY_INPUT)
     existing = _keys(lines.where("order_status = 'F'"))
     return facts.incremental(_keys(lines), existing, null_safe=null_safe, scope=scope)
 
@@ -420,7 +428,7 @@ def load_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
             valid = quality.remove_duplicates(valid, ["company_id", "year"])
         shaped = shape(valid, name, DEFAULT_RULES, DEFAULT_RATES)
         staged.append(conforming.stage_financials(shaped, BATCH, now()))
-    existing = _keys(inputs.ledger(spark, sf_dir).where("order_status = 'F'")).withColumn(
+    existing = _keys(inputs.ledger(spark, sf_dir, *KEY_INPUT).where("order_status = 'F'")).withColumn(
         "source_file", F.replace(F.replace("source_file", F.lit("ledger"), F.lit("filing")),
                                  F.lit(".csv"), F.lit(".xml"))
     )
