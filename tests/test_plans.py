@@ -3,7 +3,10 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerloom.operators import facts, scd2
+from ledgerloom.plans import views
 from workloads.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -37,3 +40,49 @@ def test_filters_and_columns_reach_the_files(spark):
     assert "PushedFilters" in plan and "c_mktsegment" in plan.split("PushedFilters")[1]
     plan = QUERIES["map_upper"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "o_totalprice" not in plan and "c_acctbal" not in plan
+
+
+SKEW = {
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+}
+
+
+@pytest.mark.parametrize("join", ["resolve", "incremental", "as_of", "growth"])
+def test_hot_company_is_split(spark, join):
+    """A third of all rows belongs to one company; its partition is split, no row is lost."""
+    company = F.expr("CASE WHEN id % 3 = 0 THEN 'C0' ELSE 'C' || CAST(id % 5000 AS STRING) END")
+    rows = spark.range(0, 200_000, 1, 8).select(
+        company.alias("company_id"), F.lit("f").alias("source_file"),
+        F.lit("CY").alias("period_type"), F.lit(2024).alias("year"),
+        F.col("id").cast("double").alias("revenue_usd"), F.lit("2024-01-05").alias("day"),
+        F.when(company == "C0", 0).otherwise(F.col("id") % 5000).alias("dim_company_sk"),
+    )
+    companies = spark.range(5000).select(
+        F.expr("'C' || CAST(id AS STRING)").alias("company_id"), F.col("id").alias("dim_company_sk"),
+        F.lit("x").alias("company_name"), F.lit(True).alias("is_current"),
+        F.lit("2024-01-01").cast("timestamp").alias("valid_from"),
+        F.lit("9999-12-31").cast("timestamp").alias("valid_to"),
+    )
+    for name, value in SKEW.items():
+        spark.conf.set(name, value)
+    try:
+        if join == "resolve":
+            df, count = facts.resolve_keys(rows.drop("dim_company_sk"), companies), 200_000
+        elif join == "incremental":
+            known = rows.where("company_id = 'C7'")
+            df = facts.incremental(rows, known)
+            count = 200_000 - known.count()
+        elif join == "as_of":
+            df, count = scd2.as_of(rows.drop("dim_company_sk"), companies, "day"), 200_000
+        else:
+            last_year = rows.dropDuplicates(["company_id"]).withColumn("period_type", F.lit("PY"))
+            df, count = views.revenue_comparison(rows.unionByName(last_year), companies), 200_000
+        assert len(df.collect()) == count
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "skew=true" in plan
+    finally:
+        for name in SKEW:
+            spark.conf.unset(name)
