@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, exact_dedup, mixing, simhash, token_counts, toxicity
+from ledgerloom.llm import context_tree, decontaminate, exact_dedup, mixing, simhash, token_counts, toxicity
 from ledgerloom.llm.common import in_fold, table
 
 #: Target shares of the mix: a third source counts double, a junk source half, the rest 1.
@@ -22,6 +22,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"))
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), context_tree.FOLDS, context_tree.HELD_OUT)
+    return context_tree.score_texts(table(spark, sf_dir, "documents")).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,5 +57,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op3_simhash, op6_mix, op7_token_counts, op8_toxicity, op10_exact_dedup)
+    for f in (op1_decontaminate, op2_context_tree, op3_simhash, op6_mix, op7_token_counts, op8_toxicity, op10_exact_dedup)
 }
