@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import context_tree, decontaminate, exact_dedup, mixing, simhash, token_counts, toxicity
+from ledgerloom.llm import context_tree, decontaminate, exact_dedup, html_text, licenses, mixing, quality, simhash, token_counts, toxicity
 from ledgerloom.llm.common import in_fold, table
 
 #: Target shares of the mix: a third source counts double, a junk source half, the rest 1.
@@ -33,6 +33,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    held_out = in_fold(F.col("doc_id"), quality.FOLDS, quality.HELD_OUT)
+    return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
 
@@ -50,6 +62,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("notices", F.array_join("notices", ","))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -57,5 +74,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_context_tree, op3_simhash, op6_mix, op7_token_counts, op8_toxicity, op10_exact_dedup)
+    for f in (
+        op1_decontaminate, op2_context_tree, op3_simhash, op4_quality, op5_html_text, op6_mix, op7_token_counts, op8_toxicity,
+        op9_licenses, op10_exact_dedup)
 }
