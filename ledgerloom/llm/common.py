@@ -41,17 +41,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """Add the locator of each row: its file and its number in that file.
+def file_backed(docs: DataFrame) -> DataFrame:
+    """The frame itself if its rows come straight from files, else a copy in the shared folder.
 
-    Frames that don't come straight from files are written to the shared folder first, so
-    that two reads of the frame agree on the locators.
+    Reads of the same files agree on the locators of rows; take this once, before locating a
+    frame several times.
     """
-    where = (F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
     try:
-        return docs.select("*", *where)
+        docs.select("_metadata.row_index")
+        return docs
     except AnalysisException:
-        return saved(docs, "rows").select("*", *where)
+        return saved(docs, "rows")
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """Add the locator of each row: its file and its number in that file."""
+    return file_backed(docs).select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW))
 
 
 def fold(text: str) -> str:

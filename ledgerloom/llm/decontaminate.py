@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerloom.llm.common import FILE, ROW, Sent, fold, located, strings
+from ledgerloom.llm.common import FILE, ROW, Sent, file_backed, fold, located, strings
 
 WINDOW = 13
 #: Characters of benchmark text in one broadcast and one automaton: about 200 MB in a worker.
@@ -146,6 +146,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_chars
     """The rows that aren't contaminated, with all their columns."""
     parts, bench = parts_of(benchmark, max_chars)
     if parts > 1:
+        docs = file_backed(docs)
         hits = _in_parts(located(docs.select("doc_id", "text")), ["doc_id", FILE, ROW], parts, bench, window)
         return located(docs).join(hits.where(contaminated()).select(FILE, ROW), [FILE, ROW], "left_anti").drop(FILE, ROW)
     items = _sent(bench, 0, window)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FILE, ROW, located, saved, shared_dir
+from ledgerloom.llm.common import FILE, ROW, file_backed, located, saved, shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -80,7 +80,7 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     ``digest`` can be replaced to try colliding digests.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = file_backed(docs).select(F.col("doc_id").cast("long"), "text")
     came = arrivals(docs, digest)
     files = came.inputFiles()
     if files:
@@ -105,5 +105,6 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs = file_backed(docs)
     kept = exact_groups(docs).where("kept").select(FILE, ROW)
     return located(docs).join(kept, [FILE, ROW], "left_semi").drop(FILE, ROW)

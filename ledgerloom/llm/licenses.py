@@ -83,8 +83,8 @@ LICENSES = (
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Lines dropped: those that begin with a copyright mark, and reservations of rights.
-DROPPED = r"(?m)^[^0-9a-z\n©(]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: Lines dropped: copyright with a mark or a year, and reservations of rights.
+DROPPED = r"(?m)^[^0-9a-z\n©(]*(copyright([ \t]*(\(c\)|©)|[^\n]*[0-9]{4})|\(c\)|©|all rights reserved)[^\n]*$"
 PUNCTUATION = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

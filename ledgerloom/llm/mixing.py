@@ -47,7 +47,7 @@ def poisson(u: Column, rate: Column) -> Column:
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float], size: float | None = None) -> DataFrame:
-    """source (as s) and its mean repetition rate for a mix of about ``size`` rows (default: as many as there are).
+    """source (as __source) and its mean repetition rate for a mix of about ``size`` rows (default: as many as there are).
 
     Written to the shared folder, so that Spark sees its true size when it picks the join.
     """
@@ -57,7 +57,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float], size: float | None
     counts = saved(docs.groupBy("source").agg(F.count("*").alias("n")).withColumn("w", F.greatest(weight, F.lit(0.0))), "rates")
     rows, total = counts.agg(F.sum("n"), F.sum("w")).first()
     factor = (float(rows or 0) if size is None else float(size)) / total if total else 0.0
-    return counts.select(F.col("source").alias("s"), (F.col("w") * F.lit(factor) / F.col("n")).alias("rate"))
+    return counts.select(F.col("source").alias("__source"), (F.col("w") * F.lit(factor) / F.col("n")).alias("rate"))
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float], size: float | None = None, seed: int = SEED) -> DataFrame:
@@ -66,7 +66,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float], size: float | None =
     The order is global: ranges of positions of about equal size, each sorted.
     """
     kept = docs.drop(*ADDED)
-    rated = kept.join(rates(docs, weights, size), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rated = kept.join(rates(docs, weights, size), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     key = (F.col("doc_id").cast("string"), "text")
     draws = F.ceil(F.greatest(F.col("rate") / MOST_RATE, F.lit(1.0))).cast("int")
     draw = lambda i: poisson(uniform(F.lit(f"{seed}"), i.cast("string"), *key), F.col("rate") / draws)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FILE, ROW, located, saved
+from ledgerloom.llm.common import FILE, ROW, file_backed, located, saved
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Blocks of each half; 32 must be divisible by it.
@@ -253,6 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of each component stays, with all its columns: that with the smallest doc_id, ties by locator."""
+    docs = file_backed(docs)
     found = near_duplicates(docs)
     stays = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", FILE, ROW)).alias("s"))
     return located(docs).join(stays.select(f"s.{FILE}", f"s.{ROW}"), [FILE, ROW], "left_semi").drop(FILE, ROW)
