@@ -90,6 +90,15 @@ def rename(df: DataFrame, have: str, want: str) -> DataFrame:
     return df.withColumnRenamed(have, want) if have in df.columns else df
 
 
+def required(df: DataFrame, *columns: str) -> DataFrame:
+    """A NULL in one of the columns is an error, as in a table that declares them NOT NULL."""
+    def checked(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"{name} is NULL")).cast(df.schema[name].dataType)
+        return F.when(F.col(name).isNull(), missing).otherwise(F.col(name)).alias(name)
+
+    return df.select(*(checked(c) if c in columns else F.col(c) for c in df.columns))
+
+
 def stack(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by column name, missing columns filled with NULL.
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.conform import conform, lineage
 from ledgerloom.schemas import FINANCIAL_FACT
@@ -57,13 +58,18 @@ def _equal(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
 
-def project_fact(resolved: DataFrame, batch_id: str, as_of: Column | None = None) -> DataFrame:
-    return conform(resolved, FINANCIAL_FACT, constants=lineage(batch_id, as_of))
+def project_fact(
+    resolved: DataFrame, batch_id: str, as_of: Column | None = None, kept: Sequence[str] = ()
+) -> DataFrame:
+    """The fact columns, and after them those named in ``kept``, as they are."""
+    schema = T.StructType([*FINANCIAL_FACT, *(resolved.schema[name] for name in kept)])
+    return conform(resolved, schema, constants=lineage(batch_id, as_of))
 
 
 def new_facts(
     staged: DataFrame, current_dimension: DataFrame, existing: DataFrame | None,
     batch_id: str, as_of: Column | None = None, null_safe: bool = False, scope: str | None = None,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Staged rows to append to the fact table.
 
@@ -73,7 +79,7 @@ def new_facts(
     fresh = staged if existing is None else incremental(
         staged, existing, null_safe=null_safe, scope=scope
     )
-    return project_fact(resolve_keys(fresh, current_dimension), batch_id, as_of)
+    return project_fact(resolve_keys(fresh, current_dimension), batch_id, as_of, kept)
 
 
 def resolution_counts(facts: DataFrame) -> DataFrame:

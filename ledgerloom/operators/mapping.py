@@ -72,16 +72,29 @@ TRANSFORMATIONS: dict[str, Transformation] = {
 }
 
 
+# Columns that a transformation reads besides its source; one not listed may read any.
+READS: dict[Transformation, tuple[str, ...]] = {
+    direct: (), upper: (), currency_convert: ("currency",), split_comma: (), map_cy_py: (),
+}
+
+
 def apply_rule(
     df: DataFrame, source: str, rule: MappingRule, rates: Mapping[str, float],
     transformations: Mapping[str, Transformation] = TRANSFORMATIONS,
 ) -> DataFrame:
     """Add or replace the rule's target column; an unknown transformation copies directly."""
+    return df.withColumn(rule.target_column, _converted(df, source, rule, rates, transformations))
+
+
+def _converted(
+    df: DataFrame, source: str, rule: MappingRule, rates: Mapping[str, float],
+    transformations: Mapping[str, Transformation],
+) -> Column:
     transform = transformations.get(rule.transformation)
     if transform is None:
         log.warning("unknown transformation %s: copying directly", rule.transformation)
         transform = direct
-    return df.withColumn(rule.target_column, transform(df, source, rule, rates))
+    return transform(df, source, rule, rates)
 
 
 def apply_rules(
@@ -96,17 +109,25 @@ def apply_rules(
 
     ``aliases`` names the column that stands for a source field; ``targets``
     redirects a rule to another column. A later rule sees what an earlier one wrote.
-    The chain of projections is merged into one by the optimizer.
+
+    Rules that don't read what another of them writes form a layer, which is one
+    projection; a rule that reads an earlier target opens the next. So planning takes
+    time by the number of layers, not of rules.
     """
     aliases, targets = aliases or {}, targets or {}
+    known, layer = set(df.columns), {}
     for source_field, rule in rules_by_field(rules).items():
         source = aliases.get(source_field, source_field)
-        if source not in df.columns:
+        if source not in known:
             continue
         target = targets.get(source_field, rule.target_column)
+        others = READS.get(transformations.get(rule.transformation, direct))
+        if layer and (others is None or not layer.keys().isdisjoint({source, *others})):
+            df, layer = df.withColumns(layer), {}
         redirected = MappingRule(source_field, target, rule.transformation, rule.datatype)
-        df = apply_rule(df, source, redirected, rates, transformations)
-    return df
+        layer[target] = _converted(df, source, redirected, rates, transformations)
+        known.add(target)
+    return df.withColumns(layer) if layer else df
 
 
 def convert_with_rate_table(

@@ -155,5 +155,19 @@ def remove_duplicates(
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: input, kept and removed rows of :func:`remove_duplicates`, from one aggregation by key."""
+    present = [k for k in keys if k in df.columns]
+    if not present:
+        return df.agg(*(F.count(F.lit(1)).alias(n) for n in ("input_rows", "kept_rows"))).withColumn(
+            "removed_rows", F.lit(0).cast("bigint"))
+    groups = df.groupBy(*present).agg(F.count(F.lit(1)).alias("_rows"))
+    total = F.coalesce(F.sum("_rows"), F.lit(0))
+    return groups.agg(
+        total.alias("input_rows"), F.count(F.lit(1)).alias("kept_rows"),
+        (total - F.count(F.lit(1))).alias("removed_rows"),
+    )
+
+
 def keep_identified(df: DataFrame) -> DataFrame:
     return df.where(F.col("company_id").isNotNull())

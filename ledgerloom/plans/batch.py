@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.config import RunConfig, Source
 from ledgerloom.operators import facts, quality, scd2
-from ledgerloom.operators.conform import add_lineage, conform, stack, stage_companies, stage_financials
+from ledgerloom.operators.conform import add_lineage, conform, required, stack, stage_companies, stage_financials
 from ledgerloom.plans.shapes import shape
 from ledgerloom.plans.views import register_views
 from ledgerloom.sinks import DimensionStore, Warehouse
@@ -31,6 +31,7 @@ class SourceResult:
     staged: int
     has_companies: bool
     report: dict[str, int]
+    duplicates: int = 0
 
 
 @dataclass
@@ -43,6 +44,7 @@ class RunResult:
     unresolved: int = 0
     dimension: dict[str, int] = field(default_factory=dict)
     quality: dict[str, int] = field(default_factory=dict)
+    duplicates: dict[str, int] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
     seconds: float = 0.0
 
@@ -79,7 +81,7 @@ def run(
         "run_id": result.batch_id, "start_time": at, "status": "RUNNING",
         "source_files": str([s.name for s in config.sources]), "created_at": started,
     }
-    warehouse.log_run(record)
+    _log_run(warehouse, record)
     try:
         loaded: dict[str, SourceResult] = {}
         for source in config.sources:
@@ -89,7 +91,7 @@ def run(
                 )
             except Exception as error:  # one bad source must not stop the others
                 log.error("source %s failed: %s", source.name, error)
-                result.failed[source.name] = _first_line(error)
+                result.failed[source.name] = error_text(error)
                 continue
             if done is not None:
                 loaded[source.name] = done
@@ -99,12 +101,12 @@ def run(
         result.status = "SUCCESS"
     except Exception as error:
         result.status = "FAILED"
-        record["error_message"] = _first_line(error)
+        record["error_message"] = error_text(error)
         raise
     finally:
         ended = datetime.now()
         result.seconds = (ended - started).total_seconds()
-        warehouse.log_run({
+        _log_run(warehouse, {
             **record, "status": result.status, "end_time": ended, "created_at": ended,
             "records_processed": result.staged, "records_rejected": result.rejected,
             "failed_sources": str(sorted(result.failed)) if result.failed else None,
@@ -113,6 +115,14 @@ def run(
     return result
 
 
+def _log_run(warehouse: Warehouse, record: dict[str, object]) -> None:
+    """A run log that can't be written is an error of its own; the run goes on, and its error is not hidden."""
+    try:
+        warehouse.log_run(record)
+    except Exception as error:
+        log.error("run record %s not written: %s", record["run_id"], error)
+
+
 def load_source(
     spark: SparkSession, source: Source, config: RunConfig, warehouse: Warehouse,
     batch_id: str, at: datetime, all_reasons: bool = False,
@@ -140,28 +150,32 @@ def load_source(
     report = {k: int(v) for k, v in quality.quality_report(body).first().asDict().items()}
     reported = None if all_reasons else [code for code, n in report.items() if n > 0]
     valid, rejected = quality.validate(body, reported=reported)
-    if report["total_rejected"] > 0:
-        save_rejects(rejected, source, config, warehouse, batch_id, at)
+    # Also without rejects: a run of the same batch before may have left some.
+    save_rejects(rejected, source, config, warehouse, batch_id, at, report["total_rejected"] > 0)
 
     unique = quality.remove_duplicates(valid, reader.dedup_keys) if reader.dedup_keys else valid
     shaped = shape(unique, source.name, config.rules, config.rates, config.rules_everywhere)
-    staged = save(stage_financials(shaped, batch_id, now), FINANCIALS)
+    staged = save(required(stage_financials(shaped, batch_id, now), "company_id"), FINANCIALS)
+    # Staging keeps every unique row, so what is missing was a duplicate.
+    duplicates = report["total_passed"] - staged
+    if duplicates:
+        log.info("source %s: %d duplicates removed", source.name, duplicates)
     has_companies = "company_name" in shaped.columns
     if has_companies:
         stored = warehouse.read(FINANCIALS, schemas.STAGED_FINANCIALS, batch_id, source.name)
-        save(stage_companies(stored, batch_id, now), COMPANIES)
-    return SourceResult(staged, has_companies, report)
+        save(required(stage_companies(stored, batch_id, now), "company_id"), COMPANIES)
+    return SourceResult(staged, has_companies, report, duplicates)
 
 
 def save_rejects(
     rejected: DataFrame, source: Source, config: RunConfig, warehouse: Warehouse,
-    batch_id: str, at: datetime,
+    batch_id: str, at: datetime, any_rejects: bool = True,
 ) -> None:
     """Reject log and, if configured, a CSV folder. An error here is logged, not raised."""
     try:
         entries = quality.reject_log(rejected, source.name, batch_id, moment(at))
         warehouse.write(entries, REJECTS, batch_id, source.name)
-        if config.reject_path:
+        if config.reject_path and any_rejects:
             target = f"{config.reject_path.rstrip('/')}/reject_{source.name}_{at:%Y%m%d_%H%M%S}.csv"
             rejected.write.option("header", True).mode("overwrite").csv(target)
     except Exception as error:  # rejects are a report, the valid rows go on
@@ -187,23 +201,32 @@ def load_facts(
     warehouse: Warehouse, loaded: dict[str, SourceResult], result: RunResult, at: datetime,
     null_safe: bool,
 ) -> None:
-    """Append new facts; the dimension is already stored, so they meet its new keys."""
+    """Append new facts; the dimension is already stored, so they meet its new keys.
+
+    Facts lie under batch and source: known keys are looked for in the folders of this
+    batch's sources only, not in the whole history.
+    """
     if not loaded:
         log.warning("no financial data to load")
         return
     staged = stack([
         warehouse.read(FINANCIALS, schemas.STAGED_FINANCIALS, result.batch_id, name)
+        .withColumn("source", F.lit(name))
         for name in loaded
     ])
     # This batch's own facts are about to be replaced, so they do not count as known.
-    existing = warehouse.read(FACTS, schemas.FINANCIAL_FACT).where(
+    existing = warehouse.read(FACTS, schemas.FINANCIAL_FACT, sources=list(loaded)).where(
         F.col("batch_id") != result.batch_id
     )
     fresh = facts.new_facts(
         staged, DimensionStore(warehouse).current(), existing, result.batch_id, moment(at),
-        null_safe, scope="source_file",
+        null_safe, scope="source_file", kept=["source"],
     )
-    result.facts = warehouse.write(fresh, FACTS, result.batch_id)
+    result.facts = warehouse.write(
+        fresh, FACTS, result.batch_id, skip_empty=True, partition_by=["source"])
+    if not result.facts:
+        log.info("no new facts")
+        return
     stored = warehouse.read(FACTS, schemas.FINANCIAL_FACT, result.batch_id)
     result.unresolved = int(facts.resolution_counts(stored).first()["unresolved"])
     if result.unresolved:
@@ -218,19 +241,22 @@ def views(warehouse: Warehouse) -> None:
 
 
 def _summarise(result: RunResult, loaded: dict[str, SourceResult]) -> None:
-    for done in loaded.values():
+    for name, done in loaded.items():
+        result.duplicates[name] = done.duplicates
         result.staged += done.staged
         result.rejected += done.report["total_rejected"]
         for name, count in done.report.items():
             result.quality[name] = result.quality.get(name, 0) + count
 
 
-def _first_line(error: Exception) -> str:
-    """First line of an error, of its innermost Java cause if it has one."""
+def error_text(error: Exception) -> str:
+    """The whole text of an error, and that of its innermost Java cause where it says more."""
+    text = str(error) or type(error).__name__
     java = getattr(error, "java_exception", None)
-    text = str(error)
     if java is not None:
         while java.getCause() is not None:
             java = java.getCause()
-        text = java.getMessage() or java.toString()
-    return (text.splitlines() or [type(error).__name__])[0][:1000]
+        cause = java.getMessage() or java.toString()
+        if cause not in text:
+            text = f"{cause}\n{text}"
+    return text

@@ -57,7 +57,8 @@ class DimensionStore:
         if commits is None:
             return Commit(0, 0)
         row = commits.agg(F.max("version").alias("version"), F.max("max_sk").alias("max_sk")).first()
-        return Commit(row["version"], row["max_sk"])
+        # A first load that died before its commit row leaves the folder without rows.
+        return Commit(row["version"] or 0, row["max_sk"] or 0)
 
     def current(self) -> DataFrame:
         version = self.latest().version

@@ -6,11 +6,11 @@ job never duplicates rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     format: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -32,21 +33,39 @@ class Warehouse:
         parts = [table, f"batch_id={batch_id}"] + ([f"source={source}"] if source else [])
         return self.path(*parts)
 
-    def write(self, df: DataFrame, table: str, batch_id: str, source: str | None = None) -> int:
+    def write(
+        self, df: DataFrame, table: str, batch_id: str, source: str | None = None,
+        skip_empty: bool = False, partition_by: Sequence[str] = (),
+    ) -> int:
         """Replace the part of ``table`` that belongs to this batch and source; count its rows.
 
-        The count reads the file footers of what was written, so neither the plan nor
-        a retried stage is counted twice.
+        The rows are counted while they are written: no second job. With ``skip_empty``
+        a part without rows is not kept.
         """
         target = self._part(table, batch_id, source)
-        df.drop("batch_id").write.format(self.format).mode("overwrite").save(target)
-        return self.spark.read.format(self.format).load(target).count()
+        seen = Observation()
+        counted = df.drop("batch_id").observe(seen, F.count(F.lit(1)).alias("rows"))
+        writer = counted.write.format(self.format).options(**self.options).mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+        rows = int(seen.get["rows"])
+        if skip_empty and not rows:
+            self._drop(target)
+        return rows
+
+    def _drop(self, target: str) -> None:
+        """Remove a part."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     def read(
         self, table: str, schema: T.StructType, batch_id: str | None = None,
-        source: str | None = None,
+        source: str | None = None, sources: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Rows of a table, or of one batch and source of it; no rows if it was never written."""
+        """Rows of a table, or of one batch and source of it; no rows if it was never written.
+
+        ``sources``: of all batches, only the folders of these sources are read.
+        """
         reader = self.spark.read.format(self.format)
         if batch_id is None:
             columns = T.StructType([f for f in schema if f.name != "batch_id"])
@@ -61,6 +80,8 @@ class Warehouse:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
+        if sources is not None and "source" in df.columns:
+            df = df.where(F.col("source").isin(list(sources)))
         if batch_id is not None and "batch_id" in schema.names:
             df = df.withColumn("batch_id", F.lit(batch_id))
         return df.select(*schema.names)

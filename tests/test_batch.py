@@ -170,3 +170,77 @@ def test_dispatch():
     assert reader_for(Source("x", "xls", "p")) is None
     with pytest.raises(ValueError):
         reader_for(Source("x", "xml", "p"))
+
+
+def test_duplicates_are_counted_per_source(loaded):
+    _, _, _, (first, *_) = loaded
+    assert set(first.duplicates) == {"xbrl_xml", "hierarchical_xml", "financials_json", "period_json", "complex_csv"}
+    assert sum(first.duplicates.values()) == 0
+
+
+def test_known_facts_are_read_from_the_folders_of_the_sources(loaded):
+    _, warehouse, _, _ = loaded
+    known = warehouse.read(batch.FACTS, schemas.FINANCIAL_FACT, sources=["complex_csv"])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan or "(source" in plan.split("PartitionFilters")[1]
+    assert 0 < known.count() < facts(warehouse).count()
+
+
+def test_first_commit_that_died_counts_as_none(spark, tmp_path):
+    store = DimensionStore(Warehouse(spark, str(tmp_path / "wh")))
+    (tmp_path / "wh/dwh/dim_company/commits/version=1").mkdir(parents=True)
+    assert (store.latest().version, store.latest().max_sk) == (0, 0)
+    assert store.read().count() == 0
+
+
+def csv_source(tmp_path, text):
+    path = tmp_path / "t.csv"
+    path.write_text(text)
+    return RunConfig((Source("complex_csv", "csv", str(path)),))
+
+
+def test_clean_rerun_clears_the_rejects_and_counts_duplicates(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    header = "company_id,profit,year\n"
+    batch.run(spark, csv_source(tmp_path, header + ",1,2023\nC1,2,2023\n"), warehouse, "b1", datetime(2024, 1, 1))
+    assert warehouse.read(batch.REJECTS, schemas.REJECT_LOG).count() == 1
+    config = csv_source(tmp_path, header + "C1,2,2023\nC1,2,2023\n")
+    result = batch.run(spark, config, warehouse, "b1", datetime(2024, 1, 1))
+    assert warehouse.read(batch.REJECTS, schemas.REJECT_LOG).count() == 0
+    assert result.duplicates == {"complex_csv": 1}
+
+
+def test_nothing_new_leaves_no_fact_folder(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    config = csv_source(tmp_path, "company_id,profit,year\nC1,2,2023\n")
+    assert batch.run(spark, config, warehouse, "b1", datetime(2024, 1, 1), null_safe=True).facts == 1
+    assert batch.run(spark, config, warehouse, "b2", datetime(2024, 1, 2), null_safe=True).facts == 0
+    assert not (tmp_path / "wh" / batch.FACTS / "batch_id=b2").exists()
+
+
+def test_run_log_that_fails_neither_stops_nor_hides(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+
+    def fail(*args):
+        raise RuntimeError("no log")
+
+    monkeypatch.setattr(Warehouse, "log_run", fail)
+    assert batch.run(spark, RunConfig(()), warehouse, at=datetime(2024, 1, 1)).status == "SUCCESS"
+    monkeypatch.setattr(batch, "load_dimension", lambda *a: (_ for _ in ()).throw(ValueError("the real error")))
+    with pytest.raises(ValueError, match="the real error"):
+        batch.run(spark, RunConfig(()), warehouse, at=datetime(2024, 1, 1))
+
+
+def test_errors_are_kept_whole():
+    text = "first line\n" + "x" * 5000
+    assert batch.error_text(RuntimeError(text)) == text
+    assert batch.error_text(RuntimeError()) == "RuntimeError"
+
+
+def test_missing_company_id_is_an_error(spark):
+    from ledgerloom.operators.conform import required, stage_companies
+    rows = stage_companies(spark.createDataFrame([("A",)], "company_name string").selectExpr("*", "cast(null as string) as company_id"), "b1")
+    assert required(rows, "company_id").count() >= 0
+    staged = spark.createDataFrame([("C1",), (None,)], "company_id string")
+    with pytest.raises(Exception, match="company_id is NULL"):
+        required(staged, "company_id").collect()

@@ -373,3 +373,32 @@ def test_dates(spark):
     assert days.count() == 2557 and days.where("is_weekend").count() == 730
     first = days.orderBy("full_date").first()
     assert (first.dim_date_sk, first.day_of_week, first.month_name) == (1, 2, "January  ")
+
+
+def test_a_thousand_rules_are_planned_at_once(spark):
+    import time
+
+    rules = [MappingRule("a", "a", "direct", "int")] + [
+        MappingRule(f"c{i}", f"t{i}", "upper", "varchar") for i in range(1000)]
+    df = spark.range(1).selectExpr("id as a", *(f"'x{i}' as c{i}" for i in range(1000)))
+    began = time.perf_counter()
+    mapped = mapping.apply_rules(df, rules, {})
+    assert time.perf_counter() - began < 5
+    assert mapped.first()["t999"] == "X999"
+
+
+def test_rules_see_what_earlier_rules_wrote(spark):
+    df = spark.createDataFrame([("5,x", "eur", "q")], "profit string, code string, other string")
+    rules = [
+        MappingRule("code", "currency", "upper", "varchar"), MappingRule("profit", "amount", "split_comma", "numeric"),
+        MappingRule("amount", "usd", "currency_convert", "numeric"), MappingRule("other", "amount", "direct", "varchar")]
+    row = mapping.apply_rules(df, rules, {"EUR": 2.0}).first()
+    assert (row.currency, row.usd, row.amount) == ("EUR", 10.0, "q")
+
+
+def test_key_prefix_length_changes_no_key(spark):
+    df = spark.range(500).selectExpr("cast(id as string) as id")
+    found = [sorted(map(tuple, keys.assign_keys(df, "id", "sk", prefix_length=n).collect())) for n in (1, 3, 4)]
+    assert found[0] == found[1] == found[2]
+    with pytest.raises(ValueError):
+        keys.assign_keys(df, "id", "sk", prefix_length=5)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import facts, scd2
 from ledgerloom.plans import views
+from workloads import inputs
 from workloads.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,6 +43,17 @@ def test_filters_and_columns_reach_the_files(spark):
     assert "o_totalprice" not in plan and "c_acctbal" not in plan
 
 
+def test_ledger_filter_reaches_the_file(spark):
+    ledger = inputs.ledger(spark, SF_DIR, "line_id", "order_status").where("order_status = 'F'")
+    plan = ledger._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan
+
+
+def test_growth_by_company_and_file_reads_the_facts_once(spark):
+    plan = QUERIES["view_revenue_comparison_grain"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") <= 1
+
+
 SKEW = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",

@@ -24,33 +24,13 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*(F.expr(text).alias(name) for name, text in columns.items()))
 
 
-def _make(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Like ``_select``, but through ``inline``, so that each text is made once per row.
-
-    A plain projection would be merged into every expression of an operator, and the
-    timings would show the making of the input.
-    """
-    row = F.struct(*(F.expr(text).alias(name) for name, text in columns.items()))
-    return df.select(F.inline(F.array(row)))
-
-
 def _sql(columns: dict[str, str], source: str, where: str = "") -> str:
     shown = ", ".join(f"{text} AS {name}" for name, text in columns.items())
     return f"SELECT {shown} FROM {source} {where}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores if the table has fewer splits than the session has cores.
-
-    A small test table is one row group, which a single task would read and parse. A
-    table with more splits than cores is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     return orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
 
@@ -103,7 +83,7 @@ LEDGER_SQL = _sql(LEDGER, ORDERS_SQL)
 def ledger(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ledger, or the named columns of it; only what those need is read from the files."""
     wanted = {name: LEDGER[name] for name in columns or LEDGER}
-    return _make(_orders(spark, sf_dir), wanted)
+    return _select(_orders(spark, sf_dir), wanted)
 
 
 # One XML element per order: current and previous figures, some incomplete.
@@ -173,7 +153,7 @@ def period_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested records as one array per file, cut at closing braces into small blocks."""
-    records = _make(_orders(spark, sf_dir), {
+    records = _select(_orders(spark, sf_dir), {
         "file": JSON_FILE, "line_id": "o_orderkey", "parts": f"split(',' || {NESTED_RECORD}, '}}', -1)",
     })
     pieces = records.select(

@@ -213,6 +213,11 @@ ORACLES: dict[str, str] = {
         f"{PERIOD_TYPE} AS period_type, {whole('year')} AS year, {NUMBER} AS revenue, "
         f"{USD} AS revenue_usd, {digits('profit')} AS profit, currency FROM ledger"
     ),
+    "map_layers": (
+        f"{LEDGER}, m AS (SELECT *, {digits('revenue')} AS amount FROM ledger), "
+        f"u AS (SELECT *, round(amount * CAST({RATE} AS DOUBLE), 2) AS usd FROM m) "
+        "SELECT line_id, upper(company_name) AS name, amount, usd, usd AS copy, upper(company_name) AS period FROM u"
+    ),
     "dq_valid": f"{VALID} SELECT line_id, company_id, year, profit FROM valid",
     "dq_rejects": (
         f"{LEDGER} SELECT line_id, 'REJECTED' AS status, {REASON} AS reason "
@@ -243,6 +248,11 @@ ORACLES: dict[str, str] = {
         f"{LEDGER} SELECT company_id, year, line_id, source_file FROM (SELECT *, row_number() OVER "
         "(PARTITION BY company_id, year ORDER BY source_file, line_id) AS r FROM ledger) WHERE r = 1"
     ),
+    "dedup_counts": (
+        f"{LEDGER} SELECT CAST(sum(n) AS BIGINT) AS input_rows, count(*) AS kept_rows, "
+        "CAST(sum(n) AS BIGINT) - count(*) AS removed_rows "
+        "FROM (SELECT count(*) AS n FROM ledger GROUP BY company_id, year)"
+    ),
     "stage_financials": (
         f"{STAGED} SELECT company_id, company_name, period_type, year, revenue, revenue_usd, "
         f"profit, currency, source_file, {LINEAGE} FROM staged"
@@ -328,4 +338,13 @@ ORACLES: dict[str, str] = {
         "LEFT JOIN facts py ON d.dim_company_sk = py.dim_company_sk AND py.period_type = 'PY' "
         "AND cy.source_file = py.source_file WHERE d.is_current"
     ),
+    "view_revenue_comparison_grain": (
+        f"{FACTS}, cy AS (SELECT dim_company_sk, source_file, sum(revenue_usd) AS usd, max(year) AS year "
+        "FROM facts WHERE period_type = 'CY' GROUP BY ALL), py AS (SELECT dim_company_sk, source_file, "
+        "sum(revenue_usd) AS usd FROM facts WHERE period_type = 'PY' GROUP BY ALL) "
+        "SELECT d.company_id, d.company_name, cy.usd AS cy_revenue_usd, py.usd AS py_revenue_usd, "
+        "CASE WHEN py.usd > 0 THEN round((CAST(cy.usd AS DOUBLE) - CAST(py.usd AS DOUBLE)) / CAST(py.usd AS DOUBLE) * 100, 2) END "
+        "AS revenue_growth_pct, cy.year AS cy_year FROM dim d LEFT JOIN cy USING (dim_company_sk) "
+        "LEFT JOIN py ON py.dim_company_sk = d.dim_company_sk AND py.source_file = cy.source_file WHERE d.is_current"
+    ),
 }

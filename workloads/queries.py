@@ -179,6 +179,22 @@ def map_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def map_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that read what earlier rules wrote: text to number, number to dollars, and on."""
+    rules = [
+        MappingRule("company_name", "name", "upper", "varchar"),
+        MappingRule("revenue", "amount", "split_comma", "numeric"),
+        MappingRule("amount", "usd", "currency_convert", "numeric"),
+        MappingRule("usd", "copy", "direct", "numeric"),
+        MappingRule("period", "period", "map_cy_py", "varchar"),
+        MappingRule("name", "period", "direct", "varchar"),
+    ]
+    lines = inputs.ledger(spark, sf_dir, "line_id", "company_name", "revenue", "period", "currency")
+    mapped = mapping.apply_rules(lines, rules, DEFAULT_RATES)
+    return plain(mapped.select("line_id", "name", "amount", "usd", "copy", "period"))
+
+
 # Quality
 
 CHECKED = ("line_id", "company_id", "year", "profit")
@@ -247,6 +263,12 @@ def dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unique.select("company_id", "year", "line_id", "source_file")
 
 
+@query
+def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = inputs.ledger(spark, sf_dir, "company_id", "year")
+    return quality.duplicate_counts(lines, ["company_id", "year", "no_such_column"])
+
+
 # Staging
 
 
@@ -474,3 +496,10 @@ def view_summary_after_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 def view_revenue_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = views.revenue_comparison(_facts(spark, sf_dir), inputs.dimension(spark, sf_dir))
     return plain(compared)
+
+
+@query
+def view_revenue_comparison_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenues summed per company and file before they are compared."""
+    compared = views.revenue_comparison(_facts(spark, sf_dir), inputs.dimension(spark, sf_dir), grain="company_file")
+    return plain(compared)
