@@ -124,6 +124,17 @@ def reject_log(
     )
 
 
+def unusable_log(
+    found: DataFrame, source_name: str, batch_id: str, as_of: Column | None = None
+) -> DataFrame:
+    """Log entries of what a reader could make no row of: ``record_data, rejection_reason``."""
+    return found.select(
+        F.lit(source_name).alias("source_file"), "record_data", "rejection_reason",
+        F.lit("ERROR").alias("severity"), F.lit(batch_id).alias("batch_id"),
+        (F.current_timestamp() if as_of is None else as_of).alias("rejected_at"),
+    )
+
+
 def reason_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("cnt"))
 

@@ -22,6 +22,7 @@ from ledgerloom.sources.registry import METADATA_TABLE
 
 log = logging.getLogger(__name__)
 
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 FINANCIALS, COMPANIES = "staging/stg_financials", "staging/stg_companies"
 REJECTS, FACTS = "staging/stg_reject_log", "dwh/fact_financials"
 
@@ -32,6 +33,7 @@ class SourceResult:
     has_companies: bool
     report: dict[str, int]
     duplicates: int = 0
+    unusable: int = 0
 
 
 @dataclass
@@ -45,6 +47,7 @@ class RunResult:
     dimension: dict[str, int] = field(default_factory=dict)
     quality: dict[str, int] = field(default_factory=dict)
     duplicates: dict[str, int] = field(default_factory=dict)
+    unusable: dict[str, int] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
     seconds: float = 0.0
 
@@ -82,6 +85,8 @@ def run(
         "source_files": str([s.name for s in config.sources]), "created_at": started,
     }
     _log_run(warehouse, record)
+    repeated_keys = spark.conf.get(REPEATED_KEYS, None)
+    spark.conf.set(REPEATED_KEYS, "true")  # of a JSON key that occurs twice the last value counts
     try:
         loaded: dict[str, SourceResult] = {}
         for source in config.sources:
@@ -104,6 +109,7 @@ def run(
         record["error_message"] = error_text(error)
         raise
     finally:
+        spark.conf.unset(REPEATED_KEYS) if repeated_keys is None else spark.conf.set(REPEATED_KEYS, repeated_keys)
         ended = datetime.now()
         result.seconds = (ended - started).total_seconds()
         _log_run(warehouse, {
@@ -151,7 +157,9 @@ def load_source(
     reported = None if all_reasons else [code for code, n in report.items() if n > 0]
     valid, rejected = quality.validate(body, reported=reported)
     # Also without rejects: a run of the same batch before may have left some.
-    save_rejects(rejected, source, config, warehouse, batch_id, at, report["total_rejected"] > 0)
+    unreadable = reader.read_rejects(spark, source) if reader.read_rejects else None
+    unusable = save_rejects(
+        rejected, source, config, warehouse, batch_id, at, report["total_rejected"], unreadable)
 
     unique = quality.remove_duplicates(valid, reader.dedup_keys) if reader.dedup_keys else valid
     shaped = shape(unique, source.name, config.rules, config.rates, config.rules_everywhere)
@@ -164,22 +172,32 @@ def load_source(
     if has_companies:
         stored = warehouse.read(FINANCIALS, schemas.STAGED_FINANCIALS, batch_id, source.name)
         save(required(stage_companies(stored, batch_id, now), "company_id"), COMPANIES)
-    return SourceResult(staged, has_companies, report, duplicates)
+    return SourceResult(staged, has_companies, report, duplicates, unusable)
 
 
 def save_rejects(
     rejected: DataFrame, source: Source, config: RunConfig, warehouse: Warehouse,
-    batch_id: str, at: datetime, any_rejects: bool = True,
-) -> None:
-    """Reject log and, if configured, a CSV folder. An error here is logged, not raised."""
+    batch_id: str, at: datetime, known: int, unreadable: DataFrame | None = None,
+) -> int:
+    """Reject log and, if configured, a CSV folder of the ``known`` rejected rows.
+
+    Elements that gave no row (``unreadable``) join the log; returns their number. An error
+    here is logged, not raised.
+    """
+    unusable = 0
     try:
         entries = quality.reject_log(rejected, source.name, batch_id, moment(at))
-        warehouse.write(entries, REJECTS, batch_id, source.name)
-        if config.reject_path and any_rejects:
+        if unreadable is not None:
+            entries = stack([entries, quality.unusable_log(unreadable, source.name, batch_id, moment(at))])
+        unusable = warehouse.write(entries, REJECTS, batch_id, source.name) - known
+        if unusable:
+            log.warning("source %s: %d records without a usable row", source.name, unusable)
+        if config.reject_path and known:
             target = f"{config.reject_path.rstrip('/')}/reject_{source.name}_{at:%Y%m%d_%H%M%S}.csv"
             rejected.write.option("header", True).mode("overwrite").csv(target)
     except Exception as error:  # rejects are a report, the valid rows go on
         log.error("rejects of %s not written: %s", source.name, error)
+    return unusable
 
 
 def load_dimension(
@@ -243,8 +261,10 @@ def views(warehouse: Warehouse) -> None:
 def _summarise(result: RunResult, loaded: dict[str, SourceResult]) -> None:
     for name, done in loaded.items():
         result.duplicates[name] = done.duplicates
+        if done.unusable:
+            result.unusable[name] = done.unusable
         result.staged += done.staged
-        result.rejected += done.report["total_rejected"]
+        result.rejected += done.report["total_rejected"] + done.unusable
         for name, count in done.report.items():
             result.quality[name] = result.quality.get(name, 0) + count
 

@@ -2,7 +2,9 @@
 
 Values are read as VARIANT, because what a value turns into depends on its JSON
 type: the number 0 counts as absent, the text "0" does not; a missing object gives
-a row of NULLs, an explicit ``null`` drops the record.
+a row of NULLs, an explicit ``null`` drops the record. Elements that give no row are
+reported by the readers of rejects, with the reason. An object with a repeated key needs
+``spark.sql.variant.allowDuplicateKeys``, which a batch run sets; its last value counts.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.config import Source
 from ledgerloom.functions import file_name
-from ledgerloom.sources.json_split import read_records
+from ledgerloom.sources import json_split
 
 # The two periods of a record, in output order.
 PERIODS = ("CY", "PY")
@@ -136,28 +138,85 @@ def parse_records(texts: DataFrame, members: Sequence[str]) -> DataFrame:
     return parsed.select("source_file", *(member(F.col("_record"), m).alias(m) for m in members))
 
 
-def _records(spark: SparkSession, source: Source, members: Sequence[str]) -> DataFrame:
-    """Records of array files: by default one task per file.
+def parse_elements(runs: DataFrame, inside: bool = False) -> DataFrame:
+    """Each element of runs (see ``split_elements``) as VARIANT ``element``. Broken JSON fails the source.
 
-    With ``lines=true`` each line is a record and files are split; with
-    ``splittable=true`` arrays are, which a file larger than a task's memory needs.
+    A file whose top level is no list gives one row with the whole text as a JSON string
+    and ``no_list`` set. ``inside``: the runs come from within a list.
     """
-    if source.flag("splittable", False):
-        texts = read_records(spark, source.path)
-        return parse_records(
-            texts.select("record", file_name(F.col("file")).alias("source_file")), members
-        )
-    return (
-        spark.read.schema(", ".join(f"{m} variant" for m in members))
-        .options(multiLine=not source.flag("lines", False), mode="FAILFAST")
-        .json(source.path)
-        .select(*members, F.col("_metadata.file_name").alias("source_file"))
+    text = F.col("text")
+    listed = F.lit(True) if inside else (~F.col("first")) | text.rlike(r"^[\s\uFEFF]*\[")
+    bare = F.regexp_replace(text, r"^[\s\uFEFF]*[\[,]", "")
+    bare = F.when(F.col("last") & F.lit(not inside), F.regexp_replace(bare, r"\]\s*$", "")).otherwise(bare)
+    # A file of white space alone holds nothing.
+    whole = F.when(listed, F.concat(F.lit("["), bare, F.lit("]"))).when(text.rlike(r"\S"), F.to_json(F.array(text)))
+    parsed = runs.select("source_file", (~listed).alias("no_list"), F.parse_json(whole).alias("list"))
+    return parsed.select(
+        "source_file", "no_list",
+        F.explode(F.try_variant_get("list", "$", "array<variant>")).alias("element"),
     )
 
 
+def read_elements(spark: SparkSession, source: Source) -> DataFrame:
+    """Every element of array files, read by many tasks per file; with ``lines=true`` each line is one."""
+    if source.flag("lines", False):
+        lines = spark.read.text(source.path).where(F.col("value").rlike(r"\S"))
+        return lines.select(
+            F.col("_metadata.file_name").alias("source_file"), F.lit(False).alias("no_list"),
+            F.parse_json("value").alias("element"))
+    runs = json_split.read_elements(spark, source.path)
+    return parse_elements(runs.withColumn("source_file", file_name(F.col("file"))))
+
+
+def records_of(elements: DataFrame, members: Sequence[str]) -> DataFrame:
+    """Members of the elements that are objects."""
+    objects = elements.where(~F.col("no_list") & kind(F.col("element")).startswith("OBJECT"))
+    return objects.select("source_file", *(member(F.col("element"), m).alias(m) for m in members))
+
+
+NO_LIST, NO_OBJECT, UNUSABLE = "NO_JSON_LIST; ", "NO_JSON_OBJECT; ", "UNUSABLE_RECORD; "
+
+
+def rejected_elements(elements: DataFrame, opened: Column) -> DataFrame:
+    """Elements that give no row, or not all: ``record_data, rejection_reason, source_file``.
+
+    ``opened`` says of an object whether all that a record needs can be descended into.
+    """
+    reason = (
+        F.when(F.col("no_list"), NO_LIST)
+        .when(~kind(F.col("element")).startswith("OBJECT"), NO_OBJECT)
+        .when(~opened, UNUSABLE)
+    )
+    return elements.select(
+        F.to_json("element").alias("record_data"), reason.alias("rejection_reason"), "source_file",
+    ).where("rejection_reason IS NOT NULL")
+
+
+def _descends(*path: str) -> Column:
+    """Whether the member at the path of the element is missing or an object."""
+    value = F.try_variant_get(F.col("element"), "$." + ".".join(path), "variant")
+    return value.isNull() | kind(value).startswith("OBJECT")
+
+
+def nested_opened() -> Column:
+    return _descends("company") & _descends("company", "details") & _descends("company", "details", "financials")
+
+
+def periods_opened() -> Column:
+    return _descends("financials") & _descends("financials", "CY") & _descends("financials", "PY")
+
+
 def read_nested(spark: SparkSession, source: Source) -> DataFrame:
-    return nested_rows(_records(spark, source, ["company"]))
+    return nested_rows(records_of(read_elements(spark, source), ["company"]))
 
 
 def read_periods(spark: SparkSession, source: Source) -> DataFrame:
-    return period_rows(_records(spark, source, ["company_id", "financials"]))
+    return period_rows(records_of(read_elements(spark, source), ["company_id", "financials"]))
+
+
+def nested_rejects(spark: SparkSession, source: Source) -> DataFrame:
+    return rejected_elements(read_elements(spark, source), nested_opened())
+
+
+def period_rejects(spark: SparkSession, source: Source) -> DataFrame:
+    return rejected_elements(read_elements(spark, source), periods_opened())

@@ -1,4 +1,4 @@
-"""Records of one huge JSON array, read by many tasks.
+"""Elements of one huge JSON array, read by many tasks.
 
 The text is read up to each closing brace, which Spark splits anywhere. Whether a
 brace closes a record depends on the text before it: is it inside a string, and how
@@ -6,8 +6,9 @@ deep. As with sectioned CSV, each block is scanned under both assumptions about
 start (outside or inside a string), shrinks to one summary row, and the summaries of
 a file are scanned in order to tell every block how it really starts.
 
-Other values of the array are no records and are skipped, except for inner arrays:
-those are an error, as is a file that ends too early.
+Other values of the array (numbers, texts, null, lists, also lists of objects) stand
+between records and come out with the record after them, or in a rest at the end of the
+file. So nothing of the array is lost. A file that ends too early is an error.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ def _sum(column: Column, window: WindowSpec) -> Column:
 
 
 def _measure(pieces: DataFrame) -> DataFrame:
-    """Per piece: does it flip the string state, and by how much does it change the depth.
+    """Per piece: does it flip the string state, and by how much does it change the depth
+    (of objects and lists together) and that of lists alone.
 
     ``depth_0`` holds if the piece starts outside a string, ``depth_1`` if inside. A
     piece ends at a closing brace, which counts if the piece ends outside.
@@ -54,12 +56,12 @@ def _measure(pieces: DataFrame) -> DataFrame:
         F.regexp_replace(F.concat(F.lit('"'), plain), STRING, "").alias("bare_1"),
     )
     closes = {"0": 1 - F.col("flips"), "1": F.col("flips")}
+    lists = {
+        h: count(F.col(f"bare_{h}"), "[") - count(F.col(f"bare_{h}"), "]") for h in closes
+    }
     return bare.withColumns({
-        **{f"depth_{h}": count(F.col(f"bare_{h}"), "{") - closes[h] for h in closes},
-        **{
-            f"lists_{h}": count(F.col(f"bare_{h}"), "[") - count(F.col(f"bare_{h}"), "]")
-            for h in closes
-        },
+        **{f"depth_{h}": count(F.col(f"bare_{h}"), "{") - closes[h] + lists[h] for h in closes},
+        **{f"lists_{h}": lists[h] for h in closes},
     }).drop("bare_0", "bare_1")
 
 
@@ -79,11 +81,12 @@ def _scan_blocks(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _carry(scanned: DataFrame) -> DataFrame:
+def _carry(scanned: DataFrame, top: int) -> DataFrame:
     """State at the start of each block: one row per block, scanned in file order.
 
-    A record ends where the depth reaches zero, the lowest it can be; so if a block
-    has an end at all, the last one is the last closing brace at the block's lowest depth.
+    A record ends where the depth falls to ``top``, the lowest it can be at a closing
+    brace; so if a block has an end at all, the last one is the last closing brace at the
+    block's lowest depth.
     """
     def lowest(start: int) -> Column:
         depth = F.when((F.col("flipped") + start) % 2 == 0, F.col(f"depth_{start}"))
@@ -93,6 +96,7 @@ def _carry(scanned: DataFrame) -> DataFrame:
     ends = ["flipped", "depth_0", "depth_1", "lists_0", "lists_1"]
     summary = scanned.groupBy("file", "block").agg(
         *(F.max_by(name, "pos").alias(name) for name in ends), lowest(0), lowest(1),
+        F.min_by(F.regexp_extract("line", r"^[\s\uFEFF]*(\S?)", 1), "pos").alias("head"),
         # Read here too, so that Spark reuses the shuffle of the pieces.
         F.max(F.length("line")).alias("longest"),
     )
@@ -100,20 +104,22 @@ def _carry(scanned: DataFrame) -> DataFrame:
         "starts_inside", _sum(F.col("flipped"), _earlier_blocks()) % 2
     ).select(
         "file", "block", "starts_inside", "longest",
+        # Does the file hold a list at its top level? Pieces from within one always do.
+        F.lit(True).alias("listed") if top == 0 else
+        (F.first("head").over(Window.partitionBy("file").orderBy("block")) == "[").alias("listed"),
         *(_actual(name).alias(name) for name in ("depth", "lists", "lowest")),
     ).withColumns({
         "depth_in": _sum(F.col("depth"), _earlier_blocks()),
-        "lists_in": _sum(F.col("lists"), _earlier_blocks()),
         "lists_left": F.sum("lists").over(Window.partitionBy("file")),
     })
     last_end = F.when(
-        F.col("depth_in") + F.col("lowest.depth") == 0,
+        F.col("listed") & (F.col("depth_in") + F.col("lowest.depth") == top),
         F.struct("block", (-F.col("lowest.back")).alias("pos")),
     )
     return entered.withColumn(
         "after_in", F.last(last_end, ignorenulls=True).over(_earlier_blocks())
     ).select(
-        "file", "block", "starts_inside", "depth_in", "lists_in", "lists_left", "after_in", "longest"
+        "file", "block", "starts_inside", "depth_in", "lists_left", "listed", "after_in", "longest"
     )
 
 
@@ -122,22 +128,24 @@ def _actual(name: str) -> Column:
     return F.when(F.col("starts_inside") == 1, F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
 
 
-def split_records(pieces: DataFrame) -> DataFrame:
-    """Text of each top-level object. Needs ``file, block, pos, line``, cut at closing braces.
+def split_elements(pieces: DataFrame, top: int = 1) -> DataFrame:
+    """Runs of elements: ``file, text, first, last``. Needs ``file, block, pos, line``, cut at closing braces.
 
-    A record is named by the end of the one before it, found in its own block or
-    carried over from an earlier one. A group is the pieces of one record, nothing more.
+    A run is a top-level object with the other elements before it; the last run of a file is
+    what follows its last object. It still has the separator before it, and the array's
+    brackets at both ends of the file. ``top`` is 1 for whole files, 0 for pieces from
+    within an array.
+
+    A run is named by the end of the one before it, found in its own block or carried over
+    from an earlier one. A group is the pieces of one run, nothing more.
     """
     scanned = _scan_blocks(placed_only(pieces))
-    placed = scanned.join(_carry(scanned), ["file", "block"]).where("longest >= 0")
+    placed = scanned.join(_carry(scanned, top), ["file", "block"]).where("longest >= 0")
     outside = (F.col("starts_inside") + F.col("flipped")) % 2 == 0
-    closed = (F.col("depth_in") + _actual("depth") == 0) & outside
-    problem = F.when(F.col("lists_left") != 0, "JSON ends too early: ").when(
-        closed & (F.col("lists_in") + _actual("lists") > 1), "array inside the JSON array: "
-    )
+    closed = F.col("listed") & (F.col("depth_in") + _actual("depth") == top) & outside
     ended = placed.select(
         "file", "block", "pos", "line", "after_in",
-        F.when(problem.isNotNull(), F.raise_error(F.concat(problem, "file")).cast("boolean"))
+        F.when(F.col("lists_left") != 0, F.raise_error(F.concat(F.lit("JSON ends too early: "), "file")).cast("boolean"))
         .otherwise(closed).alias("ends"),
     )
     last_end = F.last(F.when(F.col("ends"), F.struct("block", "pos")), ignorenulls=True)
@@ -148,11 +156,12 @@ def split_records(pieces: DataFrame) -> DataFrame:
             F.bool_or("ends").alias("complete"),
         )
     )
-    text = F.concat(F.array_join(F.col("parts.line"), "}"), F.lit("}"))
-    # Before its first brace stand separators and other values of the array.
-    record = F.regexp_extract(text, r'(?s)^(?:[^{"]++|"(?:[^"\\]++|\\.)*+")*+(\{.*)$', 1)
-    return gathered.where("complete").select("file", record.alias("record"))
+    text = F.array_join(F.col("parts.line"), "}")
+    return gathered.select(
+        "file", F.when(F.col("complete"), F.concat(text, F.lit("}"))).otherwise(text).alias("text"),
+        F.col("after").isNull().alias("first"), (~F.col("complete")).alias("last"),
+    )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    return split_records(ordered_lines(spark, path, line_sep="}"))
+def read_elements(spark: SparkSession, path: str) -> DataFrame:
+    return split_elements(ordered_lines(spark, path, line_sep="}"))

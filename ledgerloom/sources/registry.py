@@ -19,7 +19,11 @@ Read = Callable[[SparkSession, Source], DataFrame]
 
 @dataclass(frozen=True)
 class Reader:
-    """``name`` None serves every source of its kind. ``dedup_keys`` make its rows unique."""
+    """``name`` None serves every source of its kind. ``dedup_keys`` make its rows unique.
+
+    ``read_rejects`` finds what ``read`` can make no row of: record_data, rejection_reason,
+    source_file.
+    """
 
     kind: str
     name: str | None
@@ -27,6 +31,7 @@ class Reader:
     raw_schema: T.StructType
     read: Read
     read_metadata: Read | None = None
+    read_rejects: Read | None = None
     dedup_keys: tuple[str, ...] = ()
 
 
@@ -43,9 +48,9 @@ READERS: tuple[Reader, ...] = (
     Reader("xml", "hierarchical_xml", "raw/xml_hierarchical_data", schemas.RAW_HIERARCHICAL_XML,
            xml.read_companies),
     Reader("json", "financials_json", "raw/json_financials_data", schemas.RAW_NESTED_JSON,
-           json.read_nested),
+           json.read_nested, read_rejects=json.nested_rejects),
     Reader("json", "period_json", "raw/json_period_data", schemas.RAW_PERIOD_JSON,
-           json.read_periods),
+           json.read_periods, read_rejects=json.period_rejects),
     Reader("csv", None, "raw/csv_data", schemas.RAW_CSV, sectioned_csv.read_tables,
            sectioned_csv.read_metadata, dedup_keys=("company_id", "year")),
 )

@@ -7,9 +7,8 @@ from pyspark.errors import PySparkException
 
 from ledgerloom.config import Source
 from ledgerloom.sources import json
-from ledgerloom.sources.json_split import read_records
 
-WAYS = [{}, {"splittable": "true"}, {"lines": "true"}]
+WAYS = [{}, {"lines": "true"}]
 
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
@@ -97,24 +96,79 @@ def test_splitting_random_arrays(spark, tmp_path):
     try:
         for n in range(12):
             records = [
-                rnd.choice(["x}{", 5, None, [1], "["]) if rnd.random() < 0.3
+                rnd.choice(["x}{", 5, None, [1], "[", [{"a": 5}, [{}]], []]) if rnd.random() < 0.3
                 else {"company": value(), "z": value()}
                 for _ in range(rnd.randint(0, 10))
             ]
             path = tmp_path / f"{n}.json"
             path.write_text(pyjson.dumps(records, indent=rnd.choice([None, 2])))
             spark.conf.set("spark.sql.files.maxPartitionBytes", str(rnd.choice([7, 16, 40, 1000])))
-            got = [pyjson.loads(r.record) for r in read_records(spark, str(path)).collect()]
-            want = [r for r in records if isinstance(r, dict)]
-            assert sorted(got, key=str) == sorted(want, key=str), path.read_text()
+            found = json.read_elements(spark, Source("any", "json", str(path)))
+            got = [pyjson.loads(r.text) for r in found.selectExpr("to_json(element) as text").collect()]
+            shown = [sorted(pyjson.dumps(r, sort_keys=True) for r in x) for x in (got, records)]
+            assert shown[0] == shown[1], path.read_text()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-@pytest.mark.parametrize("text", ['[{"a":1},{"a":5', '[{"a":1},[{"a":5}]]'])
-def test_what_cannot_be_split_is_an_error(spark, tmp_path, text):
+def test_a_list_that_ends_too_early_is_an_error(spark, tmp_path):
     path = tmp_path / "odd.json"
-    path.write_text(text)
+    path.write_text('[{"a":1},{"a":5')
     with pytest.raises(SPARK_ERRORS):
-        read_records(spark, str(path)).collect()
+        json.read_elements(spark, Source("any", "json", str(path))).collect()
+
+
+@pytest.mark.parametrize("options", WAYS)
+def test_one_bad_element_leaves_the_others(spark, tmp_path, options):
+    records = [{"company": {"company_id": "C1"}}, 5, None, "}", [{"company": {"company_id": "no"}}],
+               {"company": {"company_id": "C2", "details": None}}, {"company": {"company_id": "C3"}}, [], True]
+    source = write(tmp_path / "m.json", records, options)
+    assert rows(json.read_nested(spark, source)) == [
+        ("C1", None, None, None, "m.json"), ("C3", None, None, None, "m.json")]
+    rejects = rows(json.nested_rejects(spark, source))
+    assert rejects == sorted(
+        [(pyjson.dumps(r, separators=(",", ":")), json.NO_OBJECT, "m.json") for r in (5, None, "}", records[4], [], True)]
+        + [(pyjson.dumps(records[5], separators=(",", ":")), json.UNUSABLE, "m.json")], key=str)
+
+
+@pytest.mark.parametrize("text,data", [('{"company": {"company_id": "C1"}}\n', True), ("", False), (" \n", False), ("[]", False), ("5", True)])
+def test_files_without_a_list(spark, tmp_path, text, data):
+    path = tmp_path / "t.json"
+    path.write_text(text)
+    source = Source("any", "json", str(path))
+    assert json.read_nested(spark, source).count() == 0
+    assert [r.rejection_reason for r in json.nested_rejects(spark, source).collect()] == [json.NO_LIST] * data
+
+
+def test_one_list_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "big.json"
+    path.write_text(pyjson.dumps([{"company": {"company_id": f"C{i}"}} for i in range(2000)]))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        from ledgerloom.sources.ordered_text import ordered_lines
+        assert ordered_lines(spark, str(path), "}").rdd.getNumPartitions() > 10
+        assert json.read_nested(spark, Source("any", "json", str(path))).count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_repeated_keys_and_rejects_in_a_batch(spark, tmp_path):
+    from datetime import datetime
+
+    from ledgerloom import schemas
+    from ledgerloom.config import RunConfig
+    from ledgerloom.plans import batch
+    from ledgerloom.sinks import Warehouse
+
+    path = tmp_path / "r.json"
+    path.write_text('[{"company_id": "A", "company_id": "B", "financials": {"CY": {"revenue": 1}, "PY": {"revenue": 2}}}, 7]')
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    result = batch.run(spark, RunConfig((Source("period_json", "json", str(path)),)), warehouse, "b1", datetime(2024, 1, 1))
+    assert result.failed == {} and result.staged == 2
+    assert (result.rejected, result.unusable) == (1, {"period_json": 1})
+    (entry,) = warehouse.read(batch.REJECTS, schemas.REJECT_LOG).collect()
+    assert (entry.record_data, entry.rejection_reason) == ("7", json.NO_OBJECT)
+    assert {r.company_id for r in warehouse.read(batch.FINANCIALS, schemas.STAGED_FINANCIALS).collect()} == {"B"}

@@ -151,10 +151,18 @@ def period_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json.parse_records(texts, ["company_id", "financials"])
 
 
-def json_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nested records as one array per file, cut at closing braces into small blocks."""
+# What stands before some of the records of a list, without being a record.
+OTHER_ELEMENTS = (
+    "CASE WHEN o_orderkey % 13 = 0 THEN '5,' WHEN o_orderkey % 11 = 0 THEN 'null, \"x}{\",' "
+    "WHEN o_orderkey % 7 = 0 THEN '[{\"a\":1},2],' ELSE '' END"
+)
+
+
+def json_pieces(spark: SparkSession, sf_dir: str, others: str = "''") -> DataFrame:
+    """The nested records, ``others`` before them, from within one list per file, cut at
+    closing braces into small blocks."""
     records = _select(_orders(spark, sf_dir), {
-        "file": JSON_FILE, "line_id": "o_orderkey", "parts": f"split(',' || {NESTED_RECORD}, '}}', -1)",
+        "file": JSON_FILE, "line_id": "o_orderkey", "parts": f"split(',' || {others} || {NESTED_RECORD}, '}}', -1)",
     })
     pieces = records.select(
         "file", "line_id",

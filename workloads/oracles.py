@@ -189,6 +189,15 @@ ORACLES: dict[str, str] = {
     "xml_hierarchical": COMPANY_XML,
     "json_nested": NESTED_JSON,
     "json_split": NESTED_JSON,
+    "json_mixed_elements": NESTED_JSON,
+    "json_rejects": (
+        f"WITH o AS (SELECT *, {i.JSON_FILE} AS source_file FROM {ORDERS}) "
+        f"SELECT unnest(CASE WHEN o_orderkey % 13 = 0 THEN ['5'] WHEN o_orderkey % 11 = 0 THEN ['null', '\"x}}{{\"'] "
+        f"WHEN o_orderkey % 7 = 0 THEN ['[{{\"a\":1}},2]'] ELSE [] END) AS record_data, "
+        "'NO_JSON_OBJECT; ' AS rejection_reason, source_file FROM o UNION ALL "
+        f"SELECT {i.NESTED_RECORD}, 'UNUSABLE_RECORD; ', source_file FROM o "
+        "WHERE o_orderkey % 31 = 0 OR (o_orderkey % 23 = 0 AND o_orderkey % 29 <> 0)"
+    ),
     "json_periods": PERIOD_JSON,
     "json_events": (
         "SELECT event_id, nullif(json_extract_string(props, '$.k'), '0') AS k FROM events"

@@ -14,7 +14,7 @@ from ledgerloom.operators import facts, mapping, quality, scd2
 from ledgerloom.plans import dates, views
 from ledgerloom.plans.shapes import shape
 from ledgerloom.sources import json, sectioned_csv, xml
-from ledgerloom.sources.json_split import split_records
+from ledgerloom.sources.json_split import split_elements
 from workloads import inputs
 from workloads.inputs import table
 
@@ -75,9 +75,26 @@ def json_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested records again, found in array text that is cut into blocks."""
-    records = split_records(inputs.json_pieces(spark, sf_dir))
-    texts = records.select("record", F.col("file").alias("source_file"))
-    return json.nested_rows(json.parse_records(texts, ["company"]))
+    return json.nested_rows(json.records_of(_elements(inputs.json_pieces(spark, sf_dir)), ["company"]))
+
+
+def _elements(pieces: DataFrame) -> DataFrame:
+    runs = split_elements(pieces, top=0).withColumnRenamed("file", "source_file")
+    return json.parse_elements(runs, inside=True)
+
+
+@query
+def json_mixed_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, texts, nulls and lists between the records leave the records as they are."""
+    pieces = inputs.json_pieces(spark, sf_dir, inputs.OTHER_ELEMENTS)
+    return json.nested_rows(json.records_of(_elements(pieces), ["company"]))
+
+
+@query
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every element that gives no row, with the reason."""
+    pieces = inputs.json_pieces(spark, sf_dir, inputs.OTHER_ELEMENTS)
+    return json.rejected_elements(_elements(pieces), json.nested_opened())
 
 
 @query
