@@ -15,52 +15,95 @@ from ledgerloom.config import Source
 from ledgerloom.functions import blank_to_null
 
 PERIOD_TAG = "entity"
+# Every child is a list: of a repeated child the first counts, except for ``financials``.
 PERIOD_SCHEMA = (
-    "identifier string, "
-    "financials array<struct<_period: string, revenue: string, profit: string>>"
+    "identifier array<string>, "
+    "financials array<struct<_period: string, revenue: array<string>, profit: array<string>>>"
 )
 COMPANY_TAG = "Company"
 COMPANY_SCHEMA = (
-    "CompanyID string, "
-    "Details struct<Name: string, Financials: struct<Revenue: string, Year: string>>"
+    "CompanyID array<string>, Details array<struct<Name: array<string>, "
+    "Financials: array<struct<Revenue: array<string>, Year: array<string>>>>>"
 )
 # A document that is not well formed fails its source, as a whole.
 PARSING = {"mode": "FAILFAST", "ignoreNamespace": "true"}
 
 
 def element_texts(spark: SparkSession, path: str, tag: str, prefix: str | None = None) -> DataFrame:
-    """One row per element: its text and its file. ``prefix`` is a namespace prefix in use.
+    """One row per element: its text and its file. ``prefix`` is a namespace prefix in use."""
+    return split_elements(_chunks(spark, path, _named(tag, prefix)), tag, prefix)
 
-    Whatever this textual split could get wrong is an error, never a lost row: a
-    prefix that was not declared, a closing tag with blanks, a commented-out element.
+
+def _chunks(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.text(path, lineSep=f"</{name}>").select(
+        F.col("value").alias("chunk"), F.col("_metadata.file_name").alias("source_file"))
+
+
+def _named(tag: str, prefix: str | None) -> str:
+    return f"{prefix}:{tag}" if prefix else tag
+
+
+def split_elements(chunks: DataFrame, tag: str, prefix: str | None = None) -> DataFrame:
+    """Elements of documents that were cut at the element's closing tag: ``chunk, source_file``.
+
+    Whatever this textual split could get wrong is an error, never a lost or invented row:
+    another encoding than UTF-8, a prefix that was not declared, a closing tag with blanks,
+    a commented-out element. A second look at the chunks, one row per file, finds documents
+    that end too early and elements that aren't children of the root.
     """
-    name = f"{prefix}:{tag}" if prefix else tag
-    chunk = F.col("value")
+    name = _named(tag, prefix)
+    chunk = F.col("chunk")
     found = F.regexp_extract(chunk, rf"(?s)^.*(<{name}[\s>].*)$", 1)
+    encoding = F.lower(F.regexp_extract(chunk, r"""^[\s\uFEFF]*<\?xml[^>]*?encoding\s*=\s*["']([^"']+)""", 1))
     unsafe = (
         F.when(
+            ~encoding.isin("", "utf-8", "utf8", "us-ascii", "ascii"),
+            F.concat(F.lit("document is encoded as "), encoding, F.lit(": set splittable=false")),
+        )
+        .when(
             chunk.rlike(rf"<[^<>/\s:]+:{tag}[\s>]") if prefix is None else F.lit(False),
-            f"{tag} elements carry a namespace prefix: set option prefix or splittable=false",
+            F.lit(f"{tag} elements carry a namespace prefix: set option prefix or splittable=false"),
         )
         .when(
             F.regexp_count(chunk, F.lit(rf"<{name}[\s>]")) > 1,
-            f"unusual closing tag of {tag}: set splittable=false",
+            F.lit(f"unusual closing tag of {tag}: set splittable=false"),
         )
         .when(
             chunk.contains("<!--") & chunk.rlike(rf"(?s)<!--(?:(?!-->).)*<{name}[\s>]"),
-            f"{tag} inside a comment: set splittable=false",
+            F.lit(f"{tag} inside a comment: set splittable=false"),
         )
     )
-    return (
-        spark.read.text(path, lineSep=f"</{name}>")
-        .select(
+    elements = (
+        chunks.select(
             F.when(unsafe.isNotNull(), F.raise_error(unsafe).cast("string"))
-            .otherwise(found).alias("element"),
-            F.col("_metadata.file_name").alias("source_file"),
+            .otherwise(found).alias("element"), "source_file",
         )
         .where("element != ''")
         .withColumn("element", F.concat("element", F.lit(f"</{name}>")))
     )
+    return elements.unionByName(_incomplete(chunks, name))
+
+
+def _incomplete(chunks: DataFrame, name: str) -> DataFrame:
+    """No row, but an error if a document isn't closed or holds elements below other elements.
+
+    What stands outside of the elements opens and closes the root: over a whole document
+    its tags are level, and only the root is ever opened around an element. The last
+    chunk holds no element and closes the root.
+    """
+    plain = F.regexp_replace("chunk", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>", "")
+    before = F.regexp_replace(plain, rf"(?s)<{name}[\s>].*$", "")
+    opened = F.regexp_count(before, F.lit(r"<[^/<>](?:[^<>]*[^/<>])?>")) - F.regexp_count(before, F.lit("</"))
+    tail = (before == plain) & plain.rlike(r"(?:</[^<>]+|/)>\s*$")
+    state = chunks.select("source_file", opened.alias("opened"), tail.alias("tail"), plain.rlike(r"\S").alias("any"))
+    files = state.groupBy("source_file").agg(
+        F.bool_or("tail").alias("closed"), F.sum("opened").alias("level"),
+        F.sum(F.greatest("opened", F.lit(0))).alias("around"), F.bool_or("any").alias("any"),
+    )
+    problem = F.when(~F.col("closed") | (F.col("level") != 0), "XML ends too early: ").when(
+        F.col("around") > 1, f"{name} below another element, set splittable=false: ")
+    wrong = files.where("any").select(F.concat(problem, "source_file").alias("problem"), "source_file").where("problem IS NOT NULL")
+    return wrong.select(F.raise_error(F.col("problem")).cast("string").alias("element"), "source_file")
 
 
 def _elements(spark: SparkSession, source: Source, tag: str, schema: str) -> DataFrame:
@@ -69,39 +112,46 @@ def _elements(spark: SparkSession, source: Source, tag: str, schema: str) -> Dat
         texts = element_texts(spark, source.path, tag, source.options.get("prefix"))
         return parse_elements(texts, schema)
     rows = spark.read.format("xml").options(rowTag=tag, **PARSING).schema(schema).load(source.path)
-    return rows.select(F.struct(*rows.columns).alias("item"), F.col("_metadata.file_name").alias("source_file"))
+    items = rows.select(F.struct(*rows.columns).alias("item"), F.col("_metadata.file_name").alias("source_file"))
+    # Spark's source takes what it finds of a document that ends too early.
+    return items.unionByName(parse_elements(_incomplete(_chunks(spark, source.path, tag), tag), schema))
 
 
 def parse_elements(texts: DataFrame, schema: str) -> DataFrame:
     return texts.select(F.from_xml("element", schema, PARSING).alias("item"), "source_file")
 
 
+def _first(column: str) -> Column:
+    """The first of a repeated child, NULL without any."""
+    return F.get(F.col(column), F.lit(0))
+
+
 def period_rows(elements: DataFrame) -> DataFrame:
     """One row per entity and ``financials`` child; an entity without any gives no row."""
     each = elements.select(
-        F.col("item.identifier").alias("company_id"),
+        _first("item.identifier").alias("company_id"),
         F.explode("item.financials").alias("f"),
         "source_file",
     )
     return each.select(
         blank_to_null(F.col("company_id")).alias("company_id"),
         F.coalesce("f._period", F.lit("UNKNOWN")).alias("period"),
-        blank_to_null(F.col("f.revenue")).alias("revenue"),
-        blank_to_null(F.col("f.profit")).alias("profit"),
+        blank_to_null(_first("f.revenue")).alias("revenue"),
+        blank_to_null(_first("f.profit")).alias("profit"),
         "source_file",
     )
 
 
 def company_rows(elements: DataFrame) -> DataFrame:
     """One row per company that has financial details."""
-    def cell(path: str, name: str) -> Column:
-        return blank_to_null(F.col(path)).alias(name)
-
-    return elements.where(F.col("item.Details.Financials").isNotNull()).select(
-        cell("item.CompanyID", "company_id"),
-        cell("item.Details.Name", "company_name"),
-        cell("item.Details.Financials.Revenue", "revenue"),
-        cell("item.Details.Financials.Year", "year"),
+    details = elements.select(
+        _first("item.CompanyID").alias("company_id"), _first("item.Details").alias("d"), "source_file"
+    ).select("*", _first("d.Financials").alias("f"))
+    return details.where("f IS NOT NULL").select(
+        blank_to_null(F.col("company_id")).alias("company_id"),
+        blank_to_null(_first("d.Name")).alias("company_name"),
+        blank_to_null(_first("f.Revenue")).alias("revenue"),
+        blank_to_null(_first("f.Year")).alias("year"),
         "source_file",
     )
 

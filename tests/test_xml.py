@@ -89,3 +89,48 @@ def test_broken_xml_fails(spark, tmp_path, options):
     path.write_text("<xbrl><entity><identifier>C1</x></entity></xbrl>")
     with pytest.raises(SPARK_ERRORS):
         xml.read_periods(spark, source(path, **options)).collect()
+
+
+@pytest.mark.parametrize("options", [{}, {"splittable": "false"}])
+@pytest.mark.parametrize("text", [
+    "<xbrl><entity><identifier>C1</identifier></entity>",
+    "<xbrl><entity><identifier>C1</identifier></entity><entity><identifier>C2</identifier>",
+    "<xbrl><entity><identifier>C1</identifier></entity><ent",
+])
+def test_a_document_that_ends_too_early_fails(spark, tmp_path, options, text):
+    path = tmp_path / "cut.xml"
+    path.write_text(text)
+    with pytest.raises(SPARK_ERRORS):
+        xml.read_periods(spark, source(path, **options)).collect()
+
+
+def test_elements_below_other_elements_are_an_error(spark, tmp_path):
+    path = tmp_path / "deep.xml"
+    path.write_text("<xbrl><entity><identifier>C1</identifier></entity><g><entity><identifier>C2</identifier></entity></g></xbrl>")
+    with pytest.raises(SPARK_ERRORS, match="below another element"):
+        xml.read_periods(spark, source(path)).collect()
+
+
+@pytest.mark.parametrize("options", [{}, {"splittable": "false"}])
+def test_the_first_of_repeated_children_counts(spark, tmp_path, options):
+    path = tmp_path / "r.xml"
+    path.write_text(
+        "<?xml version='1.0'?><xbrl><!-- a note --><other><x/></other><entity><identifier>1</identifier><identifier>2</identifier>"
+        "<financials period='CY'><revenue>1</revenue><revenue>9</revenue></financials></entity></xbrl>\n<!-- end -->\n")
+    assert rows(xml.read_periods(spark, source(path, **options))) == [("1", "CY", "1", None, "r.xml")]
+
+
+def test_other_encodings_need_the_unsplit_reader(spark, tmp_path):
+    path = tmp_path / "e.xml"
+    path.write_bytes(
+        '<?xml version="1.0" encoding="ISO-8859-1"?><Companies><Company><CompanyID>1</CompanyID><Details><Name>Café</Name>'
+        "<Financials/></Details></Company></Companies>".encode("latin-1"))
+    with pytest.raises(SPARK_ERRORS, match="iso-8859-1"):
+        xml.read_companies(spark, source(path)).collect()
+
+
+@pytest.mark.parametrize("text", ["<xbrl></xbrl>", "<xbrl/>", "<xbrl><note/></xbrl>\n", ""])
+def test_documents_without_elements_give_no_row(spark, tmp_path, text):
+    path = tmp_path / "none.xml"
+    path.write_text(text)
+    assert xml.read_periods(spark, source(path)).count() == 0

@@ -105,6 +105,19 @@ def period_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_orders(spark, sf_dir), {"element": PERIOD_ELEMENT, "source_file": XML_FILE})
 
 
+def period_documents(spark: SparkSession, sf_dir: str, prefix: str | None = None) -> DataFrame:
+    """The period elements as documents, cut at the closing tags; with ``prefix``, in its namespace."""
+    orders = _orders(spark, sf_dir)
+    body = _select(orders, {"chunk": f"replace({PERIOD_ELEMENT}, '</entity>', '')", "source_file": XML_FILE})
+    root = f'<?xml version="1.0" encoding="UTF-8"?><!-- entity --><xbrl xmlns{":" + prefix if prefix else ""}="urn:x">'
+    files = _select(orders, {"source_file": XML_FILE}).distinct()
+    ends = files.select(F.explode(F.array(F.lit(root), F.lit("</xbrl>"))).alias("chunk"), "source_file")
+    if prefix:
+        body = body.withColumn("chunk", F.regexp_replace("chunk", r"<(/?)(entity|identifier|financials|revenue|profit)", f"<$1{prefix}:$2"))
+        ends = ends.withColumn("chunk", F.regexp_replace("chunk", r"<(/?)xbrl", f"<$1{prefix}:xbrl"))
+    return stack([body, ends])
+
+
 # One Company element per order; customers without balance lack the details.
 COMPANY_ELEMENT = (
     f"'<Company><CompanyID>' || {COMPANY} || '</CompanyID>' || "

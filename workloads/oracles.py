@@ -186,6 +186,8 @@ LOAD = (
 
 ORACLES: dict[str, str] = {
     "xml_periods": PERIOD_XML,
+    "xml_documents": PERIOD_XML,
+    "xml_documents_prefixed": PERIOD_XML,
     "xml_hierarchical": COMPANY_XML,
     "json_nested": NESTED_JSON,
     "json_split": NESTED_JSON,

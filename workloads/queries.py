@@ -62,6 +62,20 @@ def xml_hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml.company_rows(xml.parse_elements(texts, xml.COMPANY_SCHEMA))
 
 
+@query
+def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements found in the text of whole documents with a default namespace."""
+    elements = xml.split_elements(inputs.period_documents(spark, sf_dir), xml.PERIOD_TAG)
+    return xml.period_rows(xml.parse_elements(elements, xml.PERIOD_SCHEMA))
+
+
+@query
+def xml_documents_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents with a namespace prefix."""
+    elements = xml.split_elements(inputs.period_documents(spark, sf_dir, "x"), xml.PERIOD_TAG, "x")
+    return xml.period_rows(xml.parse_elements(elements, xml.PERIOD_SCHEMA))
+
+
 @query
 def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json.nested_rows(inputs.nested_records(spark, sf_dir))
