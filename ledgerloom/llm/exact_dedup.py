@@ -23,8 +23,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import FILE, ROW, file_backed, located, saved, shared_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORE = "spark.sql.streaming.stateStore"
+#: Disk-backed state; without preallocated files, which many small stores would fill a disk with.
+SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+}
 _STATE = f"digest string, stays struct<doc_id:long,{FILE}:string,{ROW}:long>, group_size long"
 _STAYS = f"max(struct(doc_id, {FILE}, {ROW}))"
 
@@ -46,8 +51,9 @@ def keep_state(stream: DataFrame, checkpoint: str, out: str) -> None:
     again replaces it.
     """
     spark = stream.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         groups = stream.groupBy("digest").agg(F.expr(_STAYS).alias("stays"), F.count("*").alias("group_size"))
         query = (
@@ -57,7 +63,8 @@ def keep_state(stream: DataFrame, checkpoint: str, out: str) -> None:
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def groups(spark, out: str) -> DataFrame:
