@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerloom.llm import licenses
+
 _WORDS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
 
 _DECONTAMINATE = rf"""
@@ -61,8 +63,36 @@ SELECT *, ('0x' || substr(md5(concat_ws('|', '20240 place', copy_no::VARCHAR, do
           / 4503599627370496 AS position FROM x
 """
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    text = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    text = f"regexp_replace({text}, {_quoted(licenses.DROPPED)}, '', 'g')"
+    for other, one in licenses.EQUIVALENT:
+        text = f"replace({text}, '{other}', '{one}')"
+    lines = f"string_split(regexp_replace({text}, {_quoted(licenses.PUNCTUATION)}, ' ', 'g'), chr(10))"
+    return f"list_filter(list_transform({lines}, lambda x: trim(x)), lambda x: x <> '')"
+
+
+_LICENSES = f"""
+WITH texts (license_id, text) AS (VALUES {', '.join(f'({_quoted(i)}, {_quoted(t)})' for i, t in (*licenses.LICENSES, *licenses.NOTICES))}),
+known AS (SELECT license_id, sha256(array_to_string({_canonical('text')}, ' ')) AS digest FROM texts),
+d AS (SELECT row_number() OVER () AS rn, doc_id, {_canonical('text')} AS lines FROM documents),
+u AS (SELECT rn, doc_id, sha256(array_to_string(lines, ' ')) AS digest, unnest(lines) AS line FROM d),
+n AS (
+  SELECT rn, string_agg(license_id, ',' ORDER BY license_id) AS notices
+  FROM (SELECT DISTINCT rn, license_id FROM u JOIN known ON sha256(line) = known.digest) GROUP BY rn
+),
+w AS (SELECT rn, doc_id, sha256(array_to_string(lines, ' ')) AS digest FROM d)
+SELECT doc_id, w.digest, known.license_id, coalesce(notices, '') AS notices
+FROM w LEFT JOIN n USING (rn) LEFT JOIN (SELECT digest, min(license_id) AS license_id FROM known GROUP BY digest) known ON known.digest = w.digest
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontaminate": _DECONTAMINATE,
     "op6_mix": _MIX,
+    "op9_licenses": _LICENSES,
     "op10_exact_dedup": _EXACT,
 }
