@@ -10,8 +10,8 @@ never occurred in training only the seen part of the path takes part. The score
 probability of all bytes, so -log2 / bytes is the code length per byte.
 
 How it runs. One pass counts, within tasks, all strings of DEPTH + 1 bytes; all shallower
-counts follow from them. The counts are summed by a shuffle and partitioned by the two latest
-context bytes, under which a whole subtree lies together. Only the sums of the 65,280
+counts follow from them. The counts are sent as packed arrays and summed by their two latest
+context bytes, so a row of the sums holds a whole subtree. Only the sums of the 65,280
 possible nodes of depth 1 go to the driver, whatever the corpus. A second pass adds up the log
 probabilities of the strings of each text: frequent strings from a broadcast table of at most
 ``GRAMS`` entries, the others through a join. The unigram base is made alike, with at most
@@ -25,6 +25,7 @@ gives an empty result. Texts are never cut. Other columns are not read.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,8 +42,10 @@ FOLDS, HELD_OUT = 7, 2
 #: Entries of the broadcast tables, at most.
 GRAMS, TOKENS = 1 << 20, 1 << 19
 END = b"\n"
-#: Bytes that are counted at once, and strings held before a task sends them.
-_CHUNK, _HELD = 1 << 22, 1 << 22
+#: Bytes counted at once, strings held before they are summed up, strings whose trees are weighted at once.
+_CHUNK, _HELD, _SUBTREES = 1 << 21, 1 << 21, 1 << 18
+#: Groups that words are shuffled in.
+_BUCKETS = 1 << 14
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -53,16 +56,18 @@ def packed(texts: list[list[bytes]], depth: int = DEPTH) -> tuple[np.ndarray, np
     """The strings of depth + 1 bytes that end at each byte of each text, and the bytes per text."""
     pad = END * depth
     joined = [b" ".join(w) + END for w in texts]
-    data = np.frombuffer(b"".join(pad + j for j in joined), dtype=np.uint8)
     lengths = np.array([len(j) for j in joined], dtype=np.int64)
-    grams = np.zeros(max(len(data) - depth, 0), dtype=np.int64)
-    for k in range(depth + 1):
-        grams = (grams << 8) | data[k : len(data) - depth + k]
-    starts = np.cumsum(lengths + depth) - lengths - depth  # in grams: where each text's first string begins
-    keep = np.ones(len(grams), dtype=bool)
+    data = pad.join([b"", *joined]) + bytes(8)
+    size = len(data) - 8 - depth
+    if size <= 0:
+        return np.zeros(0, np.int64), lengths
+    # Eight bytes from each place as one number, cut to the first depth + 1.
+    whole = np.ndarray(size, ">u8", data, 0, (1,)).astype(np.uint64)
+    grams = (whole >> np.uint64(8 * (7 - depth))).view(np.int64)
+    starts = np.cumsum(lengths + depth) - lengths - depth
+    keep = np.ones(size, dtype=bool)
     for k in range(depth):  # strings that end in the next text's padding
-        at = starts[1:] - depth + k
-        keep[at[at < len(grams)]] = False
+        keep[starts[1:] - depth + k] = False
     return grams[keep], lengths
 
 
@@ -75,67 +80,120 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
+class _Strings:
+    """Strings counted in a task; the lowest bit of a key tells training texts from others."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.numbers: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, texts: list[list[bytes]], training: bool, depth: int) -> None:
+        key, n = np.unique((packed(texts, depth)[0] << 1) | int(training), return_counts=True)
+        self.keys.append(key)
+        self.numbers.append(n.astype(np.int32))  # of one task
+        self.size += len(key)
+        if self.size > max(_HELD, 2 * len(self.keys[0])):  # twice what the last sum left
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        if len(self.keys) > 1:
+            key, n = summed(self.keys, self.numbers)
+            self.keys, self.numbers, self.size = [key], [n], len(key)
+
+
+_COUNTED = "kind int, key int, token binary, n long, grams binary, counts binary"
+
+
+def _counted(kind: int, key, token, n, grams, numbers) -> pa.RecordBatch:
+    size = len(key)
+    null = lambda x, t: pa.nulls(size, t) if x is None else pa.array(x, t)
+    return pa.RecordBatch.from_pydict({
+        "kind": pa.array(np.full(size, kind, np.int32)), "key": pa.array(key, pa.int32()), "token": null(token, pa.binary()),
+        "n": null(n, pa.int64()), "grams": null(grams, pa.binary()), "counts": null(numbers, pa.binary())})
+
+
 def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """kind 0: words (token), kind 1: strings (gram); n: occurrences in training texts, all: in any."""
+    """kind 0: words (token) and n, their occurrences in training texts. kind 1: by the two latest
+    context bytes (key) all strings (grams) with their occurrences in training texts (counts).
+
+    Tasks send packed arrays by key, so the shuffle moves few rows and sums are vector operations.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: Counter = Counter()
-        keys: dict[bool, list] = {True: [], False: []}
-        numbers: dict[bool, list] = {True: [], False: []}
-
-        def add(texts: list[list[bytes]], training: bool) -> None:
-            if not texts:
-                return
-            grams = packed(texts, depth)[0]
-            for at in range(0, len(grams), _CHUNK):
-                key, n = np.unique(grams[at : at + _CHUNK], return_counts=True)
-                keys[training].append(key)
-                numbers[training].append(n.astype(np.int64))
-            if len(keys[training]) >= 8:
-                key, n = summed(keys[training], numbers[training])
-                keys[training], numbers[training] = [key], [n]
+        strings = _Strings()
 
         def send() -> Iterator[pa.RecordBatch]:
-            for training in (True, False):
-                if keys[training]:
-                    key, n = summed(keys[training], numbers[training])
-                    yield _batch(1, None, key, n if training else np.zeros(len(n), np.int64), n)
-                keys[training].clear()
-                numbers[training].clear()
-            n = np.fromiter(tokens.values(), np.int64, len(tokens))
-            yield _batch(0, list(tokens), None, n, n)
+            strings.sum_up()
+            for key, n in zip(strings.keys, strings.numbers):
+                latest = (key >> 9) & 0xFFFF
+                order = np.argsort(latest, kind="stable")
+                key, n, latest = key[order], n[order], latest[order]
+                cuts = [0, *(np.flatnonzero(np.diff(latest)) + 1).tolist(), len(key)]
+                parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+                yield _counted(1, latest[cuts[:-1]], None, None, [key[x].tobytes() for x in parts], [n[x].astype(np.int32).tobytes() for x in parts])
+            by: dict[int, list[bytes]] = {}
+            for token in tokens:
+                by.setdefault(zlib.crc32(token) % _BUCKETS, []).append(token)
+            yield _counted(
+                0, list(by), None, None, [b"\n".join(b"" if t == END else t for t in x) for x in by.values()],
+                [np.array([tokens[t] for t in x], np.int64).tobytes() for x in by.values()])
+            strings.__init__()
             tokens.clear()
 
         for batch in batches:
-            training = batch.column("training").to_pylist()
-            texts = [words_of(t) for t in batch.column("text").to_pylist()]
             waiting: dict[bool, list] = {True: [], False: []}
             size = {True: 0, False: 0}
-            for words, learn in zip(texts, training):
+            for text, learn in zip(batch.column("text"), batch.column("training").to_pylist()):
+                text = text.as_py() or b""
+                words = words_of(text)
                 waiting[learn].append(words)
-                size[learn] += len(words) * 8
+                size[learn] += len(text)
                 if learn:
                     tokens.update(words)
                     tokens[END] += 1
                 if size[learn] > _CHUNK:
-                    add(waiting[learn], learn)
+                    strings.add(waiting[learn], learn, depth)
                     waiting[learn], size[learn] = [], 0
-            for learn in (True, False):
-                add(waiting[learn], learn)
-            if sum(map(len, keys[True])) + sum(map(len, keys[False])) + len(tokens) > _HELD:
+            for learn, texts in waiting.items():
+                if texts:
+                    strings.add(texts, learn, depth)
+            if strings.size > 2 * _HELD or len(tokens) > _HELD:
                 yield from send()
         yield from send()
 
-    def _batch(kind: int, token, gram, n: np.ndarray, all_n: np.ndarray) -> pa.RecordBatch:
-        size = len(n)
-        return pa.RecordBatch.from_pydict({
-            "kind": pa.array(np.full(size, kind, np.int32)),
-            "token": pa.nulls(size, pa.binary()) if token is None else pa.array(token, pa.binary()),
-            "gram": pa.nulls(size, pa.int64()) if gram is None else pa.array(gram),
-            "n": pa.array(n), "seen": pa.array(all_n)})
-
-    rows = docs.mapInArrow(count, "kind int, token binary, gram long, n long, seen long")
-    return saved(rows.groupBy("kind", "token", "gram").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "counts")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, bytes]] = []
+        now: tuple[int, int] | None = None
+        for batch in batches:
+            columns = [batch.column(c) for c in ("kind", "key", "grams", "counts")]
+            for kind, key, grams, numbers in zip(*columns):
+                at = (kind.as_py(), key.as_py())
+                if at != now and held:
+                    yield _merged(*now, held)
+                    held = []
+                now = at
+                held.append((grams.as_py(), numbers.as_py()))
+        if held:
+            yield _merged(*now, held)
+
+    sent = docs.mapInArrow(count, _COUNTED)
+    return saved(sent.repartition("kind", "key").sortWithinPartitions("kind", "key").mapInArrow(merge, _COUNTED), "counts")
+
+
+def _merged(kind: int, key: int, held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    """The sum of what the tasks sent for one key."""
+    if kind == 0:
+        total: Counter = Counter()
+        for words, numbers in held:
+            for token, n in zip(words.split(b"\n"), np.frombuffer(numbers, np.int64).tolist()):
+                total[token or END] += n
+        return _counted(0, [key] * len(total), list(total), list(total.values()), None, None)
+    keys, n = summed([np.frombuffer(k, np.int64) for k, _ in held], [np.frombuffer(c, np.int32).astype(np.int64) for _, c in held])
+    n = n * (keys & 1)  # other texts' strings are scored too, but not learnt from
+    grams, n = summed([keys >> 1], [n])
+    return _counted(1, [key], None, None, [grams.tobytes()], [n.tobytes()])
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -249,41 +307,42 @@ def predicted(levels: list[Level], at: np.ndarray, grams: np.ndarray, top: tuple
     return total
 
 
-def _by_context(grams: DataFrame) -> DataFrame:
-    """Partitioned by the two latest context bytes."""
-    return grams.select("gram", "n").repartition(F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit(0xFFFF)))
-
-
-def _arrays(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    held = [(b.column("gram").to_numpy(), b.column("n").to_numpy()) for b in batches]
-    if not held:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([g for g, _ in held]), np.concatenate([n for _, n in held])
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Strings and counts of whole keys, so many at once as make good arrays."""
+    grams, numbers, size = [], [], 0
+    for batch in batches:
+        for g, n in zip(batch.column("grams"), batch.column("counts")):
+            grams.append(np.frombuffer(g.as_py(), np.int64))
+            numbers.append(np.frombuffer(n.as_py(), np.int64))
+            size += len(grams[-1])
+            if size > _SUBTREES:
+                yield np.concatenate(grams), np.concatenate(numbers)
+                grams, numbers, size = [], [], 0
+    if grams:
+        yield np.concatenate(grams), np.concatenate(numbers)
 
 
-def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """gram, seen and logp: log10 of the mixed probability of the string's last byte after the others."""
-    spark = grams.sparkSession
+def gram_scores(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """gram, n and logp: log10 of the mixed probability of the string's last byte after the others."""
+    trees = counted.where("kind = 1").select("grams", "counts")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, n = _arrays(batches)
-        if len(gram):
+        for gram, n in _subtrees(batches):
             two = subtree(gram, n, depth, 2)[0][-1]
             key, at = np.unique(two.key >> 8, return_inverse=True)
             total = lambda x: np.bincount(at, weights=x, minlength=len(key))
             yield pa.RecordBatch.from_pydict({"key": key, "n0": total(two.n0), "n1": total(two.n1), "below": total(two.weighted)})
 
-    ones = _by_context(grams).mapInArrow(sums, "key long, n0 double, n1 double, below double").groupBy("key").agg(
+    ones = trees.mapInArrow(sums, "key long, n0 double, n1 double, below double").groupBy("key").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below"))
-    top = Sent(spark, shallow([tuple(r) for r in ones.collect()]))  # at most 255 x 256 rows
+    top = Sent(counted.sparkSession, shallow([tuple(r) for r in ones.collect()]))  # at most 255 x 256 rows
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, n = _arrays(batches)
-        if len(gram):
+        for gram, n in _subtrees(batches):
             levels, at = subtree(gram, n, depth, 2)
             yield pa.RecordBatch.from_pydict({"gram": gram, "n": n, "logp": predicted(levels, at, gram, top.value.value)})
 
-    return saved(_by_context(grams).mapInArrow(score, "gram long, n long, logp double"), "strings")
+    return saved(trees.mapInArrow(score, "gram long, n long, logp double"), "strings")
 
 
 class Lookup:
@@ -353,7 +412,7 @@ def score_texts(docs: DataFrame, training: Column | None = None, depth: int = DE
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), learnt.alias("training"))
     counted = counts(rows.select("text", "training"), depth)
     words = counted.where("kind = 0").select("token", "n")
-    strings = gram_scores(counted.where("kind = 1"), depth)
+    strings = gram_scores(counted, depth)
     n_train, n_types = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     unit = math.log10(n_train + n_types + 1)
 

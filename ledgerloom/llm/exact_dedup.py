@@ -7,9 +7,10 @@ expires, so a copy that comes in a later batch still meets its first one. Arriva
 are summed within each task before the shuffle: a text that makes up a third of all rows
 sends one row per task.
 
-Hits are digests that arrived more than once. Their full bytes are then compared: the texts
-behind them are grouped by (digest, bytes), copies within a task collapsing first. A digest
-that turns out to stand for several texts is split into one group each.
+On a hit (a digest that arrives again) full bytes are compared: of each digest the smallest
+and the largest text are found, within tasks first, so that each task sends a text once;
+only if both are the same bytes are all texts between them. A digest that turns out to
+stand for several texts is split into one group each.
 
 Defined results: null text is empty text and equal to it. A null doc_id is smaller than any
 other. Of repeated rows with the same doc_id and text, only the one with the last locator is
@@ -38,10 +39,12 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def arrivals(docs: DataFrame, digest=sha256) -> DataFrame:
-    """digest, doc_id and locator of every row, written once: what the stream reads."""
-    rows = located(docs.select("doc_id", "text"))
-    return saved(rows.select(digest(F.coalesce("text", F.lit(""))).alias("digest"), "doc_id", FILE, ROW), "arrivals")
+def arrivals(docs: DataFrame, digest=sha256) -> tuple[DataFrame, str]:
+    """digest, doc_id and locator of every row, written once: what the stream reads, and its folder."""
+    path = shared_dir(docs.sparkSession, "arrivals")
+    came = _texts(docs, digest).select("digest", "doc_id", FILE, ROW)
+    came.write.parquet(path)
+    return docs.sparkSession.read.schema(came.schema).parquet(path), path
 
 
 def keep_state(stream: DataFrame, checkpoint: str, out: str) -> None:
@@ -74,11 +77,15 @@ def groups(spark, out: str) -> DataFrame:
     return last.select("digest", "g.stays", "g.group_size")
 
 
-def classes(docs: DataFrame, hits: DataFrame, digest=sha256) -> DataFrame:
-    """Texts behind the digests that were hit: one row per digest and different text."""
+def _texts(docs: DataFrame, digest) -> DataFrame:
     rows = located(docs.select("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("digest", digest(F.col("text"))).join(hits.select("digest"), "digest")
-    return rows.groupBy("digest", "text").agg(F.expr(_STAYS).alias("stays"), F.count("*").alias("group_size"))
+    return rows.withColumn("digest", digest(F.col("text")))
+
+
+def collided(docs: DataFrame, digest=sha256) -> DataFrame:
+    """Digests of several different texts: full bytes of all texts of a digest are compared."""
+    ends = _texts(docs, digest).groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    return ends.where("low != high").select("digest")
 
 
 def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
@@ -88,23 +95,22 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = file_backed(docs).select(F.col("doc_id").cast("long"), "text")
-    came = arrivals(docs, digest)
-    files = came.inputFiles()
-    if files:
+    came, path = arrivals(docs, digest)
+    if came.isEmpty():
+        state = spark.createDataFrame([], _STATE)
+    else:
         out = shared_dir(spark, "groups")
-        keep_state(spark.readStream.schema(came.schema).parquet(files[0].rsplit("/", 1)[0]), shared_dir(spark, "state"), out)
+        keep_state(spark.readStream.schema(came.schema).parquet(path), shared_dir(spark, "state"), out)
         state = groups(spark, out)
-    else:
-        state = spark.createDataFrame([], _STATE)
-    texts = saved(classes(docs, state.where("group_size > 1"), digest), "classes")
-    split = texts.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    split = saved(collided(docs, digest), "collided")
     checked = came.join(state, "digest").select(
         "doc_id", FILE, ROW, "digest", F.col("stays.doc_id").alias("keep_id"), "group_size",
         ((F.col(f"stays.{FILE}") == F.col(FILE)) & (F.col(f"stays.{ROW}") == F.col(ROW))).alias("kept"))
     if split.isEmpty():
         return checked
-    rows = located(docs).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("digest", digest(F.col("text")))
-    several = rows.join(texts.join(split, "digest").select("digest", "text", "stays", "group_size"), ["digest", "text"])
+    rows = _texts(docs, digest).join(split, "digest")
+    texts = rows.groupBy("digest", "text").agg(F.expr(_STAYS).alias("stays"), F.count("*").alias("group_size"))
+    several = rows.join(texts, ["digest", "text"])
     return checked.join(split, "digest", "left_anti").unionByName(several.select(
         "doc_id", FILE, ROW, "digest", F.col("stays.doc_id").alias("keep_id"), "group_size",
         ((F.col(f"stays.{FILE}") == F.col(FILE)) & (F.col(f"stays.{ROW}") == F.col(ROW))).alias("kept")))
