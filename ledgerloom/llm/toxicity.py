@@ -7,7 +7,9 @@ shorter one, and at the top on the share of toxic rows. So rare and unseen words
 their stems and a word with little evidence stays near zero.
 
 Each word of a text scores its log-odds less a drift that makes the expected score of clean
-text negative. A linear scan finds every maximal positive-scoring segment. For clean text the
+text negative; of a word that goes on repeating, ``REPEATS`` occurrences within ``GAP`` words
+count. A linear scan finds every maximal positive-scoring segment, which then goes on over
+copies of itself that didn't count. For clean text the
 best segment follows an extreme-value law: P(S >= x) = 1 - exp(-K n exp(-lambda x)) for n
 words. lambda solves the Karlin-Altschul equation over the scores of clean training words, K
 is fitted to the best segments of clean training documents. Segments with an expected count
@@ -47,8 +49,8 @@ TRAIN_ROWS = 24_000
 FOLDS, HELD_OUT = 4, 2
 #: Letters of the stems, shorter ones last; weight of a prior in rows; least drift;
 #: expected count of a significant segment; threshold of the score; rows that a word needs;
-#: occurrences of a word in a text that count.
-STEMS, PRIOR, DRIFT, EXPECTED, THRESHOLD, SEEN, REPEATS = (5, 4), 8.0, 0.25, 0.05, 0.3, 3, 2
+#: occurrences of a word that count within so many words.
+STEMS, PRIOR, DRIFT, EXPECTED, THRESHOLD, SEEN, REPEATS, GAP = (5, 4), 8.0, 0.25, 0.05, 0.3, 3, 2, 50
 
 
 def stems(word: str) -> list[str]:
@@ -99,16 +101,23 @@ class Model:
 
     def passages(self, words: list[str], cache: dict[str, float]) -> list[tuple[int, int, float]]:
         """Segments of words with their scores; runs of negative words count as one step."""
-        steps, at, debt, seen = [], [], 0.0, {}
+        steps, at, debt = [], [], 0.0
+        counted: dict[str, list[int]] = {}  # places of the last REPEATS occurrences that count
+        raw, repeats = [], False
         for i, w in enumerate(words):
             s = cache.get(w)
             if s is None:
                 if len(cache) > 300_000:
                     cache.clear()
                 s = cache[w] = self.word(w) - self.drift
-            if s > 0:  # a word that goes on repeating is no new evidence
-                seen[w] = seen.get(w, 0) + 1
-                s = s if seen[w] <= REPEATS else -self.drift
+            raw.append(s)
+            if s > 0:  # a word that goes on repeating nearby is no new evidence
+                places = counted.setdefault(w, [])
+                if len(places) == REPEATS and i - places[0] <= GAP:
+                    s, repeats = -self.drift, True
+                else:
+                    places.append(i)
+                    del places[:-REPEATS]
             if s <= 0:
                 debt += s
                 continue
@@ -118,7 +127,22 @@ class Model:
                 debt = 0.0
             steps.append(s)
             at.append(i)
-        return [(at[a], at[b - 1] + 1, s) for a, b, s in segments(steps)]
+        found = [(at[a], at[b - 1] + 1, s) for a, b, s in segments(steps)]
+        return self._extended(found, raw) if repeats else found
+
+    def _extended(self, found: list[tuple[int, int, float]], raw: list[float]) -> list[tuple[int, int, float]]:
+        """Segments up to where the uncounted repeats after them end, at most up to the next one; scores stay."""
+        out = []
+        for (a, b, s), limit in zip(found, [*(x[0] for x in found[1:]), len(raw)]):
+            run, best, end = 0.0, 0.0, b
+            for i in range(b, limit):
+                run += raw[i]
+                if run > best:
+                    best, end = run, i + 1
+                elif run < best - s:
+                    break
+            out.append((a, end, s))
+        return out
 
     def expected(self, score: float, n: int) -> float:
         """Segments of this score that clean text of n words would have."""

@@ -149,6 +149,22 @@ def test_toxicity_of_held_out_rows(spark, corpus):
     assert kept.count() == scored.where("predicted = 0").count()
 
 
+def test_toxic_passage_after_earlier_uses_of_its_words():
+    """Words used twice before, far away, count again; so do later copies of a passage."""
+    bad = ["idiot", "moron", "scum", "filth", "vermin"]
+    model = toxicity.Model({w: 3.0 for w in bad}, drift=0.5, rate=1.0, k=0.1)
+    clean = ["plain"] * 100
+    words = [w for x in [*bad, *bad] for w in (x, *clean)] + clean * 20 + bad
+    found = [x for x in model.passages(words, {}) if model.expected(x[2], len(words)) <= toxicity.EXPECTED]
+    assert [(a, b) for a, b, _ in found] == [(len(words) - 5, len(words))]
+    words = (bad + clean) * 4
+    assert [(a, b) for a, b, _ in model.passages(words, {})] == [(105 * k, 105 * k + 5) for k in range(4)]
+    near = clean + bad * 4 + clean  # one passage with all its copies, two of which count
+    assert [(a, b, round(s, 6)) for a, b, s in model.passages(near, {})] == [(100, 120, 25.0)]
+    same = ["idiot"] * 500  # repeats alone don't add up
+    assert max(s for _, _, s in model.passages(same, {})) <= 5.0
+
+
 def test_quality_of_held_out_rows(spark, corpus):
     docs, labels = corpus
     scored = quality.score_quality(docs, quality.train(docs, labels))
