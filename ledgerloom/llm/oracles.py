@@ -63,6 +63,43 @@ SELECT *, ('0x' || substr(md5(concat_ws('|', '20240 place', copy_no::VARCHAR, do
           / 4503599627370496 AS position FROM x
 """
 
+_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+o AS (
+  SELECT rn, lang, source,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM d
+),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT rn) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term),
+every AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (
+  SELECT lang, source, term, n, 1 + CAST(1000000000 * (n + 1) // (CAST(sum(n) OVER (PARTITION BY lang, source) AS BIGINT) + v) AS BIGINT) AS p
+  FROM every JOIN v USING (lang)
+),
+whole AS (
+  SELECT lang, term, 1 + CAST(1000000000 * (CAST(n AS BIGINT) + 1) // (CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) + v) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM every GROUP BY lang, term) JOIN v USING (lang)
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(apart.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+  SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+) WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -95,4 +132,5 @@ ORACLES: dict[str, str] = {
     "op6_mix": _MIX,
     "op9_licenses": _LICENSES,
     "op10_exact_dedup": _EXACT,
+    "op11_divergence": _DIVERGENCE,
 }

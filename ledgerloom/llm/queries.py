@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import alignment, bpe, context_tree, decontaminate, exact_dedup, html_text, licenses, mixing, quality, simhash, token_counts, toxicity
+from ledgerloom.llm import alignment, bpe, context_tree, decontaminate, divergence, exact_dedup, html_text, licenses, mixing, quality, simhash, token_counts, toxicity
 from ledgerloom.llm.common import in_fold, table
 
 #: Target shares of the mix: a third source counts double, a junk source half, the rest 1.
@@ -72,6 +72,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
     return found.select(
@@ -90,5 +94,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_context_tree, op3_simhash, op4_quality, op5_html_text, op6_mix, op7_token_counts, op8_toxicity,
-        op9_licenses, op10_exact_dedup, op12_bpe, op13_alignment)
+        op9_licenses, op10_exact_dedup, op11_divergence, op12_bpe, op13_alignment)
 }
