@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, exact_dedup, mixing, near_copies, toxicity
+from ledgerloom.llm import decontaminate, exact_dedup, mixing, simhash, toxicity
 from ledgerloom.llm.common import saved, table
 from ledgerloom.llm.queries import WEIGHTS
 
@@ -26,8 +26,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a five-word Jaccard similarity of at least 0.8 the row with the smallest doc_id stays."""
-    return near_copies.representatives(docs)
+    """Of texts linked by fingerprints of three-word shingles within three bits the row with the smallest doc_id stays."""
+    return simhash.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ STAGES = [
     ("mix", mix_sources),
 ]
 
-#: The toxicity model, the similar sets and their components can't be written in SQL.
+#: The toxicity model, the fingerprints and their components can't be written in SQL.
 ORACLE_SQL = None
 
 
