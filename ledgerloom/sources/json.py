@@ -20,6 +20,9 @@ from ledgerloom.sources import json_split
 
 # The two periods of a record, in output order.
 PERIODS = ("CY", "PY")
+NESTED_LEAVES = ("company_id", "year", "revenue", "currency")
+#: What an outcome has besides a row's columns: the record as JSON and the reason, both NULL of a row.
+REJECT_COLUMNS = ("record_data", "rejection_reason")
 
 
 def member(value: Column, name: str) -> Column:
@@ -80,10 +83,11 @@ def with_texts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return looked_up.select(*kept, *(text.alias(n) for n, text in texts.items()))
 
 
-def nested_rows(records: DataFrame) -> DataFrame:
-    """``company.details.financials`` flattened. Needs VARIANT ``company`` and ``source_file``."""
+def _nested(records: DataFrame) -> DataFrame:
+    """VARIANT leaves of ``company``, and whether all objects on the way to them can be descended into (``usable``)."""
+    kept = [c for c in records.columns if c != "company"]
     outer = records.select(
-        "source_file", "company",
+        *kept, "company",
         member(F.col("company"), "company_id").alias("company_id"),
         member(F.col("company"), "details").alias("details"),
     )
@@ -100,35 +104,40 @@ def nested_rows(records: DataFrame) -> DataFrame:
         & is_object(F.col("details"), F.col("year"), F.col("financials"))
         & is_object(F.col("financials"), F.col("revenue"), F.col("currency"))
     )
-    leaves = ["company_id", "year", "revenue", "currency"]
-    # A generator instead of a filter: a filter would be pushed below and repeat the lookups.
-    rows = inner.select("source_file", F.inline(F.when(usable, F.array(F.struct(*leaves)))))
-    return with_texts(rows, leaves).select(*leaves, "source_file")
+    return inner.select(*kept, *NESTED_LEAVES, usable.alias("usable"))
 
 
-def period_rows(records: DataFrame) -> DataFrame:
-    """Two rows per record, CY then PY, also where a period is absent.
+def nested_rows(records: DataFrame) -> DataFrame:
+    """``company.details.financials`` flattened. Needs VARIANT ``company`` and ``source_file``."""
+    # A generator instead of a filter: a filter would be pushed below and repeat the lookups.
+    rows = _nested(records).select("source_file", F.inline(F.when(F.col("usable"), F.array(F.struct(*NESTED_LEAVES)))))
+    return with_texts(rows, NESTED_LEAVES).select(*NESTED_LEAVES, "source_file")
 
-    Needs VARIANT ``company_id`` and ``financials`` and ``source_file``. A period
-    that is no object ends its record there: an unusable PY leaves the CY row.
-    """
+
+def _periods(records: DataFrame) -> DataFrame:
+    """VARIANT rows of both periods, and whether the first (``opened``) and the second (``both``) can be descended into."""
     current, previous = (F.col(p) for p in PERIODS)
+    kept = [c for c in records.columns if c != "financials"]
     each = records.select(
-        "source_file", "company_id", "financials",
+        *kept, "financials",
         *(member(F.col("financials"), p).alias(p) for p in PERIODS),
     ).withColumns({f"{p}_revenue": member(F.col(p), "revenue") for p in PERIODS})
+    opened = is_object(F.col("financials"), current, previous) & is_object(current, F.col("CY_revenue"))
+    return each.select(*kept, *(f"{p}_revenue" for p in PERIODS), opened.alias("opened"), is_object(previous, F.col("PY_revenue")).alias("both"))
 
-    def row(period: str) -> Column:
-        return F.struct(
-            "company_id", F.lit(period).alias("period"), F.col(f"{period}_revenue").alias("revenue")
-        )
 
-    opened = is_object(F.col("financials"), current, previous) & is_object(
-        current, F.col("CY_revenue")
-    )
-    both = is_object(previous, F.col("PY_revenue"))
-    rows = F.when(opened & both, F.array(row("CY"), row("PY"))).when(opened, F.array(row("CY")))
-    texts = with_texts(each.select("source_file", F.inline(rows)), ["company_id", "revenue"])
+def _period(name: str, *more: Column) -> Column:
+    return F.struct("company_id", F.lit(name).alias("period"), F.col(f"{name}_revenue").alias("revenue"), *more)
+
+
+def period_rows(records: DataFrame) -> DataFrame:
+    """Two rows per record, CY then PY, also where a period is absent.
+
+    Needs VARIANT ``company_id`` and ``financials`` and ``source_file``. A period
+    that is no object ends its record there: an unusable PY leaves the CY row.
+    """
+    rows = F.when(F.col("opened") & F.col("both"), F.array(*map(_period, PERIODS))).when(F.col("opened"), F.array(_period("CY")))
+    texts = with_texts(_periods(records).select("source_file", F.inline(rows)), ["company_id", "revenue"])
     return texts.select("company_id", "period", "revenue", "source_file")
 
 
@@ -141,24 +150,40 @@ def parse_records(texts: DataFrame, members: Sequence[str]) -> DataFrame:
 def parse_elements(runs: DataFrame, inside: bool = False) -> DataFrame:
     """Each element of runs (see ``split_elements``) as VARIANT ``element``. Broken JSON fails the source.
 
-    A file whose top level is no list gives one row with the whole text as a JSON string
-    and ``no_list`` set. ``inside``: the runs come from within a list.
+    A file that holds one object or one other value, but no list and no lines, gives one row
+    with ``no_list`` set: the value if it is short, else the file's name. ``inside``: the
+    runs come from within a list.
     """
-    text = F.col("text")
-    listed = F.lit(True) if inside else (~F.col("first")) | text.rlike(r"^[\s\uFEFF]*\[")
+    text, shape = F.col("text"), F.lit(json_split.LIST) if inside else F.col("shape")
     bare = F.regexp_replace(text, r"^[\s\uFEFF]*[\[,]", "")
     bare = F.when(F.col("last") & F.lit(not inside), F.regexp_replace(bare, r"\]\s*$", "")).otherwise(bare)
-    # A file of white space alone holds nothing.
-    whole = F.when(listed, F.concat(F.lit("["), bare, F.lit("]"))).when(text.rlike(r"\S"), F.to_json(F.array(text)))
-    parsed = runs.select("source_file", (~listed).alias("no_list"), F.parse_json(whole).alias("list"))
-    return parsed.select(
-        "source_file", "no_list",
-        F.explode(F.try_variant_get("list", "$", "array<variant>")).alias("element"),
+    lines = F.filter(F.split(F.regexp_replace(text, r"^\uFEFF", ""), "\n"), lambda line: line.rlike(r"\S"))
+    name = F.to_json(F.struct("source_file"))
+    # Texts to parse: one of all elements of a run, or one for each line.
+    texts = (
+        F.when(shape == json_split.LIST, F.array(F.concat(F.lit("["), bare, F.lit("]"))))
+        .when(shape == json_split.OBJECT, F.array(name))
+        .when(text.isNull(), F.when(shape == json_split.SCALAR, F.array(name)).otherwise(F.array().cast("array<string>")))
+        .otherwise(lines)
     )
+    each = runs.select("source_file", shape.alias("shape"), texts.alias("texts")).select(
+        "source_file", (F.col("shape") == json_split.LIST).alias("listed"), _no_list(F.col("shape")).alias("no_list"), F.explode("texts").alias("text"))
+    parsed = each.select("source_file", "listed", "no_list", F.parse_json("text").alias("value"))
+    elements = F.when(F.col("listed"), F.try_variant_get("value", "$", "array<variant>")).otherwise(F.array("value"))
+    return parsed.select("source_file", "no_list", F.explode(elements).alias("element"))
+
+
+def _no_list(shape: Column) -> Column:
+    """Whether a run of this shape is all of a file that is neither a list nor lines."""
+    return (shape == json_split.OBJECT) | ((shape == json_split.SCALAR) & (F.size("texts") == 1))
 
 
 def read_elements(spark: SparkSession, source: Source) -> DataFrame:
-    """Every element of array files, read by many tasks per file; with ``lines=true`` each line is one."""
+    """Every element of JSON files, read by many tasks per file.
+
+    A file is a list, or holds one value per line; each file shows which. With ``lines=true`` each line is
+    an element, also in a file of one line.
+    """
     if source.flag("lines", False):
         lines = spark.read.text(source.path).where(F.col("value").rlike(r"\S"))
         return lines.select(
@@ -177,33 +202,63 @@ def records_of(elements: DataFrame, members: Sequence[str]) -> DataFrame:
 NO_LIST, NO_OBJECT, UNUSABLE = "NO_JSON_LIST; ", "NO_JSON_OBJECT; ", "UNUSABLE_RECORD; "
 
 
-def rejected_elements(elements: DataFrame, opened: Column) -> DataFrame:
-    """Elements that give no row, or not all: ``record_data, rejection_reason, source_file``.
+def _opened(elements: DataFrame, members: Sequence[str]) -> DataFrame:
+    """Members of every element, and why it can't be a record (NULL if it is an object)."""
+    reason = F.when(F.col("no_list"), NO_LIST).when(~kind(F.col("element")).startswith("OBJECT"), NO_OBJECT)
+    return elements.select(
+        "source_file", "element", reason.alias("unfit"), *(member(F.col("element"), m).alias(m) for m in members))
+
 
-    ``opened`` says of an object whether all that a record needs can be descended into.
-    """
-    reason = (
-        F.when(F.col("no_list"), NO_LIST)
-        .when(~kind(F.col("element")).startswith("OBJECT"), NO_OBJECT)
-        .when(~opened, UNUSABLE)
+def _record_data() -> Column:
+    return F.when(F.col("rejection_reason").isNotNull(), F.to_json("element")).alias("record_data")
+
+
+def nested_outcomes(elements: DataFrame) -> DataFrame:
+    """What becomes of every element, from one pass: a row as in ``nested_rows``, or a reject with its reason."""
+    leaves = _nested(_opened(elements, ["company"]))
+    reason = F.coalesce("unfit", F.when(~F.col("usable"), UNUSABLE))
+    marked = leaves.withColumn("rejection_reason", reason)
+    fit = {n: F.when(F.col("rejection_reason").isNull(), F.col(n)) for n in NESTED_LEAVES}
+    texts = with_texts(marked.select("source_file", "rejection_reason", _record_data(), *(c.alias(n) for n, c in fit.items())), NESTED_LEAVES)
+    return texts.select(*NESTED_LEAVES, "source_file", *REJECT_COLUMNS)
+
+
+def period_outcomes(elements: DataFrame) -> DataFrame:
+    """What becomes of every element, from one pass: rows as in ``period_rows``, or a reject; after an unusable PY both."""
+    each = _periods(_opened(elements, ["company_id", "financials"]))
+    none, reason = F.lit(None).cast("string"), F.lit(UNUSABLE)
+    no_value = F.lit(None).cast("variant")
+
+    def reject(why: Column) -> Column:
+        return F.struct(no_value.alias("company_id"), none.alias("period"), no_value.alias("revenue"), why.alias("rejection_reason"))
+
+    kept = none.alias("rejection_reason")
+    rows = (
+        F.when(F.col("unfit").isNotNull(), F.array(reject(F.col("unfit"))))
+        .when(F.col("opened") & F.col("both"), F.array(*(_period(p, kept) for p in PERIODS)))
+        .when(F.col("opened"), F.array(_period("CY", kept), reject(reason)))
+        .otherwise(F.array(reject(reason)))
     )
-    return elements.select(
-        F.to_json("element").alias("record_data"), reason.alias("rejection_reason"), "source_file",
-    ).where("rejection_reason IS NOT NULL")
+    marked = each.select("source_file", "element", F.inline(rows))
+    texts = with_texts(
+        marked.select("source_file", "rejection_reason", _record_data(), "company_id", "period", "revenue"), ["company_id", "revenue"])
+    return texts.select("company_id", "period", "revenue", "source_file", *REJECT_COLUMNS)
+
+
+def rows_of(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where("rejection_reason IS NULL").drop(*REJECT_COLUMNS)
 
 
-def _descends(*path: str) -> Column:
-    """Whether the member at the path of the element is missing or an object."""
-    value = F.try_variant_get(F.col("element"), "$." + ".".join(path), "variant")
-    return value.isNull() | kind(value).startswith("OBJECT")
+def rejects_of(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where("rejection_reason IS NOT NULL").select(*REJECT_COLUMNS, "source_file")
 
 
-def nested_opened() -> Column:
-    return _descends("company") & _descends("company", "details") & _descends("company", "details", "financials")
+def read_nested_outcomes(spark: SparkSession, source: Source) -> DataFrame:
+    return nested_outcomes(read_elements(spark, source))
 
 
-def periods_opened() -> Column:
-    return _descends("financials") & _descends("financials", "CY") & _descends("financials", "PY")
+def read_period_outcomes(spark: SparkSession, source: Source) -> DataFrame:
+    return period_outcomes(read_elements(spark, source))
 
 
 def read_nested(spark: SparkSession, source: Source) -> DataFrame:
@@ -215,8 +270,8 @@ def read_periods(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def nested_rejects(spark: SparkSession, source: Source) -> DataFrame:
-    return rejected_elements(read_elements(spark, source), nested_opened())
+    return rejects_of(read_nested_outcomes(spark, source))
 
 
 def period_rejects(spark: SparkSession, source: Source) -> DataFrame:
-    return rejected_elements(read_elements(spark, source), periods_opened())
+    return rejects_of(read_period_outcomes(spark, source))

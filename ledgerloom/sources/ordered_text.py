@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# File endings of the codecs that Spark's text reader unpacks.
+COMPRESSED = r"\.(gz|bz2|lz4|snappy|deflate|zst)$"
+
+
 def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
-    """Columns ``file, block, pos, line``.
+    """Columns ``file, block, pos, line, size``; size is that of the file in bytes, NULL if it is compressed.
 
     A block is the part of a file that one task reads, named by its byte offset; its
     size is bounded by ``spark.sql.files.maxPartitionBytes``. ``pos`` grows within a
@@ -17,6 +21,7 @@ def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
+        F.when(~F.col("_metadata.file_name").rlike(COMPRESSED), F.col("_metadata.file_size")).alias("size"),
     )
 
 

@@ -132,13 +132,111 @@ def test_one_bad_element_leaves_the_others(spark, tmp_path, options):
         + [(pyjson.dumps(records[5], separators=(",", ":")), json.UNUSABLE, "m.json")], key=str)
 
 
-@pytest.mark.parametrize("text,data", [('{"company": {"company_id": "C1"}}\n', True), ("", False), (" \n", False), ("[]", False), ("5", True)])
+@pytest.mark.parametrize("text,data", [
+    ('{"company": {"company_id": "C1"}}\n', '{"source_file":"t.json"}'), ('{"a": [{"company": {}}, {}], "b": "}"}', '{"source_file":"t.json"}'),
+    ("", None), (" \n", None), ("[]", None), ("5", "5"), ('"a } b"', '{"source_file":"t.json"}')])
 def test_files_without_a_list(spark, tmp_path, text, data):
     path = tmp_path / "t.json"
     path.write_text(text)
     source = Source("any", "json", str(path))
     assert json.read_nested(spark, source).count() == 0
-    assert [r.rejection_reason for r in json.nested_rejects(spark, source).collect()] == [json.NO_LIST] * data
+    rejects = [(r.record_data, r.rejection_reason) for r in json.nested_rejects(spark, source).collect()]
+    assert rejects == ([(data, json.NO_LIST)] if data else [])
+
+
+def small_blocks(spark, size):
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+
+
+def usual_blocks(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_random_lines_are_found_without_an_option(spark, tmp_path):
+    """Files of one value per line, in blocks of a few bytes: the same elements as line by line."""
+    rnd = random.Random(7)
+    values = ["}", "{", '"', "\\", "é{", "x\ny", 5, None, [1, {"a": "}"}], [], {"company": {"company_id": "}{"}}, {}]
+    try:
+        for n in range(12):
+            records = [{"company": {"company_id": rnd.choice(values[:6]), "z": rnd.choice(values)}} if rnd.random() < 0.6 else rnd.choice(values)
+                       for _ in range(rnd.randint(2, 12))] + [{"a": 1}, {"b": 2}]
+            text = "".join(pyjson.dumps(r) + rnd.choice(["\n", "\r\n", "\n \n"]) for r in records)
+            path = tmp_path / f"{n}.json"
+            path.write_bytes((text if rnd.random() < 0.5 else text.rstrip()).encode())
+            small_blocks(spark, rnd.choice([7, 16, 40, 1000]))
+            found = json.read_elements(spark, Source("any", "json", str(path)))
+            got = sorted(pyjson.dumps(pyjson.loads(r.text), sort_keys=True) for r in found.where("not no_list").selectExpr("to_json(element) as text").collect())
+            assert got == sorted(pyjson.dumps(r, sort_keys=True) for r in records), text
+    finally:
+        usual_blocks(spark)
+
+
+@pytest.mark.parametrize("text", ['{"a":1}\n{"b":2', '{"a":1}\n{"b":{"c":2}', '{"a":1}\n[{"b":2}', '{"a":{"b":1}', '{"a":1}\n}', "hello", '{"a":1}\nhello'])
+def test_lines_that_are_broken_fail(spark, tmp_path, text):
+    path = tmp_path / "b.json"
+    path.write_text(text)
+    with pytest.raises(SPARK_ERRORS):
+        json.read_elements(spark, Source("any", "json", str(path))).collect()
+
+
+def test_a_large_object_is_not_gathered(spark, tmp_path):
+    """No group holds more than one piece of a file that is one object, nor more than one line's of lines."""
+    from ledgerloom.sources.json_split import read_elements
+
+    (tmp_path / "o.json").write_text(pyjson.dumps({"all": [{"company": {"company_id": f"C{i}"}} for i in range(500)]}))
+    (tmp_path / "l.json").write_text("".join(pyjson.dumps({"company": {"company_id": f"C{i}"}}) + "\n" for i in range(500)))
+    small_blocks(spark, 2000)
+    try:
+        runs = read_elements(spark, str(tmp_path)).collect()
+        assert max(len(r.text or "") for r in runs) < 50
+        assert [r.text for r in runs if r.shape == "object"] == [None]
+        assert sum(r.shape == "lines" and r.text.strip() != "" for r in runs) == 500
+    finally:
+        usual_blocks(spark)
+
+
+def test_files_of_several_shapes_in_one_source(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"company": {"company_id": "A"}}, 7]')
+    (tmp_path / "b.json").write_text('{"company": {"company_id": "B"}}\n{"company": null}\n{"company": {"company_id": "C"}}\n')
+    (tmp_path / "c.json").write_text('{"company": {"company_id": "D"}}')
+    found = json.read_nested_outcomes(spark, Source("any", "json", str(tmp_path)))
+    assert sorted((r.company_id or "", r.source_file, r.rejection_reason or "") for r in found.collect()) == sorted([
+        ("A", "a.json", ""), ("", "a.json", json.NO_OBJECT), ("B", "b.json", ""), ("", "b.json", json.UNUSABLE), ("C", "b.json", ""),
+        ("", "c.json", json.NO_LIST)])
+
+
+def test_outcomes_of_periods(spark, tmp_path):
+    records = [{"company_id": "C", "financials": {"CY": {"revenue": 1}, "PY": None}}, {"company_id": "D", "financials": {"CY": None}}, 4]
+    source = write(tmp_path / "p.json", records, {})
+    found = json.read_period_outcomes(spark, source)
+    assert sorted((r.company_id, r.period, r.revenue, r.rejection_reason) for r in found.where("company_id is not null").collect()) == [
+        ("C", "CY", "1", None)]
+    rejects = {(r.record_data, r.rejection_reason) for r in json.rejects_of(found).collect()}
+    assert rejects == {(pyjson.dumps(records[0], separators=(",", ":")), json.UNUSABLE), (pyjson.dumps(records[1], separators=(",", ":")), json.UNUSABLE),
+                       ("4", json.NO_OBJECT)}
+
+
+def test_a_batch_parses_its_files_once(spark, tmp_path, monkeypatch):
+    """One pass gives rows and rejects: a second call of the reader would read other records."""
+    from datetime import datetime
+
+    from ledgerloom import schemas
+    from ledgerloom.config import RunConfig
+    from ledgerloom.plans import batch
+    from ledgerloom.sinks import Warehouse
+
+    calls = []
+    real = json.read_elements
+    monkeypatch.setattr(json, "read_elements", lambda *a: calls.append(1) or real(*a))
+    source = write(tmp_path / "n.json", [{"company": {"company_id": "A"}}, 5, {"company": None}], {})
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    result = batch.run(spark, RunConfig((Source("financials_json", "json", source.path),)), warehouse, "b1", datetime(2024, 1, 1))
+    assert result.failed == {} and result.staged == 1 and result.unusable == {"financials_json": 2} and len(calls) == 1
+    raw = warehouse.read("raw/json_financials_data", schemas.RAW_NESTED_JSON)
+    assert [r.company_id for r in raw.collect()] == ["A"]
+    assert warehouse.read(batch.REJECTS, schemas.REJECT_LOG).count() == 2
 
 
 def test_one_list_is_read_by_many_tasks(spark, tmp_path):
