@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom import schemas
 from ledgerloom.config import RunConfig, Source
@@ -133,19 +135,27 @@ def load_source(
     spark: SparkSession, source: Source, config: RunConfig, warehouse: Warehouse,
     batch_id: str, at: datetime, all_reasons: bool = False,
 ) -> SourceResult | None:
-    """Files to RAW, then RAW to staging. Files are parsed once; all later steps read RAW."""
+    """Files to RAW, then RAW to staging. Files are parsed once; all later steps read RAW.
+
+    Records that give no row are written in the same pass, beside RAW in a folder of their own.
+    """
     reader = reader_for(source)
     if reader is None:
         log.error("unknown source kind %s of %s: skipped", source.kind, source.name)
         return None
     now = moment(at)
 
-    def save(df: DataFrame, table: str) -> int:
-        return warehouse.write(df, table, batch_id, source.name)
-
-    raw = add_lineage(reader.read(spark, source), batch_id, now)
-    rows = save(conform(raw, reader.raw_schema), reader.raw_table)
-    log.info("source %s: %d rows, columns %s", source.name, rows, raw.columns)
+    def save(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+        return warehouse.write(df, table, batch_id, source.name, partition_by=partition_by)
+
+    if reader.read_outcomes is None:
+        raw = add_lineage(reader.read(spark, source), batch_id, now)
+        rows = save(conform(raw, reader.raw_schema), reader.raw_table)
+    else:
+        raw = add_lineage(reader.read_outcomes(spark, source), batch_id, now).withColumn("usable", F.col("rejection_reason").isNull())
+        whole = T.StructType([*reader.raw_schema, *(f for f in schemas.UNUSABLE_RECORDS if f.name not in reader.raw_schema.names)])
+        rows = save(conform(raw, whole), reader.raw_table, ["usable"])
+    log.info("source %s: %d records, columns %s", source.name, rows, raw.columns)
     if reader.read_metadata is not None:
         metadata = add_lineage(reader.read_metadata(spark, source), batch_id, now)
         save(conform(metadata, schemas.RAW_CSV_METADATA), METADATA_TABLE)
@@ -153,13 +163,20 @@ def load_source(
     body = warehouse.read(reader.raw_table, reader.raw_schema, batch_id, source.name).drop(
         "batch_id", "load_timestamp"
     )
+    others = None
+    if reader.read_outcomes is not None:
+        others = warehouse.read(reader.raw_table, schemas.UNUSABLE_RECORDS, batch_id, source.name).where("NOT usable")
+    if reader.check is not None:
+        broken = reader.check(source, others, body).first()
+        if broken is not None:
+            warehouse.drop(reader.raw_table, batch_id, source.name)
+            raise ValueError(broken.problem)
     report = {k: int(v) for k, v in quality.quality_report(body).first().asDict().items()}
     reported = None if all_reasons else [code for code, n in report.items() if n > 0]
     valid, rejected = quality.validate(body, reported=reported)
     # Also without rejects: a run of the same batch before may have left some.
-    unreadable = reader.read_rejects(spark, source) if reader.read_rejects else None
     unusable = save_rejects(
-        rejected, source, config, warehouse, batch_id, at, report["total_rejected"], unreadable)
+        rejected, source, config, warehouse, batch_id, at, report["total_rejected"], others if reader.check is None else None)
 
     unique = quality.remove_duplicates(valid, reader.dedup_keys) if reader.dedup_keys else valid
     shaped = shape(unique, source.name, config.rules, config.rates, config.rules_everywhere)

@@ -34,6 +34,9 @@ RAW_CSV = _schema(
 )
 RAW_CSV_METADATA = _schema(("field_name", STRING), ("field_value", STRING), *LINEAGE)
 
+# What stands beside RAW rows in a folder of its own: records that no row can be made of.
+UNUSABLE_RECORDS = _schema(("record_data", STRING), ("rejection_reason", STRING), ("usable", BOOLEAN), ("source_file", STRING))
+
 STAGED_FINANCIALS = _schema(
     ("company_id", STRING), ("company_name", STRING), ("period_type", STRING), ("year", INT),
     ("revenue", MONEY), ("revenue_usd", MONEY), ("profit", MONEY), ("currency", STRING), *LINEAGE,

@@ -52,6 +52,10 @@ class Warehouse:
             self._drop(target)
         return rows
 
+    def drop(self, table: str, batch_id: str, source: str | None = None) -> None:
+        """Remove the part of a table that belongs to this batch and source."""
+        self._drop(self._part(table, batch_id, source))
+
     def _drop(self, target: str) -> None:
         """Remove a part."""
         jvm = self.spark.sparkContext._jvm
@@ -64,7 +68,8 @@ class Warehouse:
     ) -> DataFrame:
         """Rows of a table, or of one batch and source of it; no rows if it was never written.
 
-        ``sources``: of all batches, only the folders of these sources are read.
+        ``sources``: of all batches, only the folders of these sources are read. What was
+        written with ``usable`` false is read only if the schema asks for that column.
         """
         reader = self.spark.read.format(self.format)
         if batch_id is None:
@@ -80,6 +85,8 @@ class Warehouse:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
+        if "usable" in df.columns and "usable" not in schema.names:
+            df = df.where(F.coalesce("usable", F.lit(True)))
         if sources is not None and "source" in df.columns:
             df = df.where(F.col("source").isin(list(sources)))
         if batch_id is not None and "batch_id" in schema.names:

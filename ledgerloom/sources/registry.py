@@ -21,8 +21,9 @@ Read = Callable[[SparkSession, Source], DataFrame]
 class Reader:
     """``name`` None serves every source of its kind. ``dedup_keys`` make its rows unique.
 
-    ``read_rejects`` finds what ``read`` can make no row of: record_data, rejection_reason,
-    source_file.
+    ``read_outcomes`` reads a source whose elements may give no row: one pass over it gives the rows of
+    ``read``, with NULL in record_data and rejection_reason, and what no row can be made of. With ``check``
+    these other records tell of whole documents: it gives the ``problem`` of each that is broken.
     """
 
     kind: str
@@ -31,7 +32,8 @@ class Reader:
     raw_schema: T.StructType
     read: Read
     read_metadata: Read | None = None
-    read_rejects: Read | None = None
+    read_outcomes: Read | None = None
+    check: Callable[[Source, DataFrame, DataFrame], DataFrame] | None = None
     dedup_keys: tuple[str, ...] = ()
 
 
@@ -44,13 +46,14 @@ class Extract:
 METADATA_TABLE = "raw/csv_metadata"
 
 READERS: tuple[Reader, ...] = (
-    Reader("xml", "xbrl_xml", "raw/xml_xbrl_data", schemas.RAW_PERIOD_XML, xml.read_periods),
+    Reader("xml", "xbrl_xml", "raw/xml_xbrl_data", schemas.RAW_PERIOD_XML, xml.read_periods,
+           read_outcomes=xml.read_period_outcomes, check=xml.check(xml.PERIOD_TAG)),
     Reader("xml", "hierarchical_xml", "raw/xml_hierarchical_data", schemas.RAW_HIERARCHICAL_XML,
-           xml.read_companies),
+           xml.read_companies, read_outcomes=xml.read_company_outcomes, check=xml.check(xml.COMPANY_TAG)),
     Reader("json", "financials_json", "raw/json_financials_data", schemas.RAW_NESTED_JSON,
-           json.read_nested, read_rejects=json.nested_rejects),
+           json.read_nested, read_outcomes=json.read_nested_outcomes),
     Reader("json", "period_json", "raw/json_period_data", schemas.RAW_PERIOD_JSON,
-           json.read_periods, read_rejects=json.period_rejects),
+           json.read_periods, read_outcomes=json.read_period_outcomes),
     Reader("csv", None, "raw/csv_data", schemas.RAW_CSV, sectioned_csv.read_tables,
            sectioned_csv.read_metadata, dedup_keys=("company_id", "year")),
 )

@@ -5,6 +5,12 @@ walking a file, each block of a file (see ``ordered_text``) is scanned on its ow
 relative to its unknown start; a block then shrinks to one summary row, the
 summaries of a file are scanned in order, and each block gets the state it starts
 in. A file of any size is read by as many tasks as it has blocks.
+
+A cell in quotes may hold line breaks, so before that lines are put together to records, in the
+same way: a line maps the state it starts in (outside or inside a quoted cell) to the state it ends in,
+these maps compose to one for each block, and the blocks of a file are gone through in order.
+What a record has of lines is gathered in its block; what it has in later blocks comes
+with the summary of those. ``multiline_cells=false`` leaves that out where no cell has breaks.
 """
 
 from __future__ import annotations
@@ -27,8 +33,9 @@ BLANK, META, HEADER, DATA = "blank", "meta", "header", "data"
 QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
 CELL = rf'(?:{QUOTED}"?[^,]*|[^,]*)'
 OPEN_CELL = rf'^(?:(?:[^",][^,]*|{QUOTED}"(?:[^",][^,]*)?)?,)*+{QUOTED}$'
-BREAK = r"(?:\r\n|\r|\n)"
-RECORD_CELL = rf'(?:{QUOTED}"?[^,\r\n]*|[^,\r\n]*)'
+LINE_END = r"(?:\r\n|\r|\n)\z"
+#: Characters of a cell beyond which its file is taken to be broken, as by a quote that never closes.
+MOST_CHARS = 131_072
 
 
 def _unquote(cell: Column) -> Column:
@@ -49,28 +56,95 @@ def cells(line: Column) -> Column:
 
 
 def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
-    """Ordered lines of a source.
-
-    A cell that holds a line break is an error by default, since lines are read by
-    different tasks; ``multiline_cells=true`` reads each file as one text instead
-    (one task per file, files below 2 GB).
-    """
-    if source.flag("multiline_cells", False):
-        whole = spark.read.text(source.path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file"),
-            F.lit(0).cast("bigint").alias("block"),
-            F.regexp_extract_all(
-                F.concat(F.lit("\n"), "value"),
-                F.lit(f"{BREAK}({RECORD_CELL}(?:,{RECORD_CELL})*+)"), 1,
-            ).alias("lines"),
-        )
-        return whole.select("file", "block", F.posexplode("lines").alias("pos", "line"))
-    lines = ordered_lines(spark, source.path)
+    """Ordered records of a source: lines, and with ``multiline_cells`` (default) the lines of one record together."""
+    if source.flag("multiline_cells", True):
+        lines = ordered_lines(spark, source.path, line_sep="\n").drop("size")
+        # A return that stands alone ends a line, too.
+        ended = F.concat("line", F.lit("\n"))
+        parts = F.when(F.col("line").rlike(r"(?s)\r."), F.split(ended, r"(?<=\r)(?!\n)")).otherwise(F.array(ended))
+        single = lines.select("file", "block", F.explode(parts).alias("line"))
+        return records(single.withColumn("pos", F.monotonically_increasing_id()))
+    lines = ordered_lines(spark, source.path).drop("size")
     spans = F.col("line").contains('"') & F.col("line").rlike(OPEN_CELL)
-    message = F.concat(F.lit("cell spans lines, set multiline_cells=true: "), "file")
+    message = F.concat(F.lit("cell spans lines, leave multiline_cells at true: "), "file")
     return lines.withColumn("line", F.when(spans, F.raise_error(message).cast("string")).otherwise(F.col("line")))
 
 
+def _states(lines: DataFrame) -> DataFrame:
+    """Per line, the state before it and after it, relative to that at the start of its block.
+
+    A line either keeps the state, swaps it, or ends in a fixed one (``fixed``). The state after some
+    lines is the last fixed one, if any, swapped as often as a line after it swaps.
+    """
+    quoted = F.col("line").contains('"')
+    text = F.regexp_replace("line", LINE_END, "")
+    ends_0 = F.when(quoted, text.rlike(OPEN_CELL)).otherwise(False).cast("int")
+    ends_1 = F.when(quoted, F.concat(F.lit('"'), text).rlike(OPEN_CELL)).otherwise(True).cast("int")
+    mapped = lines.select(
+        "file", "block", "pos", "line",
+        ((ends_0 == 1) & (ends_1 == 0)).cast("int").alias("swaps"), F.when(ends_0 == ends_1, ends_0).alias("fixed"))
+    ordered = Window.partitionBy("file", "block").orderBy("pos")
+    so_far, before = (ordered.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
+    summed = mapped.withColumn("swapped", F.sum("swaps").over(so_far))
+    last = F.when(F.col("fixed").isNotNull(), F.struct("fixed", "swapped"))
+    return summed.withColumns({
+        "last_after": F.last(last, ignorenulls=True).over(so_far), "last_before": F.last(last, ignorenulls=True).over(before),
+    })
+
+
+def _state(start: Column, last: Column, swapped: Column) -> Column:
+    """State after some lines: ``last`` fixed one among them and the swaps up to it, ``swapped`` in all."""
+    return F.when(last.isNull(), (start + swapped) % 2).otherwise((last["fixed"] + swapped - last["swapped"]) % 2)
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """Records of ordered lines, with the same columns: the lines of a record in a row, at the place of the first.
+
+    Lines still have what ends them; records don't.
+    """
+    states = _states(placed_only(lines))
+    blocks = states.groupBy("file", "block").agg(F.max("swapped").alias("swapped"), F.max_by("last_after", "pos").alias("last"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    summed = blocks.withColumn("before", F.coalesce(F.sum("swapped").over(earlier), F.lit(0)))
+    # The same composition again, over blocks: the last one with a fixed state, and the swaps since.
+    fixed = F.when(F.col("last").isNotNull(), F.struct(_state(F.lit(0), F.col("last"), F.col("swapped")).alias("fixed"), (F.col("before") + F.col("swapped")).alias("swapped")))
+    starts = summed.withColumn("start", _state(F.lit(0), F.last(fixed, ignorenulls=True).over(earlier), F.col("before"))).select("file", "block", "start")
+    placed = states.join(starts, ["file", "block"]).select(
+        "file", "block", "pos", "line",
+        _state(F.col("start"), F.col("last_before"), F.col("swapped") - F.col("swaps")).alias("inside"),
+        _state(F.col("start"), F.col("last_after"), F.col("swapped")).alias("open"),
+    ).where("open >= 0")
+    ordered = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = placed.withColumn("record", F.count_if(F.col("inside") == 0).over(ordered))
+    # Record 0 of a block is the end of one that began earlier; it is sent to the block it began in.
+    heads = (
+        numbered.where("record = 0").groupBy("file", "block")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("lines"), F.min("open").alias("open"))
+        .select("file", "block", F.array_join("lines.line", "").alias("text"))
+    )
+    owners = numbered.groupBy("file", "block").agg(F.max("record").alias("records")).withColumn(
+        "owner", F.last(F.when(F.col("records") > 0, F.col("block")), ignorenulls=True).over(earlier))
+    tails = (
+        heads.join(owners.select("file", "block", "owner"), ["file", "block"]).groupBy("file", F.col("owner").alias("block"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col("block").alias("at"), "text"))).alias("tails"))
+        .select("file", "block", F.array_join("tails.text", "").alias("tail"))
+    )
+    several = (F.col("inside") == 1) | (F.col("open") == 1)
+    whole = Window.partitionBy("file", "block", "record")
+    gathered = (
+        numbered.withColumn("lines", F.collect_list(F.when(several, F.struct("pos", "line"))).over(whole))
+        .withColumn("unclosed", F.max(F.struct("pos", "open")).over(whole)["open"] == 1)
+        .where((F.col("inside") == 0) & (F.col("record") > 0)).join(tails, ["file", "block"], "left")
+    )
+    text = F.when(F.size("lines") == 0, F.col("line")).otherwise(F.array_join(F.sort_array("lines")["line"], ""))
+    text = F.when(F.col("unclosed") & F.col("tail").isNotNull(), F.concat(text, "tail")).otherwise(text)
+    short = F.regexp_replace(text, LINE_END, "")
+    too_long = F.raise_error(F.concat(F.lit("a quoted cell is not closed: "), "file")).cast("string")
+    return gathered.select(
+        "file", "block", "pos",
+        F.when((F.size("lines") > 0) & (F.length(short) > MOST_CHARS) & short.rlike(rf'"(?:[^"]|""){{{MOST_CHARS},}}'), too_long).otherwise(short).alias("line"))
+
+
 def classify(lines: DataFrame) -> DataFrame:
     """Replace ``line`` by its stripped ``cells`` and its ``kind``, tested in this order."""
     # Most lines hold none of the telling words and are data at a glance.

@@ -73,17 +73,26 @@ PIECES = [
 ]
 
 
-def test_random_files(spark, tmp_path):
+#: Pieces of records: cells that begin in one line and end in another, or never.
+BROKEN = ['C7,"6', 'x",2021,"', '"', 'a"b,"c', '",",', '"" "",', '"q""', ',"company_id', 'year",3', '"\r', "one\rtwo,3", 'C8,"a\r\rb",1,2']
+
+
+def random_file(rnd, path, pieces):
+    lines = rnd.choices(pieces, k=rnd.randint(0, 40))
+    path.write_bytes("".join(line + rnd.choice(["\r\n", "\n"]) for line in lines).encode()[: None if rnd.random() < 0.5 else -1])
+
+
+@pytest.mark.parametrize("pieces,options", [(PIECES, {}), (PIECES, {"multiline_cells": "false"}), (PIECES + BROKEN, {}), (PIECES[:6] + BROKEN, {})])
+def test_random_files(spark, tmp_path, pieces, options):
     rnd = random.Random(11)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        for n in range(25):
+        for n in range(12):
             path = tmp_path / f"{n}.csv"
-            lines = rnd.choices(PIECES, k=rnd.randint(0, 40))
-            path.write_bytes(rnd.choice(["\r\n", "\n"]).join(lines).encode())
+            random_file(rnd, path, pieces)
             # From one line per block to the whole file in one.
             spark.conf.set("spark.sql.files.maxPartitionBytes", str(rnd.choice([5, 30, 90, 10_000])))
-            check(spark, path)
+            check(spark, path, **options)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -92,9 +101,16 @@ def test_random_files(spark, tmp_path):
 def test_cell_with_line_breaks(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_bytes(b'company_id,profit,remarks\r\nC1,5,"one\r\ntwo ""2"" , x"\r\nC2,6,z\r\n\r\nq,1,2\r\n')
-    rows, _ = check(spark, path, multiline_cells="true")
-    assert len(rows) == 2
+    rows, _ = check(spark, path)
+    assert [r[3] for r in rows] == ['one\r\ntwo "2" , x', "z"]
     with pytest.raises(SPARK_ERRORS, match="multiline_cells"):
+        sc.read_tables(spark, source(path, multiline_cells="false")).collect()
+
+
+def test_a_quote_that_never_closes_is_an_error(spark, tmp_path):
+    path = tmp_path / "u.csv"
+    path.write_text('company_id,profit\nC1,"5\n' + "C2,6,some more text\n" * 9000)
+    with pytest.raises(SPARK_ERRORS, match="not closed"):
         sc.read_tables(spark, source(path)).collect()
 
 

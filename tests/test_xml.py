@@ -63,13 +63,85 @@ def test_one_line_file_read_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_prefixed_tags(spark, tmp_path):
+@pytest.mark.parametrize("options", [{}, {"prefix": "x"}, {"splittable": "false"}])
+def test_prefixed_tags(spark, tmp_path, options):
+    """The root's prefix is found without an option."""
     path = tmp_path / "x.xml"
     fixtures.write_period_xml(path, n=5, prefix="x")
-    assert xml.read_periods(spark, source(path, prefix="x")).count() == 10
-    assert xml.read_periods(spark, source(path, splittable="false")).count() == 10
+    assert xml.read_periods(spark, source(path, **options)).count() == 10
+
+
+@pytest.mark.parametrize("head,prefix", [
+    ("<a>", None), ("<x:a y:b='1'>", "x"), ("<?xml version='1.0'?>\n<!-- <y:b> -->\n<x-1:a>", "x-1"), ("\ufeff <a xmlns:x='u'><x:b>", None),
+    ("<!DOCTYPE x:a [<!ELEMENT y:b ANY>]><x:a>", "x"), ("<!DOCTYPE a><p:a/>", "p"), ("", None), ("no xml", None)])
+def test_prefix_of_the_root(head, prefix):
+    assert xml.root_prefix(head) == prefix
+
+
+def test_files_with_other_prefixes_are_an_error(spark, tmp_path):
+    for name, prefix in (("a", None), ("b", "x")):
+        fixtures.write_period_xml(tmp_path / f"{name}.xml", n=3, prefix=prefix)
     with pytest.raises(SPARK_ERRORS, match="prefix"):
-        xml.read_periods(spark, source(path)).collect()
+        xml.read_periods(spark, source(tmp_path)).collect()
+    assert xml.read_periods(spark, source(tmp_path, splittable="false")).count() == 12
+
+
+def test_equal_file_names_in_several_folders(spark, tmp_path):
+    for year, n in (("2023", 3), ("2024", 4)):
+        (tmp_path / year).mkdir()
+        fixtures.write_period_xml(tmp_path / year / "periods.xml", n=n)
+    assert xml.read_periods(spark, source(tmp_path / "*" / "periods.xml")).count() == 14
+    # A missing end is not made up for by another file of that name.
+    (tmp_path / "2025").mkdir()
+    (tmp_path / "2025" / "periods.xml").write_text("<xbrl><entity><identifier>C1</identifier></entity>")
+    (tmp_path / "2026").mkdir()
+    (tmp_path / "2026" / "periods.xml").write_text("<entity><identifier>C1</identifier></entity></xbrl>")
+    with pytest.raises(SPARK_ERRORS, match="ends too early"):
+        xml.read_periods(spark, source(tmp_path / "*" / "periods.xml")).collect()
+
+
+def run_batch(spark, folder, files, name="xbrl_xml", **options):
+    from datetime import datetime
+
+    from ledgerloom.config import RunConfig
+    from ledgerloom.plans import batch
+    from ledgerloom.sinks import Warehouse
+
+    warehouse = Warehouse(spark, str(folder / "wh"))
+    result = batch.run(spark, RunConfig((Source(name, "xml", str(files), options),)), warehouse, "b1", datetime(2024, 1, 1))
+    return warehouse, result
+
+
+@pytest.mark.parametrize("options", [{}, {"splittable": "false"}])
+def test_a_batch_reads_documents_once(spark, tmp_path, options, monkeypatch):
+    """Rows and marks come from one pass; marks are neither rows nor rejects."""
+    from ledgerloom import schemas
+    from ledgerloom.plans import batch
+
+    calls, real = [], xml._chunks
+    monkeypatch.setattr(xml, "_chunks", lambda *a: calls.append(1) or real(*a))
+    (tmp_path / "in" / "a").mkdir(parents=True)
+    fixtures.write_period_xml(tmp_path / "in" / "p.xml", n=4, prefix="x")
+    fixtures.write_period_xml(tmp_path / "in" / "a" / "p.xml", n=2, prefix="x")
+    warehouse, result = run_batch(spark, tmp_path, f"{tmp_path}/in/{{p.xml,a/p.xml}}", **options)
+    assert (result.failed, result.staged, result.rejected, len(calls)) == ({}, 12, 0, 1)
+    raw = warehouse.read("raw/xml_xbrl_data", schemas.RAW_PERIOD_XML)
+    assert raw.count() == 12 and raw.where("company_id is null").count() == 0
+    assert warehouse.read(batch.REJECTS, schemas.REJECT_LOG).count() == 0
+
+
+@pytest.mark.parametrize("text,problem", [
+    ("<xbrl><entity><identifier>C1</identifier><financials><revenue>1</revenue></financials></entity>", "ends too early"),
+    ("<entity><identifier>C1</identifier><financials><revenue>1</revenue></financials></entity>", "without a root"),
+    ("<xbrl><g><entity><identifier>C1</identifier></entity></g></xbrl>", "below another element"),
+])
+def test_a_broken_document_leaves_no_rows_of_a_batch(spark, tmp_path, text, problem):
+    from ledgerloom import schemas
+
+    (tmp_path / "b.xml").write_text(text)
+    warehouse, result = run_batch(spark, tmp_path, tmp_path / "b.xml")
+    assert problem in result.failed["xbrl_xml"] and result.staged == 0
+    assert warehouse.read("raw/xml_xbrl_data", schemas.RAW_PERIOD_XML).count() == 0
 
 
 @pytest.mark.parametrize("body", [
@@ -115,8 +187,8 @@ def test_elements_below_other_elements_are_an_error(spark, tmp_path):
 def test_the_first_of_repeated_children_counts(spark, tmp_path, options):
     path = tmp_path / "r.xml"
     path.write_text(
-        "<?xml version='1.0'?><xbrl><!-- a note --><other><x/></other><entity><identifier>1</identifier><identifier>2</identifier>"
-        "<financials period='CY'><revenue>1</revenue><revenue>9</revenue></financials></entity></xbrl>\n<!-- end -->\n")
+        "<?xml version='1.0'?><!-- <entity> --><xbrl><!-- a note --><other><x/></other><entity><identifier>1</identifier><identifier>2</identifier>"
+        "<financials period='CY'><!-- <entity><revenue>7</revenue> --><revenue>1</revenue><revenue>9</revenue></financials></entity></xbrl>\n<!-- end -->\n")
     assert rows(xml.read_periods(spark, source(path, **options))) == [("1", "CY", "1", None, "r.xml")]
 
 

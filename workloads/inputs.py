@@ -7,6 +7,8 @@ Remainders of keys only decide which rows carry which kind of damage.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,25 @@ from ledgerloom.operators.conform import stack
 from ledgerloom.sources import json
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors reach; a local session without one gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_files(lines: DataFrame, name: str) -> str:
+    """Text files below a new folder, one folder and file for each ``file`` of the lines (``file, pos, line``); files may share a name."""
+    path = folder(lines.sparkSession, name)
+    ordered = lines.repartition("file").sortWithinPartitions("file", "pos")
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -118,6 +139,18 @@ def period_documents(spark: SparkSession, sf_dir: str, prefix: str | None = None
     return stack([body, ends])
 
 
+def period_files(spark: SparkSession, sf_dir: str, prefix: str | None = None) -> str:
+    """The period elements as files on disk, one document for each source file."""
+    body = _select(_orders(spark, sf_dir), {"file": XML_FILE, "pos": "o_orderkey", "line": PERIOD_ELEMENT})
+    if prefix:
+        body = body.withColumn("line", F.regexp_replace("line", r"<(/?)(entity|identifier|financials|revenue|profit)", f"<$1{prefix}:$2"))
+    root = f"{prefix}:xbrl" if prefix else "xbrl"
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<!-- <entity> --><{root} xmlns{":" + prefix if prefix else ""}="urn:x">'
+    ends = F.array(*(F.struct(F.lit(at).alias("pos"), F.lit(text).alias("line")) for at, text in ((-1, head), (1 << 60, f"</{root}>"))))
+    files = body.select("file").distinct().select("file", F.inline(ends))
+    return write_files(body.unionByName(files), "xml")
+
+
 # One Company element per order; customers without balance lack the details.
 COMPANY_ELEMENT = (
     f"'<Company><CompanyID>' || {COMPANY} || '</CompanyID>' || "
@@ -188,6 +221,35 @@ def json_pieces(spark: SparkSession, sf_dir: str, others: str = "''") -> DataFra
     )
 
 
+# Whole files of every shape, by the first letter of the priority: lists, lines and one object.
+# A list starts with an empty record, the object is one list of records.
+FILE_SHAPE = (
+    "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'list' WHEN '2' THEN 'lines' WHEN '3' THEN 'lines' "
+    "WHEN '4' THEN 'list' ELSE 'object' END"
+)
+LINE_ELEMENTS = (
+    "CASE WHEN o_orderkey % 13 = 0 THEN '5\n' WHEN o_orderkey % 11 = 0 THEN 'null\n\n\"x}{\"\n' "
+    "WHEN o_orderkey % 7 = 0 THEN ' [{\"a\":1},2]\n' ELSE '' END"
+)
+
+
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested records, other elements among them, as whole files cut at closing braces into small blocks."""
+    orders = _orders(spark, sf_dir)
+    body = f"CASE WHEN {FILE_SHAPE} = 'lines' THEN '\n' || {LINE_ELEMENTS} ELSE ',' || {OTHER_ELEMENTS} END || {NESTED_RECORD}"
+    records = _select(orders, {"file": JSON_FILE, "line_id": "o_orderkey", "parts": f"split({body}, '}}', -1)"})
+    pieces = records.select("file", "line_id", F.posexplode(F.slice("parts", F.lit(1), F.size("parts") - 1)).alias("n", "line"))
+    inner = pieces.select("file", F.expr("line_id div 300").alias("block"), F.expr("line_id * 100 + n").alias("pos"), "line")
+    files = _select(orders, {"file": JSON_FILE, "shape": FILE_SHAPE}).distinct()
+    ends = files.selectExpr(
+        "file", "CAST(-1 AS BIGINT) AS block", "CAST(-1 AS BIGINT) AS pos",
+        "CASE shape WHEN 'list' THEN ' [{' WHEN 'object' THEN '{\"all\":[{' END AS line",
+    ).union(files.selectExpr(
+        "file", "CAST(1000000000000 AS BIGINT)", "CAST(1000000000000 AS BIGINT)",
+        "CASE shape WHEN 'list' THEN ']' WHEN 'object' THEN ']' ELSE '\n' END"))
+    return inner.unionByName(ends.where("line IS NOT NULL"))
+
+
 # CSV lines: one file per nation, one table per customer, one data line per order.
 # A line's place is the customer and day; a block ends within a customer's table.
 DAY = "datediff(CAST(o_orderdate AS DATE), DATE '1995-01-01')"
@@ -235,6 +297,21 @@ def csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("block", F.expr(f"pos div {PLACES_PER_BLOCK}"))
 
 
+# Lines of files whose cells may go over several lines: a remark of one to three lines, some with quotes, commas and blank lines in it.
+LONG_REMARK = (
+    "CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN '\"two' || chr(13) || chr(10) || ' lines\"' "
+    "WHEN 2 THEN '\"a, \"\"b\"\"' || chr(10) || chr(10) || 'company_id,year' || chr(10) || 'end\"' WHEN 3 THEN '\"' || chr(10) || '\"' ELSE 'say \"x' END"
+)
+
+
+def multiline_files(spark: SparkSession, sf_dir: str) -> str:
+    """One file per nation: a header, then one record per order."""
+    record = f"{COMPANY} || ',' || {_YEAR} || ',' || {LONG_REMARK} || ',' || CAST({CENTS} % 1000 AS STRING)"
+    body = _select(_orders(spark, sf_dir), {"file": "'nation_' || CAST(c_nationkey AS STRING)", "pos": "o_orderkey", "line": record})
+    head = body.select("file").distinct().select("file", F.lit(-1).cast("long").alias("pos"), F.lit("Company_ID,Year,Remarks,Profit").alias("line"))
+    return write_files(body.unionByName(head), "csv")
+
+
 # Stored dimension and an incoming batch of companies.
 STORED_VERSION = {
     "dim_company_sk": "c_custkey + 1",

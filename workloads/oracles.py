@@ -120,6 +120,14 @@ NESTED_JSON = (
     f"CASE WHEN {_BARE} THEN NULL ELSE {CURRENCY} END AS currency, {i.JSON_FILE} AS source_file "
     f"FROM {ORDERS} WHERE o_orderkey % 31 <> 0 AND ({_BARE} OR o_orderkey % 23 <> 0)"
 )
+_IN_LIST = "substr(o_orderpriority, 1, 1) <> '5'"
+JSON_REJECTS = (
+    f"SELECT unnest(CASE WHEN o_orderkey % 13 = 0 THEN ['5'] WHEN o_orderkey % 11 = 0 THEN ['null', '\"x}}{{\"'] "
+    f"WHEN o_orderkey % 7 = 0 THEN ['[{{\"a\":1}},2]'] ELSE [] END) AS record_data, "
+    f"'NO_JSON_OBJECT; ' AS rejection_reason, {i.JSON_FILE} AS source_file FROM {ORDERS} UNION ALL "
+    f"SELECT {i.NESTED_RECORD}, 'UNUSABLE_RECORD; ', {i.JSON_FILE} FROM {ORDERS} "
+    "WHERE o_orderkey % 31 = 0 OR (o_orderkey % 23 = 0 AND o_orderkey % 29 <> 0)"
+)
 _USABLE = "o_orderkey % 31 <> 0 AND o_orderkey % 29 <> 0"
 PERIOD_JSON = (
     f"SELECT {COMPANY} AS company_id, 'CY' AS period, "
@@ -189,16 +197,26 @@ ORACLES: dict[str, str] = {
     "xml_documents": PERIOD_XML,
     "xml_documents_prefixed": PERIOD_XML,
     "xml_hierarchical": COMPANY_XML,
+    "xml_auto_prefix": f"SELECT p.* EXCLUDE (source_file), prefix FROM ({PERIOD_XML}) p, (VALUES (''), ('ns1')) AS x (prefix)",
+    "csv_multiline_cells": (
+        f"SELECT {COMPANY} AS company_id, CAST({CENTS} % 1000 AS STRING) AS profit, "
+        "CASE WHEN o_orderkey % 83 = 0 THEN '20x3' ELSE CAST(year(o_orderdate) AS STRING) END AS year, "
+        "CASE o_orderkey % 5 WHEN 0 THEN 'plain' WHEN 1 THEN 'two' || chr(13) || chr(10) || ' lines' "
+        "WHEN 2 THEN 'a, \"b\"' || chr(10) || chr(10) || 'company_id,year' || chr(10) || 'end' WHEN 3 THEN NULL ELSE 'say \"x' END AS remarks, "
+        f"CAST(0 AS INTEGER) AS table_index FROM {ORDERS}"
+    ),
     "json_nested": NESTED_JSON,
     "json_split": NESTED_JSON,
     "json_mixed_elements": NESTED_JSON,
-    "json_rejects": (
-        f"WITH o AS (SELECT *, {i.JSON_FILE} AS source_file FROM {ORDERS}) "
-        f"SELECT unnest(CASE WHEN o_orderkey % 13 = 0 THEN ['5'] WHEN o_orderkey % 11 = 0 THEN ['null', '\"x}}{{\"'] "
-        f"WHEN o_orderkey % 7 = 0 THEN ['[{{\"a\":1}},2]'] ELSE [] END) AS record_data, "
-        "'NO_JSON_OBJECT; ' AS rejection_reason, source_file FROM o UNION ALL "
-        f"SELECT {i.NESTED_RECORD}, 'UNUSABLE_RECORD; ', source_file FROM o "
-        "WHERE o_orderkey % 31 = 0 OR (o_orderkey % 23 = 0 AND o_orderkey % 29 <> 0)"
+    "json_rejects": JSON_REJECTS,
+    "json_shapes": (
+        f"WITH whole AS ({NESTED_JSON} AND {_IN_LIST}), lost AS ({JSON_REJECTS}), "
+        f"files AS (SELECT DISTINCT {i.JSON_FILE} AS source_file FROM {ORDERS}), text AS (SELECT CAST(NULL AS VARCHAR) AS nothing) "
+        "SELECT whole.*, nothing AS record_data, nothing AS rejection_reason FROM whole, text UNION ALL "
+        "SELECT nothing, nothing, nothing, nothing, source_file, nothing, nothing FROM files, text WHERE source_file IN ('report_1.json', 'report_4.json') "
+        "UNION ALL SELECT nothing, nothing, nothing, nothing, source_file, record_data, rejection_reason FROM lost, text WHERE source_file <> 'report_5.json' "
+        "UNION ALL SELECT nothing, nothing, nothing, nothing, source_file, '{\"source_file\":\"' || source_file || '\"}', 'NO_JSON_LIST; ' "
+        "FROM files, text WHERE source_file = 'report_5.json'"
     ),
     "json_periods": PERIOD_JSON,
     "json_events": (

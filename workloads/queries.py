@@ -13,6 +13,7 @@ from ledgerloom.operators import conform as conforming
 from ledgerloom.operators import facts, mapping, quality, scd2
 from ledgerloom.plans import dates, views
 from ledgerloom.plans.shapes import shape
+from ledgerloom.config import Source
 from ledgerloom.sources import json, sectioned_csv, xml
 from ledgerloom.sources.json_split import split_elements
 from workloads import inputs
@@ -76,6 +77,14 @@ def xml_documents_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml.period_rows(xml.parse_elements(elements, xml.PERIOD_SCHEMA))
 
 
+@query
+def xml_auto_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two sources, the second with a namespace prefix that no option names; file names repeat over folders."""
+    sources = (Source("xbrl_xml", "xml", f"{inputs.period_files(spark, sf_dir, prefix)}/*/*") for prefix in (None, "ns1"))
+    plain, prefixed = (xml.read_periods(spark, s).drop("source_file") for s in sources)
+    return plain.withColumn("prefix", F.lit("")).unionByName(prefixed.withColumn("prefix", F.lit("ns1")))
+
+
 @query
 def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json.nested_rows(inputs.nested_records(spark, sf_dir))
@@ -108,7 +117,14 @@ def json_mixed_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every element that gives no row, with the reason."""
     pieces = inputs.json_pieces(spark, sf_dir, inputs.OTHER_ELEMENTS)
-    return json.rejected_elements(_elements(pieces), json.nested_opened())
+    return json.rejects_of(json.nested_outcomes(_elements(pieces)))
+
+
+@query
+def json_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rejects of lists, lines and single objects, the shape found file by file, in one pass."""
+    runs = split_elements(inputs.json_documents(spark, sf_dir)).withColumnRenamed("file", "source_file")
+    return json.nested_outcomes(json.parse_elements(runs))
 
 
 @query
@@ -125,6 +141,13 @@ def csv_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sectioned_csv.data_rows(inputs.csv_text(spark, sf_dir))
 
 
+@query
+def csv_multiline_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose quoted cells hold line breaks, commas and what looks like a header."""
+    source = Source("complex_csv", "csv", f"{inputs.multiline_files(spark, sf_dir)}/*/*")
+    return sectioned_csv.read_tables(spark, source).drop("source_file")
+
+
 @query
 def csv_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sectioned_csv.metadata_rows(inputs.csv_text(spark, sf_dir))
