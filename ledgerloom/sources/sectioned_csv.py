@@ -140,9 +140,10 @@ def records(lines: DataFrame) -> DataFrame:
     text = F.when(F.col("unclosed") & F.col("tail").isNotNull(), F.concat(text, "tail")).otherwise(text)
     short = F.regexp_replace(text, LINE_END, "")
     too_long = F.raise_error(F.concat(F.lit("a quoted cell is not closed: "), "file")).cast("string")
+    longest = F.array_max(F.transform(F.regexp_extract_all(short, F.lit(QUOTED), 0), F.length))
     return gathered.select(
         "file", "block", "pos",
-        F.when((F.size("lines") > 0) & (F.length(short) > MOST_CHARS) & short.rlike(rf'"(?:[^"]|""){{{MOST_CHARS},}}'), too_long).otherwise(short).alias("line"))
+        F.when((F.size("lines") > 0) & (F.length(short) > MOST_CHARS) & (longest > MOST_CHARS), too_long).otherwise(short).alias("line"))
 
 
 def classify(lines: DataFrame) -> DataFrame:
