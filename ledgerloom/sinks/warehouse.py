@@ -49,18 +49,29 @@ class Warehouse:
         (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
         rows = int(seen.get["rows"])
         if skip_empty and not rows:
-            self._drop(target)
+            self.remove(target)
         return rows
 
     def drop(self, table: str, batch_id: str, source: str | None = None) -> None:
         """Remove the part of a table that belongs to this batch and source."""
-        self._drop(self._part(table, batch_id, source))
-
-    def _drop(self, target: str) -> None:
-        """Remove a part."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        self.remove(self._part(table, batch_id, source))
+
+    def _at(self, target: str):
+        """Hadoop's path and the file system it lies in."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def remove(self, target: str) -> None:
+        """Remove a folder and what is in it."""
+        path, files = self._at(target)
+        files.delete(path, True)
+
+    def folders(self, target: str) -> list[str]:
+        """Names of the folders below a folder; none if it is absent."""
+        path, files = self._at(target)
+        if not files.exists(path):
+            return []
+        return sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory())
 
     def read(
         self, table: str, schema: T.StructType, batch_id: str | None = None,

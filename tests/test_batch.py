@@ -2,6 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.config import RunConfig, Source, load_config
@@ -111,7 +112,9 @@ def test_unfinished_dimension_load_is_ignored(spark, loaded):
     store = DimensionStore(warehouse)
     version = store.latest().version + 1
     store._materialize(store.read().limit(5), "closed", version)
+    store._materialize(store.read().limit(5).withColumn("bucket", F.lit(0)), "current", version, "bucket")
     assert store.read().count() == 101
+    assert store.current().where("is_current").count() == 100
 
 
 def test_all_reasons_or_only_those_of_valid_rows(spark, tmp_path):
@@ -193,6 +196,64 @@ def test_first_commit_that_died_counts_as_none(spark, tmp_path):
     assert store.read().count() == 0
 
 
+def names(spark, **named):
+    return spark.createDataFrame(list(named.items()), "company_id string, company_name string")
+
+
+def bucket_files(root):
+    """Every data file of the open versions, with its time of change."""
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for f in (root / "current").rglob("*.parquet")}
+
+
+def test_a_load_rewrites_only_the_buckets_it_changes(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    store, root = DimensionStore(warehouse, buckets=8), tmp_path / "wh/dwh/dim_company"
+
+    def load(batch_id, day, **named):
+        at = datetime(2024, 1, day)
+        return store.apply(names(spark, **named), batch_id, batch.moment(at), at)
+
+    first = {f"C{i}": f"N{i}" for i in range(100)}
+    assert load("b1", 1, **first) == {"new_inserts": 100, "updates": 0, "unchanged": 0}
+    before = bucket_files(root)
+    assert load("b2", 2, C7="other", C8="N8") == {"new_inserts": 0, "updates": 1, "unchanged": 1}
+    after = bucket_files(root)
+    assert before.items() <= after.items()
+    new = {name.split("/")[2] for name in set(after) - set(before)}
+    assert len(new) == 1 and all(name.split("/")[1] == "version=2" for name in set(after) - set(before))
+    held = store.latest().held
+    assert sorted(held) == list(range(8)) and sorted(held.values()) == [1] * 7 + [2]
+    # Nothing changes: no new version, and no files of the attempt.
+    assert load("b3", 3, C7="other", C9="N9")["unchanged"] == 2
+    assert store.latest().version == 2 and bucket_files(root) == after
+    assert not any((root / part).exists() and list((root / part).iterdir()) for part in ("incoming", "decisions"))
+    # Earlier versions can be read until they are removed; those in use stay.
+    assert {r.company_name for r in store.current(1).where("company_id = 'C7'").collect()} == {"N7"}
+    assert store.expire(keep=2) == []
+    assert store.expire() == [f"version=1/{new.pop()}"]
+    assert store.current().count() == 100 and store.read().count() == 101
+    assert {r.company_name for r in store.current().where("company_id in ('C7', 'C9')").collect()} == {"other", "N9"}
+    assert load("b4", 4, C7="third", new="x") == {"new_inserts": 1, "updates": 1, "unchanged": 0}
+    versions = store.read().where("company_id = 'C7'").orderBy("valid_from").collect()
+    assert [v.company_name for v in versions] == ["N7", "other", "third"]
+    assert [v.is_current for v in versions] == [False, False, True]
+    assert store.read().select("dim_company_sk").distinct().count() == 103
+
+
+def test_a_load_reads_the_buckets_of_its_companies(spark, tmp_path):
+    store = DimensionStore(Warehouse(spark, str(tmp_path / "wh")), buckets=16)
+    at = datetime(2024, 1, 1)
+    store.apply(names(spark, **{f"C{i}": "x" for i in range(200)}), "b1", batch.moment(at), at)
+    read = store._current(store.latest(), [3])
+    assert len(read.inputFiles()) == 1 and 0 < read.count() < 40
+    # The number of buckets is that of the stored dimension.
+    again = DimensionStore(store.warehouse, buckets=4)
+    again.apply(names(spark, C1="y"), "b2", batch.moment(at), at)
+    assert again.latest().buckets == 16 and again.current().count() == 200
+    with pytest.raises(ValueError):
+        DimensionStore(store.warehouse, buckets=0)
+
+
 def csv_source(tmp_path, text):
     path = tmp_path / "t.csv"
     path.write_text(text)
