@@ -12,11 +12,11 @@ language), and each gets a minimal perfect hash: levels of bit arrays in which e
 has a bit of its own is placed, the others go one level down; a term's slot is the rank of its bit.
 The hashes and the terms in order of slots are broadcast, at most ``BROADCAST`` bytes of them;
 beyond that only those of the most frequent terms. The second pass looks terms up, compares them
-with the stored ones, and adds to a dense array of slots per group; terms that were not broadcast
-are counted by a join with the other kept terms. Arrays are sent as (slot, count) lists by shard
-and summed in a tree of ``FAN`` rows a step, so no task meets the rows of all tasks. One
-task per shard then compares its groups: whole terms are split by hash, so no term, source or
-language is a task of its own.
+with the stored ones, and adds to a dense array of slots per group, of which what isn't zero is held;
+terms that were not broadcast are counted by a join with the other kept terms. A task sends one row
+for each shard, with the (group, slot, count) of all groups; rows are summed in a tree of ``FAN`` rows a step, so
+no task meets the rows of all tasks. The groups of a shard are then compared on their own:
+whole terms are split by hash, so no term, source or language is a task of its own.
 
 Defined results: null text, lang and source are empty ones; a group without terms, or of a
 language that keeps none, takes part with counts of 0 and, if there are no terms, values of 0. A
@@ -39,16 +39,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import slices
-from ledgerloom.llm.common import Sent, saved
+from ledgerloom.llm.common import Sent, rows_per_batch, saved
 
 MIN_DOCS, TOP = 3, 200
 SCALE = 1_000_000_000
 #: Cells (terms x sources) of a shard, and the most terms of one.
 CELLS, SHARD_TERMS = 1 << 20, 4096
-#: Bytes of broadcast terms and hashes; bytes of dense arrays, and terms counted, before a task sends them on.
-BROADCAST, DENSE, FLUSH = 48 << 20, 48 << 20, 300_000
-#: Rows of a shard and group that one step of the tree of sums takes together.
-FAN = 64
+#: Bytes of broadcast terms and hashes; (group, slot) pairs, and terms, that a task holds before it sends them on.
+BROADCAST, HELD, FLUSH = 48 << 20, 4_000_000, 300_000
+#: Rows of a shard that one step of the tree of sums takes together, and shards handed to Python at a time.
+FAN, SHARDS = 64, 16
 _MOST = 1 << 46
 
 #: Letters in lower case and bytes beyond ASCII as they are, all else a space.
@@ -252,39 +252,101 @@ def perfect_hashes(kept: DataFrame) -> DataFrame:
     return kept.select("lang", "hot", "shard", "shards", "term").groupBy("lang", "hot", "shard").applyInArrow(build, _SHARD)
 
 
-_COUNTS = "lang string, source string, shard int, part long, slots binary, counts binary, term string, n long"
+#: Counts of one shard: the names of groups' sources, and per pair the place of its source, its slot and its count.
+_PACKED = "sources array<string>, places binary, slots binary, counts binary, totals array<long>"
+
+
+def packed(sources: list[str], places: np.ndarray, slots: np.ndarray, counts: np.ndarray) -> dict:
+    totals = np.zeros(len(sources), np.int64)
+    np.add.at(totals, places, counts)
+    return {
+        "sources": sources, "places": places.astype("<u4").tobytes(), "slots": slots.astype("<u2").tobytes(),
+        "counts": counts.astype("<i8").tobytes(), "totals": totals.tolist()}
+
+
+def matrix(rows: list[dict], sources: list[str], size: int) -> np.ndarray:
+    """The sum of packed rows: a line per source, a column per slot."""
+    line = {s: i for i, s in enumerate(sources)}
+    total = np.zeros((len(sources), size), np.int64)
+    for row in rows:
+        own = np.array([line[s] for s in row["sources"]], np.int64)
+        total[own[np.frombuffer(row["places"], "<u4")], np.frombuffer(row["slots"], "<u2")] += np.frombuffer(row["counts"], "<i8")
+    return total
+
+
+class _Held:
+    """Counts of one task: per group, arrays of slots that occurred and how often."""
+
+    def __init__(self, lookup: Lookup):
+        self.lookup, self.groups, self.pairs, self.compact = lookup, {}, 0, 0
+
+    def add(self, lang: str, source: str, slots: np.ndarray, counts: np.ndarray) -> None:
+        if len(slots):
+            self.groups.setdefault((lang, source), []).append((slots.astype(np.int32), counts))
+            self.pairs += len(slots)
+        if self.pairs > max(HELD, 2 * self.compact):
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        """One dense array of slots after the other takes in what its group has."""
+        for group, parts in self.groups.items():
+            if len(parts) > 1:
+                dense = np.zeros(self.lookup.langs[group[0]][2], np.int64)
+                for slots, counts in parts:
+                    dense[slots] += counts
+                slots = np.flatnonzero(dense)
+                self.groups[group] = [(slots.astype(np.int32), dense[slots])]
+        self.pairs = self.compact = sum(len(x[0]) for parts in self.groups.values() for x in parts)
+
+    def full(self) -> bool:
+        return self.compact > HELD
+
+    def rows(self) -> Iterator[dict]:
+        """One packed row for each shard that has counts."""
+        self.sum_up()
+        by_lang: dict[str, list] = {}
+        for (lang, source), ((slots, counts),) in self.groups.items():
+            by_lang.setdefault(lang, []).append((source, slots, counts))
+        for lang, own in by_lang.items():
+            slots, counts = (np.concatenate([x[k] for x in own]) for k in (1, 2))
+            places = np.repeat(np.arange(len(own)), [len(x[1]) for x in own])
+            begins = self.lookup.shards(lang)
+            shard = np.searchsorted(begins, slots, side="right") - 1
+            order = np.argsort(shard, kind="stable")
+            cut = np.searchsorted(shard[order], np.arange(len(begins))).tolist()
+            for i in range(len(begins) - 1):
+                pick = order[cut[i] : cut[i + 1]]
+                if len(pick):
+                    here, place = np.unique(places[pick], return_inverse=True)
+                    yield {"lang": lang, "shard": i, **packed([own[k][0] for k in here.tolist()], place, slots[pick] - begins[i], counts[pick])}
+        self.groups, self.pairs, self.compact = {}, 0, 0
+
+
+_COUNTS = f"lang string, shard int, part long, {_PACKED}, source string, term string, n long"
+_PACKED_ARROW = [("sources", pa.list_(pa.string())), ("places", pa.binary()), ("slots", pa.binary()), ("counts", pa.binary()), ("totals", pa.list_(pa.int64()))]
 
 
 def recount(docs: DataFrame, sent: Sent, cold: bool) -> DataFrame:
-    """Per task, group and shard: packed slots and counts of broadcast terms (part: the task); of other terms, if ``cold``: term and n."""
+    """Per task and shard: packed counts of broadcast terms (part: the task); of other terms, if ``cold``: source, term and n."""
+    schema = pa.schema([
+        ("lang", pa.string()), ("shard", pa.int32()), ("part", pa.int64()), *_PACKED_ARROW, ("source", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, task = sent.derive(Lookup), TaskContext.get().partitionId()
-        dense: dict[tuple[str, str], np.ndarray] = {}
-        added = 0  # what a slot may have come to
-        rest: dict[tuple[str, str], Counter] = {}
-
-        def rows(groups: list[tuple], shards: list[int], slots: list, counts: list, words: list, n: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([
-                pa.array([g[0] for g in groups], pa.string()), pa.array([g[1] for g in groups], pa.string()), pa.array(shards, pa.int32()),
-                pa.array([task] * len(groups), pa.int64()), pa.array(slots, pa.binary()), pa.array(counts, pa.binary()), pa.array(words, pa.string()),
-                pa.array(n, pa.int64())], ["lang", "source", "shard", "part", "slots", "counts", "term", "n"])
+        held, rest = _Held(lookup), {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for group, array in dense.items():
-                at = np.flatnonzero(array)
-                begins = lookup.shards(group[0])
-                cut = np.searchsorted(at, begins).tolist()
-                shards = [i for i in range(len(cut) - 1) if cut[i + 1] > cut[i]]
-                slots = [(at[cut[i] : cut[i + 1]] - begins[i]).astype("<u2").tobytes() for i in shards]
-                counts = [array[at[cut[i] : cut[i + 1]]].astype("<i8").tobytes() for i in shards]
-                none = [None] * len(shards)
-                yield rows([group] * len(shards), shards, slots, counts, none, none)
-            dense.clear()
+            rows = [row | {"part": task} for row in held.rows()]
+            for at in range(0, len(rows), 256):
+                yield pa.RecordBatch.from_pylist(rows[at : at + 256], schema=schema)
 
         def flush_rest() -> Iterator[pa.RecordBatch]:
-            for group, counter in rest.items():
-                none = [None] * len(counter)
-                yield rows([group] * len(counter), none, none, none, [t.decode("utf-8", "surrogatepass") for t in counter], list(counter.values()))
+            for (lang, source), counter in rest.items():
+                terms_ = [t.decode("utf-8", "surrogatepass") for t in counter]
+                size = len(terms_)
+                columns = {"lang": pa.array([lang] * size, pa.string()), "source": pa.array([source] * size, pa.string()),
+                           "term": pa.array(terms_, pa.string()), "n": pa.array(counter.values(), pa.int64())}
+                yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
             rest.clear()
 
         for batch in slices(batches, 1000):
@@ -299,18 +361,13 @@ def recount(docs: DataFrame, sent: Sent, cold: bool) -> DataFrame:
                 for source, own in words.items():
                     n = np.bincount(np.fromiter(map(number.__getitem__, own), np.int64, len(own)), minlength=len(distinct))
                     here = np.flatnonzero((n > 0) & (slot >= 0))
-                    if len(here):
-                        if (lang, source) not in dense:
-                            dense[lang, source] = np.zeros(lookup.langs[lang][2], np.int32)
-                        dense[lang, source][slot[here]] += n[here].astype(np.int32)
+                    held.add(lang, source, slot[here], n[here])
                     if cold:
                         counter = rest.setdefault((lang, source), Counter())
                         for i in np.flatnonzero((n > 0) & (slot < 0)).tolist():
                             counter[distinct[i]] += int(n[i])
-                    added += len(own)
-                    if sum(a.nbytes for a in dense.values()) > DENSE or added > 1 << 30:
-                        yield from flush()
-                        added = 0
+                if held.full():
+                    yield from flush()
                 if sum(map(len, rest.values())) > FLUSH:
                     yield from flush_rest()
         yield from flush()
@@ -320,33 +377,30 @@ def recount(docs: DataFrame, sent: Sent, cold: bool) -> DataFrame:
 
 
 def summed(counts: DataFrame, fan: int) -> DataFrame:
-    """One row per lang, source, shard: the sum of its packed rows, ``fan`` of them or fewer a step."""
+    """One row per lang and shard: the sum of its packed rows, ``fan`` tasks' or fewer a step."""
+    schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("part", pa.int64()), *_PACKED_ARROW])
+
     def add(rows: pa.Table) -> pa.Table:
-        slots = [np.frombuffer(x, "<u2") for x in rows.column("slots").to_pylist()]
-        total = np.zeros(max(int(x[-1]) for x in slots) + 1, np.int64)
-        for at, n in zip(slots, rows.column("counts").to_pylist()):
-            total[at] += np.frombuffer(n, "<i8")
-        at = np.flatnonzero(total)
-        one = {name: rows.column(name)[0].as_py() for name in ("lang", "source", "shard", "part")}
-        return pa.Table.from_pylist(
-            [one | {"slots": at.astype("<u2").tobytes(), "counts": total[at].tobytes(), "total": int(total.sum())}], schema=schema)
+        own = rows.to_pylist()
+        sources = sorted({s for r in own for s in r["sources"]})
+        size = 1 + max(int(np.frombuffer(r["slots"], "<u2").max()) for r in own)
+        total = matrix(own, sources, size)
+        places, slots = np.nonzero(total)
+        one = {name: own[0][name] for name in ("lang", "shard", "part")}
+        return pa.Table.from_pylist([one | packed(sources, places, slots, total[places, slots])], schema=schema)
 
-    schema = pa.schema([
-        ("lang", pa.string()), ("source", pa.string()), ("shard", pa.int32()), ("part", pa.int64()), ("slots", pa.binary()), ("counts", pa.binary()),
-        ("total", pa.int64())])
-    names = "lang string, source string, shard int, part long, slots binary, counts binary, total long"
     parts = (counts.agg(F.max("part")).first()[0] or 0) + 1
     while True:
         parts = -(-parts // fan)
         counts = (
-            counts.select("lang", "source", "shard", F.floor(F.col("part") / fan).alias("part"), "slots", "counts")
-            .groupBy("lang", "source", "shard", "part").applyInArrow(add, names))
+            counts.select("lang", "shard", F.floor(F.col("part") / fan).alias("part"), "sources", "places", "slots", "counts")
+            .groupBy("lang", "shard", "part").applyInArrow(add, f"lang string, shard int, part long, {_PACKED}"))
         if parts == 1:
             return counts.drop("part")
         counts = saved(counts, "sums")
 
 
-def _cold_counts(rows: DataFrame, kept: DataFrame, hashes: DataFrame) -> DataFrame:
+def _cold_counts(rows: DataFrame, hashes: DataFrame) -> DataFrame:
     """Packed counts of the terms that were not broadcast: the rows' sums, joined with the kept terms."""
     def number(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames:
@@ -359,17 +413,16 @@ def _cold_counts(rows: DataFrame, kept: DataFrame, hashes: DataFrame) -> DataFra
 
     slots = hashes.where("not hot").select("lang", "shard", "size", "ends", "terms").mapInArrow(number, "lang string, shard int, term string, slot int")
     total = rows.where("term is not null").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), *_PACKED_ARROW])
 
     def pack(rows: pa.Table) -> pa.Table:
-        one = {name: rows.column(name)[0].as_py() for name in ("lang", "source", "shard")}
-        n = rows.column("n").to_numpy()
-        return pa.Table.from_pylist([one | {
-            "slots": rows.column("slot").to_numpy().astype("<u2").tobytes(), "counts": n.astype("<i8").tobytes(), "total": int(n.sum())}], schema=schema)
+        one = {name: rows.column(name)[0].as_py() for name in ("lang", "shard")}
+        source = rows.column("source").combine_chunks().dictionary_encode()
+        row = packed(source.dictionary.to_pylist(), source.indices.to_numpy().astype(np.int64), rows.column("slot").to_numpy(), rows.column("n").to_numpy())
+        return pa.Table.from_pylist([one | row], schema=schema)
 
-    schema = pa.schema([
-        ("lang", pa.string()), ("source", pa.string()), ("shard", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary()), ("total", pa.int64())])
-    return total.join(slots, ["lang", "term"]).select("lang", "source", "shard", "slot", "n").groupBy("lang", "source", "shard").applyInArrow(
-        pack, "lang string, source string, shard int, slots binary, counts binary, total long")
+    return total.join(slots, ["lang", "term"]).select("lang", "source", "shard", "slot", "n").groupBy("lang", "shard").applyInArrow(
+        pack, f"lang string, shard int, {_PACKED}")
 
 
 def probabilities(counts: np.ndarray, total: np.ndarray | int) -> np.ndarray:
@@ -379,14 +432,11 @@ def probabilities(counts: np.ndarray, total: np.ndarray | int) -> np.ndarray:
     return 1 + first // total * b + first % total * b // total
 
 
-def compare(rows: pa.Table, row: dict, top: int) -> Iterator[tuple]:
+def compare(row: dict, top: int) -> Iterator[tuple]:
     """Of one shard: (source, part, item, value) for pairs of its groups, and for its terms the ``top`` of each group with all ties."""
-    n, groups = row["size"], rows.num_rows
-    sources, totals, kept = rows.column("source").to_pylist(), rows.column("n").to_numpy(), row["kept"]
-    counts = np.zeros((groups, n), np.int64)
-    for i, (slots, own) in enumerate(zip(rows.column("slots").to_pylist(), rows.column("counts").to_pylist())):
-        if slots is not None:
-            counts[i, np.frombuffer(slots, "<u2")] = np.frombuffer(own, "<i8")
+    sources, kept = [g["source"] for g in row["groups"]], row["kept"]
+    totals = np.array([g["n"] for g in row["groups"]], np.int64)
+    counts = matrix([row] if row["sources"] is not None else [], sources, row["size"])
     p = probabilities(counts, totals[:, None] + kept)
     for other, q in enumerate(p):
         d = p - q
@@ -419,31 +469,33 @@ def audit(
     cold = not hashes.where("not hot").isEmpty()
     sent = Sent(spark, [r.asDict() for r in hashes.where("hot").drop("hot").collect()])
     rows = saved(recount(docs, sent, cold), "counts")
-    counts = summed(rows.where("term is null").drop("term", "n"), fan).withColumn("hot", F.lit(True))
-    if cold:
-        counts = counts.unionByName(_cold_counts(rows, kept, hashes).withColumn("hot", F.lit(False)))
-    counts = saved(counts, "counts")
+    with rows_per_batch(spark, SHARDS):
+        counts = summed(rows.where("term is null").drop("source", "term", "n"), fan).withColumn("hot", F.lit(True))
+        if cold:
+            counts = counts.unionByName(_cold_counts(rows, hashes).withColumn("hot", F.lit(False)))
+        counts = saved(counts, "counts")
 
-    own = counts.groupBy("lang", "source").agg(F.sum("total").alias("n"))
+    own = counts.select("lang", F.inline(F.arrays_zip("sources", "totals"))).groupBy("lang", F.col("sources").alias("source")).agg(F.sum("totals").alias("n"))
     totals = saved(groups.join(own, ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n")), "totals")
     within = F.when(F.col("lang_n") < _MOST, F.col("lang_n")).otherwise(F.raise_error(F.lit("a language has too many occurrences")))
-    langs = totals.groupBy("lang").agg(F.sum("n").alias("lang_n")).withColumn("lang_n", within).join(kept.groupBy("lang").agg(F.count("*").alias("kept")), "lang", "left")
-    shards = hashes.select("lang", "hot", "shard", "size", "ends", "terms").join(langs, "lang").toDF(
-        "lang", "tier", "number", "size", "ends", "terms", "lang_n", "kept")
-    # Every group of a language takes part in every shard, with counts of 0 where it has no row.
-    grid = totals.join(hashes.select("lang", "hot", "shard"), "lang").join(
-        counts.drop("total"), ["lang", "source", "hot", "shard"], "left")
-
-    def values(groups: pa.Table, shard: pa.Table) -> pa.Table:
-        row = shard.to_pylist()[0]
-        found = list(compare(groups, row, top))
-        columns = list(zip(*found)) or [()] * 4
-        return pa.Table.from_arrays(
-            [pa.array([row["lang"]] * len(found), pa.string()), *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64())))],
-            ["lang", "source", "part", "item", "value"])
-
-    found = saved(grid.groupBy("lang", "hot", "shard").cogroup(shards.groupBy("lang", "tier", "number")).applyInArrow(
-        values, "lang string, source string, part string, item string, value long"), "values")
+    # As many groups as a language has sources: its pairs of them are part of the result.
+    langs = totals.groupBy("lang").agg(F.sum("n").alias("lang_n"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("groups"))
+    langs = langs.withColumn("lang_n", within).join(kept.groupBy("lang").agg(F.count("*").alias("kept")), "lang")
+    shards = (
+        hashes.select("lang", "hot", "shard", "size", "ends", "terms")
+        .join(counts.drop("totals"), ["lang", "hot", "shard"], "left").join(saved(langs, "langs"), "lang"))
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                columns = list(zip(*compare(row, top))) or [()] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["lang"]] * len(columns[0]), pa.string()),
+                     *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64())))],
+                    ["lang", "source", "part", "item", "value"])
+
+    with rows_per_batch(spark, SHARDS):
+        found = saved(shards.mapInArrow(values, "lang string, source string, part string, item string, value long"), "values")
     pairs = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     bare = totals.join(kept.select("lang").distinct(), "lang", "left_anti").select("lang", "source")
     zeros = bare.join(bare.withColumnRenamed("source", "item"), "lang").where("source != item").withColumn("value", F.lit(0).cast("long"))

@@ -79,7 +79,7 @@ def test_top_and_ties(spark, monkeypatch):
 
 def test_flushes(spark, monkeypatch):
     """Tasks that send on what they hold after every group."""
-    monkeypatch.setattr(divergence, "DENSE", 1)
+    monkeypatch.setattr(divergence, "HELD", 1)
     monkeypatch.setattr(divergence, "FLUSH", 1)
     rows = [r for r in some_rows() if r[0] != 6]
     assert found(divergence.audit(frame(spark, rows).coalesce(2), broadcast=600)) == by_hand(rows)
