@@ -34,7 +34,7 @@ from ledgerloom.llm.common import strings
 from ledgerloom.llm.token_counts import PRETOKEN, SAFE, default_path
 
 #: Pre-tokens that a worker keeps, and the longest one kept.
-CACHE_SIZE, CACHED_LENGTH = 400_000, 64
+CACHE_SIZE, CACHED_LENGTH = 300_000, 64
 #: Rows merged together, and the fewest that are worth it.
 ROWS, ROWS_FROM = 8192, 64
 #: A tree value is rank << PLACE | place.
@@ -103,7 +103,10 @@ class Encoder:
         self.bytes_of.update({t["id"]: self._bytes(t["content"]) for t in spec["added_tokens"]})
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.cutter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-        self.cache_size, self.known = cache_size, _Known(self)
+        self.cache_size = cache_size
+        self.known: dict[str, bytes] = {}  # packed ids by pre-token
+        of_id = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.tokens = pa.array(of_id, pa.large_binary())
 
     def _bytes(self, token: str) -> bytes:
         """A token's bytes; one with characters that stand for no byte is its own UTF-8."""
@@ -151,8 +154,8 @@ class Encoder:
         found = (self.pairs[at] == pair) & (left >= 0) & (right >= 0)
         return np.where(found, self.pair_ranks[at] | place, _NOTHING)
 
-    def merge_rows(self, words: list[bytes], size: int) -> list[list[int]]:
-        """Ids of pre-tokens of at most ``size`` bytes (a power of two): a row and a tree for each."""
+    def merge_rows(self, words: list[bytes], size: int) -> list[bytes]:
+        """Packed ids of pre-tokens of at most ``size`` bytes (a power of two): a row and a tree for each."""
         count, n = len(words), np.array([len(w) for w in words])
         symbols = np.full((count, size + 1), -1, np.int64)  # the last column ends the longest
         symbols[:, :size][np.arange(size) < n[:, None]] = self.first_ids[np.frombuffer(b"".join(words), np.uint8)]
@@ -197,28 +200,30 @@ class Encoder:
             last = last_[here[some]]
             put(first[some], last, self.values(symbol[base[some] + last], new[some], last))
         left = symbols >= 0
-        flat, ends = symbols[left].tolist(), np.cumsum(left.sum(1)).tolist()
+        flat, ends = symbols[left].astype("<i4").tobytes(), (4 * np.cumsum(left.sum(1))).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
-    def learn(self, pretokens: set[str | int]) -> None:
-        """Take the ids of short pre-tokens into the table, many at a time."""
-        known = self.known
-        new = [p for p in pretokens if p not in known and isinstance(p, str) and len(p) <= CACHED_LENGTH]
-        if len(known) + len(new) > self.cache_size:
-            known.clear()
-            new = [p for p in pretokens if isinstance(p, str) and len(p) <= CACHED_LENGTH]
+    def learn(self, pretokens: Iterable[str]) -> dict[str, bytes]:
+        """The packed ids of pre-tokens, many at a time; the table keeps those of short ones."""
         sized: dict[int, tuple[list[str], list[bytes]]] = {}
-        for p in new:
+        out: dict[str, bytes] = {}
+        for p in pretokens:
             data = p.encode("utf-8")
             names, words = sized.setdefault(1 << max(len(data) - 1, 1).bit_length(), ([], []))
             names.append(p)
             words.append(data)
         for size, (names, words) in sized.items():
             if size > CACHED_LENGTH or len(words) < ROWS_FROM:
-                known.update(zip(names, map(self.merge, words)))
+                out.update((p, np.array(self.merge(w), "<i4").tobytes()) for p, w in zip(names, words))
                 continue
             for at in range(0, len(words), ROWS):
-                known.update(zip(names[at : at + ROWS], self.merge_rows(words[at : at + ROWS], size)))
+                out.update(zip(names[at : at + ROWS], self.merge_rows(words[at : at + ROWS], size)))
+        short = {p: ids for p, ids in out.items() if len(p) <= CACHED_LENGTH}
+        if len(self.known) + len(short) > self.cache_size:
+            self.known.clear()
+        if len(short) <= self.cache_size:
+            self.known.update(short)
+        return out
 
     def pretokens(self, text: str) -> list[str]:
         if SAFE.fullmatch(text):
@@ -232,37 +237,36 @@ class Encoder:
             return self.pretokens(text)
         return [x for part in self.cut_special.split(text) for x in ([self.special[part]] if part in self.special else self.pretokens(part))]
 
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as 32-bit numbers in a row."""
+        known, cut = self.known, list(map(self._cut, texts))
+        found = [list(map(known.get, pieces)) for pieces in cut]
+        open_ = {p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None}
+        if open_:
+            new = self.learn(p for p in open_ if isinstance(p, str))
+            new.update((i, np.array([i], "<i4").tobytes()) for i in open_ if isinstance(i, int))
+            found = [[new[p] if x is None else x for p, x in zip(pieces, ids)] if None in ids else ids for pieces, ids in zip(cut, found)]
+        return list(map(b"".join, found))
+
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        cut = list(map(self._cut, texts))
-        if sum(map(len, cut)) >= ROWS_FROM:
-            self.learn(set().union(*cut))
-        known = self.known
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+        return [np.frombuffer(x, "<i4").tolist() for x in self.packed(texts)]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
-
-class _Known(dict):
-    """Ids by pre-token; emptied when full. An id stands for itself."""
+    def decode_all(self, ids: pa.ListArray) -> list[str]:
+        """The texts of lists of ids; null lists are empty. The bytes of all ids are put in a row, then cut."""
+        lists = ids.fill_null([]) if ids.null_count else ids
+        spelt = self.tokens.take(lists.flatten())
+        ends = np.frombuffer(spelt.buffers()[1], np.int64)[spelt.offset :]
+        data = (spelt.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        counts = np.cumsum([0, *lists.value_lengths().to_pylist()])
+        at = ends[counts].tolist() if len(spelt) else [0] * len(counts)
+        return [data[i:j].decode("utf-8", "replace") for i, j in zip(at, at[1:])]
 
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, pretoken: str | int) -> list[int]:
-        if isinstance(pretoken, int):
-            return [pretoken]
-        ids = self.encoder.merge(pretoken.encode("utf-8"))
-        if len(pretoken) <= CACHED_LENGTH:
-            if len(self) >= self.encoder.cache_size:
-                self.clear()
-            self[pretoken] = ids
-        return ids
+    def decode(self, ids: Iterable[int]) -> str:
+        return self.decode_all(pa.array([list(ids)], pa.list_(pa.int32())))[0]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -277,23 +281,23 @@ def encoder(path: str | None, plain: bool = False, cache_size: int = CACHE_SIZE)
     return _encoders[key]
 
 
-def id_lists(lists: list[list[int]]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, lists)])
-    values = np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-
+def encode(docs: DataFrame, path: str | None = None, plain: bool = False, cache_size: int = CACHE_SIZE, decoded: bool = False) -> DataFrame:
+    """Per document: doc_id, ids; with ``decoded`` also text, made from the ids in the same pass.
 
-def encode(docs: DataFrame, path: str | None = None, plain: bool = False, cache_size: int = CACHE_SIZE) -> DataFrame:
-    """Per document: doc_id, ids. ``path``: a vocabulary file that workers can open; ``plain``: special strings are text."""
+    ``path``: a vocabulary file that workers can open; ``plain``: special strings are text.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, plain, cache_size)
         for batch in slices(batches):
-            ids = id_lists(own.encode_all(strings(batch.column("text"))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            packed = own.packed(strings(batch.column("text")))
+            ends = np.cumsum([0, *map(len, packed)]) // 4
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            columns = [batch.column("doc_id"), ids, *([pa.array(own.decode_all(ids), pa.string())] if decoded else [])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][: len(columns)])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>{', text string' if decoded else ''}")
 
 
 def decode(encoded: DataFrame, path: str | None = None, cache_size: int = CACHE_SIZE) -> DataFrame:
@@ -303,7 +307,7 @@ def decode(encoded: DataFrame, path: str | None = None, cache_size: int = CACHE_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, cache_size=cache_size)
         for batch in batches:
-            texts = [own.decode(x or ()) for x in batch.column("ids").to_pylist()]
+            texts = own.decode_all(batch.column("ids"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

@@ -77,17 +77,15 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    found = bpe.encode(table(spark, sf_dir, "documents"), decoded=True)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = alignment.align(table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long")))
-    return found.select(
-        "doc_id", F.size("ids_a").cast("long").alias("n_a"), F.size("ids_b").cast("long").alias("n_b"), "n_groups", "n_links", "n_best",
-        "count_sum", "groups_sha256")
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs.withColumn("doc_id", F.col("doc_id").cast("long")), ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
