@@ -13,6 +13,8 @@ from ledgerloom.operators.conform import conform, lineage
 from ledgerloom.schemas import FINANCIAL_FACT
 
 FACT_KEYS = ("company_id", "period_type", "source_file")
+#: Positions in the bitmaps of a key summary, for each folder and source file.
+KEY_POSITIONS = 1 << 20
 
 
 def resolve_keys(staged: DataFrame, current_dimension: DataFrame) -> DataFrame:
@@ -54,6 +56,33 @@ def incremental(
     return new.join(stored, on, "left_anti")
 
 
+def key_summary(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Which keys the rows of each folder (``by``) may hold: per source file, bitmaps of hashed keys.
+
+    Columns: those of ``by``, source_file, bucket, bits. A bucket covers 32,768 of ``KEY_POSITIONS`` positions, so
+    a folder has at most 32 rows of 4 KB for each file, however many facts it holds.
+    """
+    place = F.pmod(F.xxhash64("company_id", "period_type"), F.lit(KEY_POSITIONS)) + 1
+    return rows.groupBy(*by, "source_file", F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+
+
+def folders_with_keys(new: DataFrame, stored: DataFrame, by: Sequence[str], scope: Sequence[str] = (), null_safe: bool = False) -> DataFrame:
+    """Folders (``by``) of the ``stored`` summaries that may hold a key of the rows ``new``; others can't.
+
+    ``scope`` names columns that both sides have and that must be equal. The two bitmaps of a file are laid
+    over each other: the join is one of summaries, never of keys.
+    """
+    wanted = new if null_safe else new.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in FACT_KEYS)))
+    own = key_summary(wanted, scope).select(*(F.col(c).alias(f"_{c}") for c in (*scope, "source_file", "bucket", "bits")))
+    match = reduce(
+        lambda a, b: a & b, [_equal(F.col("source_file"), F.col("_source_file"), null_safe), F.col("bucket") == F.col("_bucket"),
+                             *(F.col(c) == F.col(f"_{c}") for c in scope)])
+    both = stored.join(own, match).select(*by, "source_file", "bucket", F.explode(F.array("bits", "_bits")).alias("bits"))
+    common = both.groupBy(*by, "source_file", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("common"))
+    return common.where("common > 0").select(*by).distinct()
+
+
 def _equal(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 

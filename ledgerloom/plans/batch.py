@@ -27,6 +27,7 @@ log = logging.getLogger(__name__)
 REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 FINANCIALS, COMPANIES = "staging/stg_financials", "staging/stg_companies"
 REJECTS, FACTS = "staging/stg_reject_log", "dwh/fact_financials"
+FACT_KEYS = "dwh/fact_keys"
 
 
 @dataclass
@@ -238,8 +239,9 @@ def load_facts(
 ) -> None:
     """Append new facts; the dimension is already stored, so they meet its new keys.
 
-    Facts lie under batch and source: known keys are looked for in the folders of this
-    batch's sources only, not in the whole history.
+    Facts lie under batch and source. With the facts of a batch a summary of their keys is kept; known keys
+    are looked for only in folders whose summary has something in common with the new rows', not in
+    the whole history.
     """
     if not loaded:
         log.warning("no financial data to load")
@@ -250,24 +252,47 @@ def load_facts(
         for name in loaded
     ])
     # This batch's own facts are about to be replaced, so they do not count as known.
-    existing = warehouse.read(FACTS, schemas.FINANCIAL_FACT, sources=list(loaded)).where(
-        F.col("batch_id") != result.batch_id
-    )
+    folders = known_folders(warehouse, staged, list(loaded), result.batch_id, null_safe)
+    existing = warehouse.read(FACTS, schemas.FINANCIAL_FACT, folders=folders)
     fresh = facts.new_facts(
         staged, DimensionStore(warehouse).current(), existing, result.batch_id, moment(at),
         null_safe, scope="source_file", kept=["source"],
     )
+    # A summary never tells of less than its facts: it goes before they are replaced and comes after they are written.
+    warehouse.drop(FACT_KEYS, result.batch_id)
     result.facts = warehouse.write(
         fresh, FACTS, result.batch_id, skip_empty=True, partition_by=["source"])
     if not result.facts:
         log.info("no new facts")
         return
-    stored = warehouse.read(FACTS, schemas.FINANCIAL_FACT, result.batch_id)
+    stored = warehouse.read(FACTS, T.StructType([*schemas.FINANCIAL_FACT, T.StructField("source", T.StringType())]), result.batch_id)
+    warehouse.write(facts.key_summary(stored, ["source"]), FACT_KEYS, result.batch_id)
     result.unresolved = int(facts.resolution_counts(stored).first()["unresolved"])
     if result.unresolved:
         log.warning("%d facts have no company in the dimension", result.unresolved)
 
 
+def known_folders(
+    warehouse: Warehouse, staged: DataFrame, sources: Sequence[str], batch_id: str, null_safe: bool = False
+) -> list[tuple[str, str]]:
+    """Batches and sources whose facts may hold a key of the staged rows, but for this batch's own, which are to be replaced.
+
+    A batch without a summary (its load died before it, or is older than summaries) may hold any.
+    """
+    def batches(table: str) -> set[str]:
+        names = warehouse.folders(warehouse.path(table))
+        return {n.removeprefix("batch_id=") for n in names if n.startswith("batch_id=")} - {batch_id}
+
+    summed = batches(FACT_KEYS)
+    # Of every batch and source at most one entry.
+    folders = [(batch, source) for batch in batches(FACTS) - summed for source in sources]
+    if summed:
+        stored = warehouse.read(FACT_KEYS, schemas.FACT_KEY_SUMMARY).where(F.col("batch_id") != batch_id)
+        found = facts.folders_with_keys(staged, stored, ["batch_id", "source"], ["source"], null_safe)
+        folders += [(r.batch_id, r.source) for r in found.collect()]
+    return sorted(folders)
+
+
 def views(warehouse: Warehouse) -> None:
     """Register the reporting views over the stored tables."""
     register_views(

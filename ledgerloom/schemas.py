@@ -57,6 +57,8 @@ FINANCIAL_FACT = _schema(
     ("dim_company_sk", LONG), ("company_id", STRING), ("period_type", STRING), ("year", INT),
     ("revenue", MONEY), ("revenue_usd", MONEY), ("profit", MONEY), ("currency", STRING), *LINEAGE,
 )
+# Which keys the facts of a batch and source may hold: bitmaps of hashed keys per source file.
+FACT_KEY_SUMMARY = _schema(("batch_id", STRING), ("source", STRING), ("source_file", STRING), ("bucket", LONG), ("bits", T.BinaryType()))
 RUN_LOG = _schema(
     ("run_id", STRING), ("start_time", TIMESTAMP), ("end_time", TIMESTAMP), ("status", STRING),
     ("records_processed", LONG), ("records_rejected", LONG), ("source_files", STRING),

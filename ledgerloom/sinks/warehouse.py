@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,16 +76,20 @@ class Warehouse:
     def read(
         self, table: str, schema: T.StructType, batch_id: str | None = None,
         source: str | None = None, sources: Sequence[str] | None = None,
+        folders: Sequence[tuple[str, str]] | None = None,
     ) -> DataFrame:
         """Rows of a table, or of one batch and source of it; no rows if it was never written.
 
-        ``sources``: of all batches, only the folders of these sources are read. What was
+        ``sources``: of all batches, only the folders of these sources are read; ``folders``: only those of
+        these batches and sources, of a table that is partitioned by both. What was
         written with ``usable`` false is read only if the schema asks for that column.
         """
         reader = self.spark.read.format(self.format)
         if batch_id is None:
             columns = T.StructType([f for f in schema if f.name != "batch_id"])
             stored = T.StructType([*columns, T.StructField("batch_id", T.StringType())])
+            if folders is not None and "source" not in stored.names:
+                stored = T.StructType([*stored, T.StructField("source", T.StringType())])
             load, found = self.path(table), reader.schema(stored)
         else:
             columns = T.StructType([f for f in schema if f.name != "batch_id"])
@@ -100,10 +104,23 @@ class Warehouse:
             df = df.where(F.coalesce("usable", F.lit(True)))
         if sources is not None and "source" in df.columns:
             df = df.where(F.col("source").isin(list(sources)))
+        if folders is not None:
+            df = df.where(self._in_folders(folders))
         if batch_id is not None and "batch_id" in schema.names:
             df = df.withColumn("batch_id", F.lit(batch_id))
         return df.select(*schema.names)
 
+    @staticmethod
+    def _in_folders(folders: Sequence[tuple[str, str]]) -> Column:
+        """A filter on the partition columns alone: other folders aren't opened."""
+        batches: dict[str, list[str]] = {}
+        for batch, source in folders:
+            batches.setdefault(source, []).append(batch)
+        wanted = F.lit(False)
+        for source, own in sorted(batches.items()):
+            wanted = wanted | ((F.col("source") == source) & F.col("batch_id").isin(sorted(own)))
+        return wanted
+
     def truncate(self, table: str, schema: T.StructType) -> None:
         """Empty a table before a full reload."""
         empty = self.spark.createDataFrame([], schema)

@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom import schemas
 from ledgerloom.config import RunConfig, Source, load_config
@@ -189,6 +190,51 @@ def test_known_facts_are_read_from_the_folders_of_the_sources(loaded):
     assert 0 < known.count() < facts(warehouse).count()
 
 
+def files_read(df):
+    """Files that the scans of a query opened."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def test_key_summaries_name_the_folders_that_may_hold_a_key(spark, tmp_path):
+    """Of three batches only that with a key of the new rows is read; without its summary a batch is always read."""
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    header = "company_id,profit,year\n"
+
+    def load(batch_id, file, lines, **options):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / file).write_text(header + lines)
+        config = RunConfig((Source("complex_csv", "csv", str(tmp_path / "in" / file)),))
+        return batch.run(spark, config, warehouse, batch_id, datetime(2024, 1, 1), null_safe=True, **options)
+
+    assert load("b1", "a.csv", "C1,1,2023\nC2,1,2023\n").facts == 2
+    assert load("b2", "b.csv", "C1,1,2023\n").facts == 1
+    assert load("b3", "a.csv", "C3,1,2023\n").facts == 1
+    columns = T.StructType([*schemas.STAGED_FINANCIALS, T.StructField("source", T.StringType())])
+    def staged(company, file):
+        values = {"company_id": company, "source_file": file, "source": "complex_csv"}
+        return spark.createDataFrame([tuple(values.get(n) for n in columns.names)], columns)
+
+    def folders(company, file):
+        return batch.known_folders(warehouse, staged(company, file), ["complex_csv"], "b9", null_safe=True)
+
+    assert folders("C1", "a.csv") == [("b1", "complex_csv")]
+    assert folders("C3", "a.csv") == [("b3", "complex_csv")]
+    assert folders("C3", "b.csv") == folders("C1", "c.csv") == []
+    read = warehouse.read(batch.FACTS, schemas.FINANCIAL_FACT, folders=folders("C1", "a.csv"))
+    assert files_read(read) == 1 and {r.batch_id for r in read.collect()} == {"b1"}
+    assert files_read(warehouse.read(batch.FACTS, schemas.FINANCIAL_FACT)) == 3
+    assert warehouse.read(batch.FACTS, schemas.FINANCIAL_FACT, folders=[]).count() == 0
+    # The same key again is known, wherever it lies; a batch that runs again doesn't know its own.
+    assert load("b4", "a.csv", "C1,1,2023\nC3,1,2023\nC4,1,2023\n").facts == 1
+    assert load("b4", "a.csv", "C1,1,2023\nC3,1,2023\nC4,1,2023\n").facts == 1
+    warehouse.drop(batch.FACT_KEYS, "b2")
+    assert ("b2", "complex_csv") in folders("C9", "z.csv")
+    # Without null_safe a row without a period is never known, so nothing needs to be read.
+    assert batch.known_folders(warehouse, staged("C1", "a.csv"), ["complex_csv"], "b9") == [("b2", "complex_csv")]
+
+
 def test_first_commit_that_died_counts_as_none(spark, tmp_path):
     store = DimensionStore(Warehouse(spark, str(tmp_path / "wh")))
     (tmp_path / "wh/dwh/dim_company/commits/version=1").mkdir(parents=True)

@@ -341,6 +341,7 @@ ORACLES: dict[str, str] = {
     ),
     "fact_incremental": _incremental("="),
     "fact_incremental_scoped": _incremental("="),
+    "fact_incremental_indexed": _incremental("="),
     "fact_incremental_nullsafe": _incremental("IS NOT DISTINCT FROM"),
     "load_facts": LOAD,
     "period_distribution": (
