@@ -87,26 +87,34 @@ def validate(
     return df.where(~failed), rejected
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row of counts: input, passed, rejected, one column per rule code.
+def report_counts(df: DataFrame, rules: Sequence[Rule] = RULES, only: Column | None = None) -> list[Column]:
+    """The counts of ``quality_report`` as aggregates, e.g. to be observed while ``df`` is written.
 
-    A reject rule counts rows it is the *first* to fail; a warning counts its rows
-    that no reject rule removed. A single aggregation with partial sums per task.
+    ``only``: rows that it is not true of count nowhere.
     """
     checks, warnings = applicable(df, rules, "reject"), applicable(df, rules, "warn")
     failed = _any_failure(checks)
+    counted = F.lit(True) if only is None else only
     counts = [
-        F.count(F.lit(1)).alias("total_input"),
-        F.count_if(~failed).alias("total_passed"),
-        F.count_if(failed).alias("total_rejected"),
+        F.count_if(counted).alias("total_input"),
+        F.count_if(counted & ~failed).alias("total_passed"),
+        F.count_if(counted & failed).alias("total_rejected"),
     ]
     earlier: list[Rule] = []
     for rule in checks:
         first = rule.failure() & ~_any_failure(earlier)
-        counts.append(F.count_if(first).alias(rule.code))
+        counts.append(F.count_if(counted & first).alias(rule.code))
         earlier.append(rule)
-    counts += [F.count_if(rule.failure() & ~failed).alias(rule.code) for rule in warnings]
-    return df.agg(*counts)
+    return counts + [F.count_if(counted & rule.failure() & ~failed).alias(rule.code) for rule in warnings]
+
+
+def quality_report(df: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """One row of counts: input, passed, rejected, one column per rule code.
+
+    A reject rule counts rows it is the *first* to fail; a warning counts its rows
+    that no reject rule removed. A single aggregation with partial sums per task.
+    """
+    return df.agg(*report_counts(df, rules))
 
 
 def reject_log(

@@ -146,16 +146,20 @@ def load_source(
         return None
     now = moment(at)
 
-    def save(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
-        return warehouse.write(df, table, batch_id, source.name, partition_by=partition_by)
+    def save(df: DataFrame, table: str) -> int:
+        return warehouse.write(df, table, batch_id, source.name)
 
+    # What the rules say of the rows is counted while RAW is written.
     if reader.read_outcomes is None:
-        raw = add_lineage(reader.read(spark, source), batch_id, now)
-        rows = save(conform(raw, reader.raw_schema), reader.raw_table)
+        raw = conform(add_lineage(reader.read(spark, source), batch_id, now), reader.raw_schema)
+        report = warehouse.write_counted(raw, reader.raw_table, batch_id, source.name, quality.report_counts(raw))
     else:
         raw = add_lineage(reader.read_outcomes(spark, source), batch_id, now).withColumn("usable", F.col("rejection_reason").isNull())
         whole = T.StructType([*reader.raw_schema, *(f for f in schemas.UNUSABLE_RECORDS if f.name not in reader.raw_schema.names)])
-        rows = save(conform(raw, whole), reader.raw_table, ["usable"])
+        raw = conform(raw, whole)
+        counts = quality.report_counts(raw, only=F.col("usable"))
+        report = warehouse.write_counted(raw, reader.raw_table, batch_id, source.name, counts, ["usable"])
+    rows = report.pop("rows")
     log.info("source %s: %d records, columns %s", source.name, rows, raw.columns)
     if reader.read_metadata is not None:
         metadata = add_lineage(reader.read_metadata(spark, source), batch_id, now)
@@ -172,7 +176,6 @@ def load_source(
         if broken is not None:
             warehouse.drop(reader.raw_table, batch_id, source.name)
             raise ValueError(broken.problem)
-    report = {k: int(v) for k, v in quality.quality_report(body).first().asDict().items()}
     reported = None if all_reasons else [code for code, n in report.items() if n > 0]
     valid, rejected = quality.validate(body, reported=reported)
     # Also without rejects: a run of the same batch before may have left some.

@@ -42,16 +42,22 @@ class Warehouse:
         The rows are counted while they are written: no second job. With ``skip_empty``
         a part without rows is not kept.
         """
-        target = self._part(table, batch_id, source)
-        seen = Observation()
-        counted = df.drop("batch_id").observe(seen, F.count(F.lit(1)).alias("rows"))
-        writer = counted.write.format(self.format).options(**self.options).mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
-        rows = int(seen.get["rows"])
+        rows = self.write_counted(df, table, batch_id, source, (), partition_by)["rows"]
         if skip_empty and not rows:
-            self.remove(target)
+            self.remove(self._part(table, batch_id, source))
         return rows
 
+    def write_counted(
+        self, df: DataFrame, table: str, batch_id: str, source: str | None = None,
+        counts: Sequence[Column] = (), partition_by: Sequence[str] = (),
+    ) -> dict[str, int]:
+        """As ``write``; also the named ``counts`` (aggregates), taken in the same job as ``rows``."""
+        seen = Observation()
+        counted = df.drop("batch_id").observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+        writer = counted.write.format(self.format).options(**self.options).mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(self._part(table, batch_id, source))
+        return {name: int(value or 0) for name, value in seen.get.items()}
+
     def drop(self, table: str, batch_id: str, source: str | None = None) -> None:
         """Remove the part of a table that belongs to this batch and source."""
         self.remove(self._part(table, batch_id, source))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Lines of a block of a compressed file.
+LINES = 1 << 19
+
 # File endings of the codecs that Spark's text reader unpacks.
 COMPRESSED = r"\.(gz|bz2|lz4|snappy|deflate|zst)$"
 
@@ -15,14 +18,21 @@ def ordered_lines(spark: SparkSession, path: str, line_sep: str | None = None) -
     A block is the part of a file that one task reads, named by its byte offset; its
     size is bounded by ``spark.sql.files.maxPartitionBytes``. ``pos`` grows within a
     block. Together they order the lines of a file without any sort or row number.
+
+    A compressed file is unpacked by one task; its lines are dealt into blocks of ``LINES`` each, so
+    that whatever follows is shared by many.
     """
-    return spark.read.text(path, lineSep=line_sep).select(
+    packed = F.col("_metadata.file_name").rlike(COMPRESSED)
+    lines = spark.read.text(path, lineSep=line_sep).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.when(~packed, F.col("_metadata.file_block_start")).alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
-        F.when(~F.col("_metadata.file_name").rlike(COMPRESSED), F.col("_metadata.file_size")).alias("size"),
+        F.when(~packed, F.col("_metadata.file_size")).alias("size"),
     )
+    # The number of a row within its task is in the lower 33 bits.
+    number = F.col("pos").bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.withColumn("block", F.coalesce("block", F.floor(number / LINES)))
 
 
 def placed_only(lines: DataFrame) -> DataFrame:

@@ -190,6 +190,24 @@ def test_known_facts_are_read_from_the_folders_of_the_sources(loaded):
     assert 0 < known.count() < facts(warehouse).count()
 
 
+def test_the_report_is_taken_while_raw_is_written(spark, tmp_path, monkeypatch):
+    """No job of its own: the counts are those of a report on what was stored."""
+    from ledgerloom.operators import quality
+
+    stored, real = {}, quality.quality_report
+    monkeypatch.setattr(quality, "quality_report", lambda *a: (_ for _ in ()).throw(AssertionError("a job of its own")))
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    csv = csv_source(tmp_path, "company_id,profit,year\nC1,2,2023\n,1,2023\nC2,x,2023\nC3,1,20x3\n").sources
+    (tmp_path / "n.json").write_text('[{"company": {"company_id": "A"}}, 5, {"company": {"company_id": " "}}, {"company": null}]')
+    config = RunConfig((*csv, Source("financials_json", "json", str(tmp_path / "n.json"))))
+    result = batch.run(spark, config, warehouse, "b1", datetime(2024, 1, 1))
+    assert result.failed == {} and result.unusable == {"financials_json": 2}
+    for table, schema, name in (("raw/csv_data", schemas.RAW_CSV, "complex_csv"), ("raw/json_financials_data", schemas.RAW_NESTED_JSON, "financials_json")):
+        stored[name] = real(warehouse.read(table, schema, "b1", name)).first().asDict()
+    assert result.quality == {k: sum(r.get(k, 0) for r in stored.values()) for k in {k for r in stored.values() for k in r}}
+    assert result.quality["total_input"] == 6 and result.quality["total_rejected"] == 3
+
+
 def files_read(df):
     """Files that the scans of a query opened."""
     df.collect()

@@ -114,6 +114,25 @@ def test_a_quote_that_never_closes_is_an_error(spark, tmp_path):
         sc.read_tables(spark, source(path)).collect()
 
 
+def test_a_compressed_file_is_shared_by_many_groups(spark, tmp_path, monkeypatch):
+    """Blocks of a few lines of one gzip file, cells over several lines among them: the same as the plain file."""
+    import gzip
+
+    from ledgerloom.sources import ordered_text
+
+    monkeypatch.setattr(ordered_text, "LINES", 7)
+    rnd = random.Random(3)
+    for n in range(4):
+        plain = tmp_path / f"{n}.csv"
+        random_file(rnd, plain, PIECES + BROKEN)
+        (tmp_path / f"{n}.csv.gz").write_bytes(gzip.compress(plain.read_bytes()))
+        read = {p: sorted(map(tuple, sc.read_tables(spark, source(p)).drop("source_file").collect()), key=str) for p in (plain, f"{plain}.gz")}
+        assert read[plain] == read[f"{plain}.gz"] == walk(plain)[0]
+    lines = ordered_text.ordered_lines(spark, f"{tmp_path}/*.gz")
+    assert lines.groupBy("file", "block").count().agg(F.max("count")).first()[0] == 7
+    assert lines.select("file", "block").distinct().count() > 4
+
+
 def test_several_files_are_separate(spark, tmp_path):
     for name in ("a", "b"):
         fixtures.write_csv(tmp_path / f"{name}.csv")

@@ -4,6 +4,7 @@ import random
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerloom.config import Source
 from ledgerloom.sources import json
@@ -181,6 +182,20 @@ def test_lines_that_are_broken_fail(spark, tmp_path, text):
         json.read_elements(spark, Source("any", "json", str(path))).collect()
 
 
+def test_a_compressed_list_is_shared_by_many_groups(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from ledgerloom.sources import ordered_text
+
+    monkeypatch.setattr(ordered_text, "LINES", 50)
+    records = [{"company": {"company_id": f"C{i}"}} for i in range(1000)]
+    (tmp_path / "l.json.gz").write_bytes(gzip.compress(pyjson.dumps(records).encode()))
+    (tmp_path / "n.json.gz").write_bytes(gzip.compress("\n".join(map(pyjson.dumps, records)).encode()))
+    found = json.read_nested(spark, Source("any", "json", str(tmp_path))).groupBy("source_file").agg(F.countDistinct("company_id"))
+    assert sorted(map(tuple, found.collect())) == [("l.json.gz", 1000), ("n.json.gz", 1000)]
+    assert ordered_text.ordered_lines(spark, f"{tmp_path}/l.json.gz", "}").select("block").distinct().count() == 41
+
+
 def test_a_large_object_is_not_gathered(spark, tmp_path):
     """No group holds more than one piece of a file that is one object, nor more than one line's of lines."""
     from ledgerloom.sources.json_split import read_elements
