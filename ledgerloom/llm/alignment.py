@@ -4,8 +4,9 @@ A text is tokenised whole by both vocabularies, A by byte-level BPE over a space
 a piece model that adds the space itself. Both token sequences must spell the same bytes.
 Anchors are the byte offsets at which a token of A and one of B both begin with a space: ends
 shared by both sides, verified by their offsets. They split a document into windows, each a
-pair of id tuples. A window's alignment (its groups, which lie between shared ends, and its
-links, the token pairs that overlap) depends on those tuples alone and is memoised by them.
+pair of id tuples. A window's alignment, the groups of tokens between shared ends, depends on
+those tuples alone and is memoised by them. Two tokens are linked if they overlap: a link begins
+wherever a token of either side does.
 
 How it runs. The first pass tokenises every text once, writes the ids, the groups' digest and
 the number of links of each document, and the link counts of id pairs summed within the
@@ -36,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import Encoder, id_lists, slices
-from ledgerloom.llm.common import FILE, ROW, Sent, located, saved, strings
+from ledgerloom.llm.bpe import Encoder, slices
+from ledgerloom.llm.common import FILE, ROW, Sent, located, rows_per_batch, saved, strings
 from ledgerloom.llm.token_counts import PRETOKEN, SAFE
 
 #: Entries of the broadcast table of pair counts (17 bytes each).
 PAIRS = 2_000_000
+#: Documents handed to Python at a time.
+BATCH = 200
 #: Ids in the windows that a worker keeps; pairs that a task counts before it sends them on.
-MEMO_IDS, FLUSH = 2_000_000, 400_000
+MEMO_IDS, FLUSH = 1_500_000, 400_000
 #: Characters without a space, or spaces, beyond which a text is left to the encoder whose time does not grow with their square.
 RUN = 1000
 SPACE = "\u2581"
@@ -51,8 +54,30 @@ SPACE = "\u2581"
 _OF_B = 1 << 24
 
 
+class Ids:
+    """Ids of texts in a row, and where each text's ids begin and the last ones end."""
+
+    def __init__(self, values: np.ndarray, ends: np.ndarray):
+        self.values, self.ends = values, ends
+
+    @staticmethod
+    def of(lists: list) -> Ids:
+        """From lists or arrays."""
+        ends = np.cumsum([0, *map(len, lists)])
+        if lists and all(isinstance(x, np.ndarray) for x in lists):
+            return Ids(np.concatenate(lists).astype(np.int64), ends)
+        return Ids(np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), ends)
+
+    @staticmethod
+    def read(column: pa.ListArray) -> Ids:
+        return Ids(column.flatten().to_numpy().astype(np.int64), np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))))
+
+    def column(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.values.astype(np.int32)))
+
+
 class Aligner:
-    """Both vocabularies, and the windows aligned so far: groups as text, their number, and the id pair (a << 32 | b) of every link."""
+    """Both vocabularies, and the windows aligned so far: their groups as text."""
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
         from sentencepiece import SentencePieceProcessor
@@ -60,32 +85,45 @@ class Aligner:
         self.a = Encoder(path_a, plain=True, cache_size=100_000)
         self.fast_a = compiled(self.a)
         self.b = SentencePieceProcessor(model_file=path_b or default_piece_path())
-        self.bytes_b = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        bytes_b = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         of_a = [self.a.bytes_of.get(i, b"") for i in range(max(self.a.bytes_of) + 1)]
-        self.lengths = tuple(np.array(list(map(len, x)), np.int64) for x in (of_a, self.bytes_b))
-        self.spaced = tuple(np.array([x.startswith(b" ") for x in y]) for y in (of_a, self.bytes_b))
+        self.lengths = tuple(np.array(list(map(len, x)), np.int64) for x in (of_a, bytes_b))
+        self.spaced = tuple(np.array([x.startswith(b" ") for x in y]) for y in (of_a, bytes_b))
+        self.spelling = tuple(pa.array(x, pa.large_binary()) for x in (of_a, bytes_b))
         # What an id adds to the groups' text: within its group, and at the end of its side.
-        self.names = tuple(np.array([[f"{i},", f"{i}{end}"] for i in range(len(x))], object) for x, end in ((of_a, "|"), (self.bytes_b, ";")))
-        self.memo: dict[bytes, tuple[str, int, bytes]] = {}
+        self.names = tuple(np.array([[f"{i},", f"{i}{end}"] for i in range(len(x))], object) for x, end in ((of_a, "|"), (bytes_b, ";")))
+        self.memo: dict[bytes, str] = {}
         self.held = 0
 
-    def encode_a(self, texts: list[str]) -> list[list[int]]:
-        slow = [t for t in texts if not (self.fast_a and SAFE.fullmatch(t) and bounded(t))]
-        left = iter(self.a.encode_all(slow))
-        slow_ones = set(slow)
-        return [next(left) if t in slow_ones else self.fast_a.encode_ordinary(t) for t in texts]
+    def encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        slow = [not (self.fast_a and SAFE.fullmatch(t) and bounded(t)) for t in texts]
+        left = iter(self.a.packed([t for t, s in zip(texts, slow) if s]))
+        return [np.frombuffer(next(left), "<i4") if s else self.fast_a.encode_to_numpy(t) for t, s in zip(texts, slow)]
 
-    def tokenise(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def tokenise(self, texts: list[str]) -> tuple[Ids, Ids]:
         """Ids of both sides, none where a side does not spell the text."""
         present = [t for t in texts if t]
         both = iter(zip(self.encode_a([" " + t for t in present]), self.b.encode(present, num_threads=1) if present else ()))
-        out = []
-        for text in texts:
-            a, b = next(both) if text else ([], [])
-            spelt = (" " + text).encode("utf-8")
-            whole = text and b"".join(map(self.bytes_b.__getitem__, b)) == spelt and b"".join(map(self.a.bytes_of.__getitem__, a)) == spelt
-            out.append((a, b) if whole else ([], []))
-        return [a for a, _ in out], [b for _, b in out]
+        none = (np.zeros(0, np.int64), [])
+        lists = [next(both) if t else none for t in texts]
+        a, b = Ids.of([x for x, _ in lists]), Ids.of([x for _, x in lists])
+        spelt = [(" " + t).encode("utf-8") if t else b"" for t in texts]
+        together = b"".join(spelt)
+        ends = np.cumsum([0, *map(len, spelt)])
+        right = [self.spells(x, side, together, ends) for side, x in enumerate((a, b))]
+        if not (right[0].all() and right[1].all()):
+            whole = (right[0] & right[1]).tolist()
+            a, b = (Ids.of([x if w else none[i] for x, w in zip(side, whole)]) for i, side in enumerate(zip(*lists)))
+        return a, b
+
+    def spells(self, ids: Ids, side: int, together: bytes, ends: np.ndarray) -> np.ndarray:
+        """Per text, whether its ids spell it; ``together``: all texts in a row."""
+        at = np.append(0, np.cumsum(self.lengths[side][ids.values]))[ids.ends]
+        found = self.spelling[side].take(pa.array(ids.values)).buffers()[2]
+        found = found.to_pybytes()[: int(at[-1])] if found is not None else b""
+        if found == together and (at == ends).all():
+            return np.ones(len(ends) - 1, bool)
+        return np.array([found[i:j] == together[k:m] for i, j, k, m in zip(at, at[1:], ends, ends[1:])], bool)
 
     def starts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Byte offsets at which the tokens of A and B begin, and the end; texts in a row."""
@@ -132,32 +170,31 @@ class Aligner:
         parts[place_a] = self.names[0][a, last_a]
         parts[np.arange(len(b)) + before_a] = self.names[1][b, last_b]
         parts = parts.tolist()
-        pairs, at = self.links(a, b)
-        # Windows begin with a token of A.
-        token = np.cumsum([0, *map(len, new)]) // 4
-        first_a = np.append(0, np.cumsum(~of_b))[token]
-        start = np.append(start_a, end)[first_a]
-        groups = np.diff(np.append(group_a - 1, group_a[-1])[first_a])
-        link, packed = (np.searchsorted(at, start) * 8).tolist(), pairs.tobytes()
-        token = token.tolist()
-        for key, n, i, j, k, m in zip(new, groups.tolist(), token, token[1:], link, link[1:]):
-            self.memo[key] = ("".join(parts[i:j])[:-1], n, packed[k:m])
+        token = (np.cumsum([0, *map(len, new)]) // 4).tolist()
+        self.memo.update((key, "".join(parts[i:j])[:-1]) for key, i, j in zip(new, token, token[1:]))
         self.held += len(ids)
 
-    def links(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of texts in a row: the id pair of each link, and the byte offset at which its overlap begins."""
+    def groups(self, a: Ids, b: Ids) -> np.ndarray:
+        """Per text, how many groups it has: offsets at which tokens of both sides begin."""
+        start_a, start_b, end = self.starts(a.values, b.values)
+        begins = np.zeros(end + 1, bool)
+        begins[start_b] = True
+        return np.diff(np.append(0, np.cumsum(begins[start_a]))[a.ends])
+
+    def forget(self) -> None:
+        """Give the memory of all that is memoised back."""
+        self.memo.clear()
+        self.a.known.clear()
+        self.held = 0
+
+    def links(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of texts in a row: the id pair (a << 32 | b) of each link, in order."""
         start_a, start_b, end = self.starts(a, b)
         begins = np.zeros((2, end), bool)
         begins[0, start_a] = True
         begins[1, start_b] = True
         at = np.flatnonzero(begins[0] | begins[1])
-        return a[np.cumsum(begins[0])[at] - 1] << 32 | b[np.cumsum(begins[1])[at] - 1], at
-
-
-def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids in a row, and where each list begins and the last ends."""
-    ends = np.cumsum([0, *map(len, lists)])
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1])), ends
+        return a[np.cumsum(begins[0])[at] - 1] << 32 | b[np.cumsum(begins[1])[at] - 1]
 
 
 def compiled(encoder: Encoder):
@@ -209,32 +246,25 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, doc_type = aligner(path_a, path_b), Counter(), None
-        for batch in slices(batches):
-            ids_a, ids_b = own.tokenise(strings(batch.column("text")))
+        for batch in slices(batches, BATCH):
+            a, b = own.tokenise(strings(batch.column("text")))
             doc_type = batch.column("doc_id").type
-            (a, ends), (b, _) = flat(ids_a), flat(ids_b)
-            keys, first = own.windows(a, b)
-            times = Counter(keys)
-            own.learn(set(times))
+            keys, first = own.windows(a.values, b.values)
+            own.learn(set(keys))
             found = list(map(own.memo.__getitem__, keys))
-            of_doc = np.searchsorted(first, ends).tolist()
-            numbers = []
-            for i, j in zip(of_doc, of_doc[1:]):
-                text = ";".join([w[0] for w in found[i:j]])
-                numbers.append((sum([w[1] for w in found[i:j]]), sum([len(w[2]) for w in found[i:j]]) // 8, hashlib.sha256(text.encode()).hexdigest() if j > i else ""))
-            links = [own.memo[k][2] for k in times]
-            pair, which = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
-            weight = np.repeat(np.array(list(times.values()), np.int64), [len(x) // 8 for x in links])
-            total = np.zeros(len(pair), np.int64)
-            np.add.at(total, which, weight)
-            for p, n in zip(pair.tolist(), total.tolist()):
-                seen[p] += n
+            of_doc = np.searchsorted(first, a.ends).tolist()
+            texts = [";".join(found[i:j]) for i, j in zip(of_doc, of_doc[1:])]
+            digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+            n_groups = own.groups(a, b)
+            n_links = np.diff(a.ends) + np.diff(b.ends) - n_groups  # one begins where a token of either side does
+            pair, n = np.unique(own.links(a.values, b.values), return_counts=True)
+            for p, k in zip(pair.tolist(), n.tolist()):
+                seen[p] += k
             size = batch.num_rows
             none = pa.nulls(size, pa.int64())
             yield pa.RecordBatch.from_arrays([
-                pa.array([0] * size, pa.int32()), batch.column("doc_id"), id_lists(ids_a), id_lists(ids_b),
-                pa.array([x[0] for x in numbers], pa.int64()), pa.array([x[1] for x in numbers], pa.int64()), pa.array([x[2] for x in numbers], pa.string()),
-                none, none], names)
+                pa.array([0] * size, pa.int32()), batch.column("doc_id"), a.column(), b.column(),
+                pa.array(n_groups), pa.array(n_links), pa.array(digests, pa.string()), none, none], names)
             if len(seen) > FLUSH:
                 yield pairs(seen, doc_type)
                 seen.clear()
@@ -291,44 +321,53 @@ def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.
     return tuple(np.ascontiguousarray(x[order]) for x in (pair, table.column("n").to_numpy(), table.column("best").to_numpy(zero_copy_only=False)))
 
 
-def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most_pairs: int = PAIRS) -> DataFrame:
-    """Per document: doc_id, ids_a, ids_b, n_groups, n_links, groups_sha256, n_best, count_sum."""
-    found = saved(aligned(docs, path_a, path_b), "aligned")
-    counts = pair_counts(found)
-    table = _frequent(counts, most_pairs)
-    summed = _link_sums(found.where("kind = 0"), Sent(docs.sparkSession, table), path_a, path_b)
-    if counts.count() == len(table[0]):
-        return summed.drop("missing")
-    rows = located(saved(summed, "summed"))
-    rare = (
-        rows.select(FILE, ROW, F.explode("missing").alias("m")).select(FILE, ROW, "m.pair", "m.times").join(counts, "pair")
-        .groupBy(FILE, ROW).agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_sum"))
-    )
-    both = rows.drop("missing").join(rare, [FILE, ROW], "left")
-    return both.withColumns({
-        "n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0)),
-    }).drop(FILE, ROW, "more_best", "more_sum")
+def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, most_pairs: int = PAIRS, ids: bool = True) -> DataFrame:
+    """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256; with ``ids`` also ids_a and ids_b."""
+    spark = docs.sparkSession
+    with rows_per_batch(spark, BATCH):
+        found = saved(aligned(docs, path_a, path_b), "aligned")
+        counts = pair_counts(found)
+        table = _frequent(counts, most_pairs)
+        # The locator only joins back what is not handed through Python.
+        documents = located(found).where("kind = 0").drop("pair", "n", "kind")
+        summed = saved(_link_sums(documents, Sent(spark, table), path_a, path_b), "summed")
+    if counts.count() > len(table[0]):
+        rare = (
+            summed.select(FILE, ROW, F.explode("missing").alias("m")).select(FILE, ROW, "m.pair", "m.times").join(counts, "pair")
+            .groupBy(FILE, ROW).agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_sum"))
+        )
+        summed = summed.join(rare, [FILE, ROW], "left").withColumns({
+            "n_best": F.col("n_best") + F.coalesce("more_best", F.lit(0)), "count_sum": F.col("count_sum") + F.coalesce("more_sum", F.lit(0)),
+        })
+    numbers = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    if ids:
+        return summed.join(documents.select(FILE, ROW, "ids_a", "ids_b"), [FILE, ROW]).select(*numbers, "ids_a", "ids_b")
+    return summed.select(*numbers)
 
 
 def _link_sums(documents: DataFrame, table: Sent, path_a: str | None, path_b: str | None) -> DataFrame:
-    """n_best and count_sum of the links in the table; the others' pairs and how often the document holds them."""
-    kept = ["doc_id", "ids_a", "ids_b", "n_groups", "n_links", "groups_sha256"]
+    """Per document its numbers, n_best and count_sum of the links in the table; the others' pairs and how often the document holds them."""
+    kept = ["doc_id", "n_groups", "n_links", "groups_sha256", FILE, ROW]
     pairs = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, counted = aligner(path_a, path_b), table.derive(_Table)
-        for batch in slices(batches):
-            (a, _), (b, _) = (flat(batch.column(name).to_pylist()) for name in ("ids_a", "ids_b"))
-            links, _ = own.links(a, b)
+        own.forget()
+        for batch in slices(batches, BATCH):
+            a, b = (Ids.read(batch.column(name)) for name in ("ids_a", "ids_b"))
+            links = own.links(a.values, b.values)
             doc = np.cumsum([0, *batch.column("n_links").to_pylist()])
             here, n, best = counted.find(links)
             total, n_best = (np.append(0, np.cumsum(x))[doc] for x in (n, best))
-            missing = [[{"pair": p, "times": k} for p, k in Counter(links[i:j][~here[i:j]].tolist()).items()] for i, j in zip(doc, doc[1:])]
+            missing = None
+            if not here.all():
+                missing = [[{"pair": p, "times": k} for p, k in Counter(links[i:j][~here[i:j]].tolist()).items()] for i, j in zip(doc, doc[1:])]
+            missing = pa.array(missing, pairs) if missing else pa.nulls(batch.num_rows, pairs)
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(kept).columns, pa.array(np.diff(n_best)), pa.array(np.diff(total)), pa.array(missing, pairs)],
-                [*kept, "n_best", "count_sum", "missing"])
+                [*batch.select(kept).columns, pa.array(np.diff(a.ends)), pa.array(np.diff(b.ends)), pa.array(np.diff(n_best)), pa.array(np.diff(total)), missing],
+                [*kept, "n_a", "n_b", "n_best", "count_sum", "missing"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select(kept).mapInArrow(
-        run, f"doc_id {kind}, ids_a array<int>, ids_b array<int>, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, "
-        "missing array<struct<pair:long,times:long>>")
+    return documents.select(*kept, "ids_a", "ids_b").mapInArrow(
+        run, f"doc_id {kind}, n_groups long, n_links long, groups_sha256 string, {FILE} string, {ROW} long, n_a long, n_b long, n_best long, "
+        "count_sum long, missing array<struct<pair:long,times:long>>")

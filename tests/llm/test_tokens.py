@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,7 +65,7 @@ def test_root_is_the_least(values, puts):
 @given(st.lists(st.text("thear ingonéß", min_size=2, max_size=16), min_size=1, max_size=20))
 def test_rows_of_trees_and_single_trees_agree(own, words):
     words = [w.encode()[:16] for w in words]
-    assert own.merge_rows(words, 16) == list(map(own.merge, words))
+    assert [np.frombuffer(x, "<i4").tolist() for x in own.merge_rows(words, 16)] == list(map(own.merge, words))
 
 
 def test_a_full_table_is_emptied(library):
@@ -88,6 +89,8 @@ ROWS = awkward() + [(100 + i, t, "en", "a", 1) for i, t in enumerate(ODD)] + [(2
 
 def test_bpe_query(spark, library, tmp_path):
     found = queries.op12_bpe(spark, write_tables(spark, tmp_path, ROWS))
+    again = bpe.decode(bpe.encode(frame(spark, ROWS)))
+    assert sorted(map(tuple, again.select("doc_id", "text").collect()), key=repr) == sorted(((r[0], r[1] or "") for r in ROWS), key=repr)
     want = []
     for doc_id, text, *_ in ROWS:
         ids = library.encode(text or "", add_special_tokens=False).ids
@@ -158,8 +161,8 @@ def test_long_texts_and_query_columns(spark, tmp_path):
     rows = [r for r in ROWS if len(r[1] or "") >= 5000]
     found = queries.op13_alignment(spark, write_tables(spark, tmp_path, rows)).collect()
     own = alignment.Aligner()
-    ids = own.tokenise([r[1] for r in rows])
-    assert [(r.n_a, r.n_b) for r in found] == [(len(a), len(b)) for a, b in zip(*ids)]
+    a, b = own.tokenise([r[1] for r in rows])
+    assert sorted((r.n_a, r.n_b) for r in found) == sorted(zip(np.diff(a.ends).tolist(), np.diff(b.ends).tolist()))
     assert all(r.n_links == r.n_a + r.n_b - r.n_groups and r.n_best <= r.n_links <= r.count_sum for r in found)
 
 
@@ -167,8 +170,8 @@ def test_windows_are_relearnt_when_full(monkeypatch):
     monkeypatch.setattr(alignment, "MEMO_IDS", 60)
     own = alignment.Aligner()
     for seed in range(4):
-        a, b = (alignment.flat([x])[0] for x in (side[0] for side in own.tokenise([prose(seed, 40)])))
-        keys, first = own.windows(a, b)
+        a, b = own.tokenise([prose(seed, 40)])
+        keys, first = own.windows(a.values, b.values)
         own.learn(set(keys))
-        assert ";".join(own.memo[k][0] for k in keys) == aligned_by_hand([prose(seed, 40)])[0][2]
+        assert ";".join(own.memo[k] for k in keys) == aligned_by_hand([prose(seed, 40)])[0][2]
         assert first[0] == 0
