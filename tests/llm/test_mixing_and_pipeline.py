@@ -86,7 +86,7 @@ def test_query_matches_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_query_returns_a_row_for_each_of_its_table(spark, name):
     result = QUERIES[name](spark, SF_DIR)
-    if name != "op6_mix":
+    if name not in ("op6_mix", "op11_divergence"):
         source = table(spark, SF_DIR, "pages" if name.startswith("op5") else "documents")
         assert result.count() == source.count()
     assert not {t for _, t in result.dtypes} & {"void"}
