@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Sent, in_fold, saved
+from ledgerloom.llm.common import Sent, in_fold, rows_per_batch, saved
 
 #: Bytes of context. The strings, one byte longer, are packed into 64-bit numbers.
 DEPTH = 6
@@ -43,7 +43,13 @@ FOLDS, HELD_OUT = 7, 2
 GRAMS, TOKENS = 1 << 20, 1 << 19
 END = b"\n"
 #: Bytes counted at once, strings held before they are summed up, strings whose trees are weighted at once.
-_CHUNK, _HELD, _SUBTREES = 1 << 21, 1 << 21, 1 << 18
+_CHUNK, _HELD, _SUBTREES = 1 << 20, 1 << 21, 1 << 18
+#: Texts handed to Python at a time.
+_BATCH = 1024
+#: Texts scored at once: a text's number among them and a string make one 64-bit number.
+_TEXTS = 256
+#: Codec of the tables of strings, which are the largest.
+_CODEC = "zstd"
 #: Groups that words are shuffled in.
 _BUCKETS = 1 << 14
 
@@ -179,7 +185,7 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             yield _merged(*now, held)
 
     sent = docs.mapInArrow(count, _COUNTED)
-    return saved(sent.repartition("kind", "key").sortWithinPartitions("kind", "key").mapInArrow(merge, _COUNTED), "counts")
+    return saved(sent.repartition("kind", "key").sortWithinPartitions("kind", "key").mapInArrow(merge, _COUNTED), "counts", _CODEC)
 
 
 def _merged(kind: int, key: int, held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -342,7 +348,7 @@ def gram_scores(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
             levels, at = subtree(gram, n, depth, 2)
             yield pa.RecordBatch.from_pydict({"gram": gram, "n": n, "logp": predicted(levels, at, gram, top.value.value)})
 
-    return saved(trees.mapInArrow(score, "gram long, n long, logp double"), "strings")
+    return saved(trees.mapInArrow(score, "gram long, n long, logp double"), "strings", _CODEC)
 
 
 class Lookup:
@@ -410,7 +416,8 @@ def score_texts(docs: DataFrame, training: Column | None = None, depth: int = DE
         raise ValueError("strings of depth + 1 bytes must fit into 64 bits, with at least two bytes of context")
     learnt = ~in_fold(F.col("doc_id"), FOLDS, HELD_OUT) if training is None else training
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), learnt.alias("training"))
-    counted = counts(rows.select("text", "training"), depth)
+    with rows_per_batch(spark, _BATCH):
+        counted = counts(rows.select("text", "training"), depth)
     words = counted.where("kind = 0").select("token", "n")
     strings = gram_scores(counted, depth)
     n_train, n_types = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -424,10 +431,11 @@ def score_texts(docs: DataFrame, training: Column | None = None, depth: int = DE
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, log_count = table.derive(Lookup), known.derive(_log_counts)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):  # bounds the arrays
-                yield from _scored(whole.slice(at, 512), lookup, log_count, unit, depth)
+            for at in range(0, whole.num_rows, _TEXTS):  # bounds the arrays
+                yield from _scored(whole.slice(at, _TEXTS), lookup, log_count, unit, depth)
 
-    kept = saved(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, _OUT), "scored")
+    with rows_per_batch(spark, _BATCH):
+        kept = saved(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, _OUT), "scored", _CODEC)
     of_token = kept.where("kind = 1").select("row", "token", F.col("n").alias("times")).join(words.where("n > 0"), "token")
     of_gram = kept.where("kind = 2").select("row", "gram", F.col("n").alias("times")).join(strings.select("gram", "logp"), "gram")
     parts = (
@@ -472,9 +480,10 @@ def _scored(batch: pa.RecordBatch, lookup: Lookup, log_count: dict[bytes, float]
         row, token, n = zip(*missing)
         yield _rows(len(missing), {**nothing, "row": row, "kind": 1, "token": token, "n": n})
     if len(absent):
-        owner = np.repeat(np.arange(len(lengths)), lengths)[absent]
-        pair, n = np.unique(np.stack([owner, grams[absent]]), axis=1, return_counts=True)
-        yield _rows(pair.shape[1], {**nothing, "row": ids[pair[0]], "kind": 2, "gram": pair[1], "n": n})
+        owner = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)[absent]
+        pair, n = np.unique(owner << np.uint64(56) | grams[absent].view(np.uint64), return_counts=True)
+        gram = (pair & np.uint64((1 << 56) - 1)).view(np.int64)
+        yield _rows(len(pair), {**nothing, "row": ids[(pair >> np.uint64(56)).astype(np.int64)], "kind": 2, "gram": gram, "n": n})
 
 
 _ARROW = pa.schema([(name, {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}[kind])
