@@ -73,9 +73,15 @@ def _named(tag: str, prefix: str | None) -> str:
     return f"{prefix}:{tag}" if prefix else tag
 
 
+def _plainly_alone(name: str, tag: str) -> Column:
+    """Whether a chunk begins as an element without attributes and doesn't name the tag again: one element, told without a pattern."""
+    start, text = f"<{name}>", F.ltrim(F.col("chunk"), F.lit(" \t\r\n"))
+    return text.startswith(start) & ~F.substr(text, F.lit(len(start) + 1)).contains(tag)
+
+
 def _alone(name: str, tag: str) -> Column:
     """Whether a chunk is the start of one element, and nothing stands before or between."""
-    return F.col("chunk").rlike(rf"^\s*<{name}[\s>]") & (F.regexp_count("chunk", F.lit(rf"<(?:[^<>/\s:]+:)?{tag}[\s>]")) == 1)
+    return _plainly_alone(name, tag) | F.col("chunk").rlike(rf"^\s*<{name}[\s>]") & (F.regexp_count("chunk", F.lit(rf"<(?:[^<>/\s:]+:)?{tag}[\s>]")) == 1)
 
 
 def tagged_elements(chunks: DataFrame, tag: str, prefix: str | None = None) -> DataFrame:

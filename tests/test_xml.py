@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -206,3 +208,13 @@ def test_documents_without_elements_give_no_row(spark, tmp_path, text):
     path = tmp_path / "none.xml"
     path.write_text(text)
     assert xml.read_periods(spark, source(path)).count() == 0
+
+
+def test_plain_elements_are_told_without_a_pattern(spark):
+    chunks = ["<entity><a>1</a>", "\n<entity>x", " \t\r\n<entity>", "<entity/>", "<entity a='1'>x", "<entity>a<entity>b", "<entity>an entity",
+              "<entity>a<n:entity >b", "x<entity>", "<entity", "", "<Entity>x", "</xbrl>", " <entity>x", None]
+    found = spark.createDataFrame([(c,) for c in chunks], "chunk string").select(
+        "chunk", xml._plainly_alone("entity", "entity").alias("plain"), xml._alone("entity", "entity").alias("alone")).collect()
+    pattern = [c is not None and bool(re.match(r"\s*<entity[\s>]", c, re.A)) and len(re.findall(r"<(?:[^<>/\s:]+:)?entity[\s>]", c)) == 1 for c in chunks]
+    assert [bool(r.alone) for r in found] == pattern
+    assert [r.chunk for r in found if r.plain] == chunks[:3]
