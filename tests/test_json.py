@@ -285,3 +285,16 @@ def test_repeated_keys_and_rejects_in_a_batch(spark, tmp_path):
     (entry,) = warehouse.read(batch.REJECTS, schemas.REJECT_LOG).collect()
     assert (entry.record_data, entry.rejection_reason) == ("7", json.NO_OBJECT)
     assert {r.company_id for r in warehouse.read(batch.FINANCIALS, schemas.STAGED_FINANCIALS).collect()} == {"B"}
+
+
+def test_blocks_are_dealt_into_many_parts(spark):
+    """A task sorts a small share of a source, however few partitions the session shuffles into (here 8)."""
+    from ledgerloom.sources import ordered_text
+    from ledgerloom.sources.json_split import split_elements
+
+    pieces = spark.range(4000).selectExpr("'f' AS file", "id div 4 AS block", "id AS pos", "',{\"a\":' || id AS line")
+    runs = split_elements(pieces, top=0)
+    assert "REPARTITION_BY_NUM" in runs._jdf.queryExecution().executedPlan().toString()
+    dealt = ordered_text.dealt(pieces.select("file", "block"))
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 100
+    assert {r.text for r in runs.collect()} == {f',{{"a":{k}}}' for k in range(4000)}
