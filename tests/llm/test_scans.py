@@ -160,3 +160,19 @@ def test_wrapper_has_slots_options_and_repetitions():
 def test_any_markup_is_read(page):
     text = html_text.extract(page, [])
     assert text == "\n".join(x for x in text.split("\n") if x.strip())
+
+
+def test_wrappers_learn_from_every_page_of_a_host(spark, monkeypatch):
+    """A text is template only if no page at all has another one in its place, however many share it."""
+    def page(k: int, note: str) -> str:
+        return f"<html><body><div>{note}</div><p>text {k}</p></body></html>"
+
+    pages = [(k, "http://a.org/x", page(k, "same" if k < 40 else "other")) for k in range(41)]
+    pages += [(100 + k, "http://b.org/x", page(k, "same")) for k in range(41)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_text.extract_pages(frame.repartition(5)).collect()}
+    assert all(found[k] == f"{'same' if k < 40 else 'other'}\ntext {k}" for k in range(41))
+    assert all(found[100 + k] == f"text {k}" for k in range(41))
+    one = {r.host: r.wrapper for r in html_text.wrappers(frame.repartition(5)).collect()}
+    monkeypatch.setattr(html_text, "HELD", 1)
+    assert {r.host: r.wrapper for r in html_text.wrappers(frame.coalesce(1)).collect()} == one
