@@ -33,7 +33,6 @@ BLANK, META, HEADER, DATA = "blank", "meta", "header", "data"
 QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
 CELL = rf'(?:{QUOTED}"?[^,]*|[^,]*)'
 OPEN_CELL = rf'^(?:(?:[^",][^,]*|{QUOTED}"(?:[^",][^,]*)?)?,)*+{QUOTED}$'
-LINE_END = r"(?:\r\n|\r|\n)\z"
 #: Characters of a cell beyond which its file is taken to be broken, as by a quote that never closes.
 MOST_CHARS = 131_072
 
@@ -61,7 +60,7 @@ def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
         lines = ordered_lines(spark, source.path, line_sep="\n").drop("size")
         # A return that stands alone ends a line, too.
         ended = F.concat("line", F.lit("\n"))
-        parts = F.when(F.col("line").rlike(r"(?s)\r."), F.split(ended, r"(?<=\r)(?!\n)")).otherwise(F.array(ended))
+        parts = F.when(F.col("line").contains("\r") & F.col("line").rlike(r"(?s)\r."), F.split(ended, r"(?<=\r)(?!\n)")).otherwise(F.array(ended))
         single = lines.select("file", "block", F.explode(parts).alias("line"))
         return records(single.withColumn("pos", F.monotonically_increasing_id()))
     lines = ordered_lines(spark, source.path).drop("size")
@@ -70,6 +69,12 @@ def csv_lines(spark: SparkSession, source: Source) -> DataFrame:
     return lines.withColumn("line", F.when(spans, F.raise_error(message).cast("string")).otherwise(F.col("line")))
 
 
+def _without_end(line: Column) -> Column:
+    """A line without what ends it: one return, feed, or both."""
+    size = F.when(line.endswith("\r\n"), 2).when(line.endswith("\n") | line.endswith("\r"), 1)
+    return F.when(size.isNull(), line).otherwise(F.left(line, F.length(line) - size))
+
+
 def _states(lines: DataFrame) -> DataFrame:
     """Per line, the state before it and after it, relative to that at the start of its block.
 
@@ -77,7 +82,7 @@ def _states(lines: DataFrame) -> DataFrame:
     lines is the last fixed one, if any, swapped as often as a line after it swaps.
     """
     quoted = F.col("line").contains('"')
-    text = F.regexp_replace("line", LINE_END, "")
+    text = _without_end(F.col("line"))
     ends_0 = F.when(quoted, text.rlike(OPEN_CELL)).otherwise(False).cast("int")
     ends_1 = F.when(quoted, F.concat(F.lit('"'), text).rlike(OPEN_CELL)).otherwise(True).cast("int")
     mapped = lines.select(
@@ -138,7 +143,7 @@ def records(lines: DataFrame) -> DataFrame:
     )
     text = F.when(F.size("lines") == 0, F.col("line")).otherwise(F.array_join(F.sort_array("lines")["line"], ""))
     text = F.when(F.col("unclosed") & F.col("tail").isNotNull(), F.concat(text, "tail")).otherwise(text)
-    short = F.regexp_replace(text, LINE_END, "")
+    short = _without_end(text)
     too_long = F.raise_error(F.concat(F.lit("a quoted cell is not closed: "), "file")).cast("string")
     longest = F.array_max(F.transform(F.regexp_extract_all(short, F.lit(QUOTED), 0), F.length))
     return gathered.select(
@@ -147,13 +152,12 @@ def records(lines: DataFrame) -> DataFrame:
 
 
 def classify(lines: DataFrame) -> DataFrame:
-    """Replace ``line`` by its stripped ``cells`` and its ``kind``, tested in this order."""
+    """Add the ``kind`` of each line, tested in this order, and the stripped ``cells`` of those that aren't data at a glance."""
     # Most lines hold none of the telling words and are data at a glance.
     telling = F.lower("line").rlike("|".join((*METADATA_LABELS, *KNOWN_COLUMNS)))
     filled = F.col("line").rlike(f'[^,"{WHITESPACE}]')
-    with_cells = lines.withColumns(
-        {"cells": cells(F.col("line")), "plain_data": filled & ~telling}
-    ).drop("line")
+    told = lines.withColumn("plain_data", F.coalesce(filled & ~telling, F.lit(False)))
+    with_cells = told.withColumn("cells", F.when(~F.col("plain_data"), cells(F.col("line"))))
     lowered = F.transform("cells", F.lower)
     labels = F.array(*(F.lit(label) for label in METADATA_LABELS))
     known = F.array(*(F.lit(name) for name in KNOWN_COLUMNS))
@@ -254,8 +258,9 @@ def data_rows(lines: DataFrame) -> DataFrame:
     placed = scanned.join(_carry(scanned), ["file", "block"])
     header = F.coalesce(F.col("in_seen") + F.col("at_header"), F.col("in_header"))
     blank = F.coalesce(F.col("in_seen") + F.col("at_blank"), F.col("in_blank"), F.lit(0))
-    kept = placed.where((F.col("kind") == DATA) & (blank <= header)).withColumn(
-        "layout", F.coalesce("layout", "in_layout")
+    # Cells of data are told apart here: the branch of the carry has no use for them.
+    kept = placed.where((F.col("kind") == DATA) & (blank <= header)).withColumns(
+        {"layout": F.coalesce("layout", "in_layout"), "cells": cells(F.col("line"))}
     )
 
     def cell(name: str) -> Column:

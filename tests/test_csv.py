@@ -147,3 +147,19 @@ def test_lines_are_read_and_shuffled_once(spark, tmp_path):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_cells_of_plain_data_are_left_to_the_branch_that_needs_them(spark):
+    lines = ['company_id,year', '"C1, x",1998', '"","",', 'C2,1999', '',  None]
+    frame = spark.createDataFrame([("f", 0, k, line) for k, line in enumerate(lines)], "file string, block long, pos long, line string")
+    found = {r.pos: r for r in sc.classify(frame).collect()}
+    assert [found[k].kind for k in range(6)] == ["header", "data", "blank", "data", "blank", "data"]
+    assert [found[k].cells for k in range(6)] == [["company_id", "year"], None, ["", "", ""], None, [""], None]
+    rows = sc.data_rows(frame.where("pos < 5 AND pos <> 2")).select("company_id", "year").collect()
+    assert {tuple(r) for r in rows} == {("C1, x", "1998"), ("C2", "1999")}
+
+
+def test_line_ends(spark):
+    lines = ["a\n", "a\r", "a\r\n", "a\n\r", "a\n\n", "\r\n", "\n", "", "a", None]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string").select(sc._without_end(F.col("line")))
+    assert [r[0] for r in frame.collect()] == ["a", "a", "a", "a\n", "a\n", "", "", "", "a", None]
