@@ -104,3 +104,8 @@ class Sent:
             Sent._derived.pop(key, None)
             held = Sent._derived[key] = (self.name, make(self.value.value))
         return held[1]
+
+    @staticmethod
+    def release() -> None:
+        """Let go of what this worker derived in an earlier pass, for one that needs the memory and no broadcast."""
+        Sent._derived.clear()

@@ -44,6 +44,8 @@ GRAMS, TOKENS = 1 << 20, 1 << 19
 END = b"\n"
 #: Bytes counted at once, strings held before they are summed up, strings whose trees are weighted at once.
 _CHUNK, _HELD, _SUBTREES = 1 << 20, 1 << 21, 1 << 18
+#: Rows of packed strings sent at once, so that their copies stay small.
+_SENT = 1 << 10
 #: Texts handed to Python at a time.
 _BATCH = 1024
 #: Texts scored at once: a text's number among them and a string make one 64-bit number.
@@ -127,6 +129,7 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Sent.release()  # workers are reused: tables of an earlier run may be there
         tokens: Counter = Counter()
         strings = _Strings()
 
@@ -138,7 +141,9 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 key, n, latest = key[order], n[order], latest[order]
                 cuts = [0, *(np.flatnonzero(np.diff(latest)) + 1).tolist(), len(key)]
                 parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
-                yield _counted(1, latest[cuts[:-1]], None, None, [key[x].tobytes() for x in parts], [n[x].astype(np.int32).tobytes() for x in parts])
+                for k in range(0, len(parts), _SENT):
+                    some = parts[k : k + _SENT]
+                    yield _counted(1, latest[cuts[k : k + len(some)]], None, None, [key[x].tobytes() for x in some], [n[x].astype(np.int32).tobytes() for x in some])
             by: dict[int, list[bytes]] = {}
             for token in tokens:
                 by.setdefault(zlib.crc32(token) % _BUCKETS, []).append(token)
@@ -356,7 +361,7 @@ class Lookup:
 
     def __init__(self, sent: tuple[np.ndarray, np.ndarray]):
         keys, values = sent
-        self.bits = max(4, int(2 * max(len(keys), 1)).bit_length())
+        self.bits = max(4, int(2 * max(len(keys), 1) - 1).bit_length())  # at most half full
         self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
         slot = self._slot(keys)
         while len(keys):

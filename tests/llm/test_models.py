@@ -190,3 +190,11 @@ def test_awkward_texts_are_scored(spark, corpus):
     assert toxicity.score_toxicity(docs, toxicity.train(*corpus)).where("score between 0 and 1").count() == len(awkward())
     assert quality.score_quality(docs, quality.train(*corpus)).where("score between 0 and 1").count() == len(awkward())
     assert labels.count()
+
+
+def test_a_pass_lets_go_of_tables_of_an_earlier_one():
+    from ledgerloom.llm.common import Sent
+
+    Sent._derived["earlier"] = ("name", b"table")
+    Sent.release()
+    assert not Sent._derived
