@@ -14,8 +14,9 @@ counts follow from them. The counts are sent as packed arrays and summed by thei
 context bytes, so a row of the sums holds a whole subtree. Only the sums of the 65,280
 possible nodes of depth 1 go to the driver, whatever the corpus. A second pass adds up the log
 probabilities of the strings of each text: frequent strings from a broadcast table of at most
-``GRAMS`` entries, the others through a join. The unigram base is made alike, with at most
-``TOKENS`` broadcast words.
+``GRAMS`` entries, the others are sent as packed arrays to their part of the table of all strings
+(parts are even, by a hash); what they add is summed by text within tasks, then by a shuffle. The unigram base has at
+most ``TOKENS`` broadcast words and takes a join for the others.
 
 Defined results: null and empty texts consist of the end alone. Rows with the same doc_id are
 scored one by one. Without training rows every decision has probability 1/2. An empty table
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,16 +56,43 @@ _TEXTS = 256
 _CODEC = "zstd"
 #: Groups that words are shuffled in.
 _BUCKETS = 1 << 14
+#: Bytes of texts whose words are taken at once.
+_WORDS = 1 << 22
+#: Strings in a part of their table, roughly, and the parts' number as a power of two, from and to.
+_PART, _PART_BITS = 1 << 16, (10, 16)
+#: Missing strings sent in one row, so that batches of rows stay small.
+_PACK = 1 << 9
+#: Strings looked up at once, so that what is made on the way stays in the processor's cache.
+_BLOCK = 1 << 16
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()  # of bytes: at ASCII white space, A-Z only
+def words_of(texts: pa.Array) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    """Binary texts (null: empty) as their words joined and closed, all words, and the words per text.
+
+    At ASCII white space, A-Z in lower case only; the bytes need not be UTF-8.
+    """
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null(b"").view(pa.string())))
+    split = pc.ascii_split_whitespace(plain)
+    lengths = pc.list_value_length(split).to_numpy().astype(np.int64)
+    lengths[pc.binary_length(plain).to_numpy() == 0] = 0
+    words = split.flatten().view(pa.binary())
+    if len(words) > lengths.sum():  # a blank text gives one empty word
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return [t + END for t in pc.binary_join(split, " ").view(pa.binary()).to_pylist()], words, lengths
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where their texts grow long."""
+    for batch in batches:
+        size = pc.binary_length(batch.column("text")).fill_null(0).to_numpy().cumsum(dtype=np.int64) // _WORDS
+        cuts = [0, *(np.flatnonzero(size[1:] != size[:-1]) + 1).tolist(), len(size)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
 
 
-def packed(texts: list[list[bytes]], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+def packed(joined: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """The strings of depth + 1 bytes that end at each byte of each text, and the bytes per text."""
     pad = END * depth
-    joined = [b" ".join(w) + END for w in texts]
     lengths = np.array([len(j) for j in joined], dtype=np.int64)
     data = pad.join([b"", *joined]) + bytes(8)
     size = len(data) - 8 - depth
@@ -71,7 +100,8 @@ def packed(texts: list[list[bytes]], depth: int = DEPTH) -> tuple[np.ndarray, np
         return np.zeros(0, np.int64), lengths
     # Eight bytes from each place as one number, cut to the first depth + 1.
     whole = np.ndarray(size, ">u8", data, 0, (1,)).astype(np.uint64)
-    grams = (whole >> np.uint64(8 * (7 - depth))).view(np.int64)
+    whole >>= np.uint64(8 * (7 - depth))
+    grams = whole.view(np.int64)
     starts = np.cumsum(lengths + depth) - lengths - depth
     keep = np.ones(size, dtype=bool)
     for k in range(depth):  # strings that end in the next text's padding
@@ -96,8 +126,11 @@ class _Strings:
         self.numbers: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, texts: list[list[bytes]], training: bool, depth: int) -> None:
-        key, n = np.unique((packed(texts, depth)[0] << 1) | int(training), return_counts=True)
+    def add(self, texts: list[bytes], training: bool, depth: int) -> None:
+        key = packed(texts, depth)[0]
+        key <<= 1
+        key |= int(training)
+        key, n = np.unique(key, return_counts=True)
         self.keys.append(key)
         self.numbers.append(n.astype(np.int32))  # of one task
         self.size += len(key)
@@ -110,6 +143,30 @@ class _Strings:
             self.keys, self.numbers, self.size = [key], [n], len(key)
 
 
+class _Words:
+    """Words counted in a task; the end is kept as the empty word."""
+
+    def __init__(self) -> None:
+        self.words: list[pa.Array] = []
+        self.numbers: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, words: pa.Array, texts: int) -> None:
+        """The words of so many texts."""
+        found = words.dictionary_encode()
+        self.words += [found.dictionary, pa.array([b""], pa.binary())]
+        self.numbers += [np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary)), np.array([texts])]
+        self.size += len(found.dictionary) + 1
+        if self.size > max(_HELD, 2 * len(self.words[0])):
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        if len(self.words) > 1:
+            found = pa.concat_arrays(self.words).dictionary_encode()
+            n = np.bincount(found.indices.to_numpy(), weights=np.concatenate(self.numbers), minlength=len(found.dictionary))
+            self.words, self.numbers, self.size = [found.dictionary], [n.astype(np.int64)], len(n)
+
+
 _COUNTED = "kind int, key int, token binary, n long, grams binary, counts binary"
 
 
@@ -130,47 +187,48 @@ def counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         Sent.release()  # workers are reused: tables of an earlier run may be there
-        tokens: Counter = Counter()
+        tokens = _Words()
         strings = _Strings()
 
         def send() -> Iterator[pa.RecordBatch]:
             strings.sum_up()
             for key, n in zip(strings.keys, strings.numbers):
-                latest = (key >> 9) & 0xFFFF
+                latest = ((key >> 9) & 0xFFFF).astype(np.uint16)  # 16 bits are sorted by radix
                 order = np.argsort(latest, kind="stable")
                 key, n, latest = key[order], n[order], latest[order]
-                cuts = [0, *(np.flatnonzero(np.diff(latest)) + 1).tolist(), len(key)]
+                cuts = [0, *(np.flatnonzero(latest[1:] != latest[:-1]) + 1).tolist(), len(key)]
                 parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
                 for k in range(0, len(parts), _SENT):
                     some = parts[k : k + _SENT]
                     yield _counted(1, latest[cuts[k : k + len(some)]], None, None, [key[x].tobytes() for x in some], [n[x].astype(np.int32).tobytes() for x in some])
-            by: dict[int, list[bytes]] = {}
-            for token in tokens:
-                by.setdefault(zlib.crc32(token) % _BUCKETS, []).append(token)
-            yield _counted(
-                0, list(by), None, None, [b"\n".join(b"" if t == END else t for t in x) for x in by.values()],
-                [np.array([tokens[t] for t in x], np.int64).tobytes() for x in by.values()])
+            tokens.sum_up()
+            for words, n in zip(tokens.words, tokens.numbers):
+                bucket = np.array([zlib.crc32(t) % _BUCKETS for t in words.to_pylist()], np.uint16)
+                order = np.argsort(bucket, kind="stable")
+                words, n, bucket = words.take(pa.array(order)), n[order], bucket[order]
+                cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words)
+                yield _counted(0, bucket[cuts[:-1]], None, None, pc.binary_join(lists, END), [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])])
             strings.__init__()
-            tokens.clear()
+            tokens.__init__()
 
-        for batch in batches:
+        for batch in _bounded(batches):
             waiting: dict[bool, list] = {True: [], False: []}
             size = {True: 0, False: 0}
-            for text, learn in zip(batch.column("text"), batch.column("training").to_pylist()):
-                text = text.as_py() or b""
-                words = words_of(text)
-                waiting[learn].append(words)
+            joined, words, lengths = words_of(batch.column("text"))
+            learns = np.array(batch.column("training").to_pylist(), bool)
+            if learns.any():
+                tokens.add(words.filter(pa.array(np.repeat(learns, lengths))), int(learns.sum()))
+            for text, learn in zip(joined, learns.tolist()):
+                waiting[learn].append(text)
                 size[learn] += len(text)
-                if learn:
-                    tokens.update(words)
-                    tokens[END] += 1
                 if size[learn] > _CHUNK:
                     strings.add(waiting[learn], learn, depth)
                     waiting[learn], size[learn] = [], 0
             for learn, texts in waiting.items():
                 if texts:
                     strings.add(texts, learn, depth)
-            if strings.size > 2 * _HELD or len(tokens) > _HELD:
+            if strings.size > 2 * _HELD or tokens.size > 2 * _HELD:
                 yield from send()
         yield from send()
 
@@ -252,16 +310,28 @@ def decisions(grams: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[Lev
     context = np.zeros(len(grams), np.int64)
     for k in range(1, depth + 1):  # latest byte on top
         context = (context << 8) | ((grams >> (8 * k)) & 0xFF)
-    keys, bits = [], []
+    # Sorted once by context and byte: a node's strings stand together for each of the eight decisions.
+    order = np.argsort((context << 8) | byte)
+    byte, context, n = byte[order], context[order], n[order]
+    other = np.concatenate((np.ones(min(len(n), 1), bool), context[1:] != context[:-1]))
+    at, keys, zeros, ones, size = np.zeros((8, len(n)), np.int64), [], [], [], 0
     for i in range(8):
         code = (1 << i) | (byte >> (8 - i))
-        keys.append((code << (8 * depth)) | context)
-        bits.append((byte >> (7 - i)) & 1)
-    key, bit, count = np.concatenate(keys), np.concatenate(bits), np.tile(n, 8)
-    nodes, at = np.unique(key, return_inverse=True)
-    n1 = np.bincount(at, weights=count * bit, minlength=len(nodes))
-    n0 = np.bincount(at, weights=count * (1 - bit), minlength=len(nodes))
-    return Level(nodes, n0, n1, None), at.reshape(8, -1)
+        starts = other.copy()
+        starts[1:] |= code[1:] != code[:-1]
+        first = np.flatnonzero(starts)
+        total = lambda x: np.add.reduceat(x, first) if len(first) else x
+        place = np.argsort(code[first].astype(np.uint8), kind="stable")  # of nodes sorted by context
+        n1 = total(n * ((byte >> (7 - i)) & 1))[place]
+        keys.append(((code[first] << (8 * depth)) | context[first])[place])
+        ones.append(n1)
+        zeros.append(total(n)[place] - n1)
+        rank = np.empty(len(first), np.int64)
+        rank[place] = np.arange(size, size + len(first))
+        at[i, order] = rank[np.cumsum(starts) - 1]
+        size += len(first)
+    n0, n1 = np.concatenate(zeros).astype(np.float64), np.concatenate(ones).astype(np.float64)
+    return Level(np.concatenate(keys), n0, n1, None), at
 
 
 def subtree(grams: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list[Level], np.ndarray]:
@@ -362,13 +432,14 @@ class Lookup:
     def __init__(self, sent: tuple[np.ndarray, np.ndarray]):
         keys, values = sent
         self.bits = max(4, int(2 * max(len(keys), 1) - 1).bit_length())  # at most half full
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        self.keys = np.full(2 << self.bits, -1, np.int64)  # a key and its value side by side
+        self.values = self.keys.view(np.float64)
         slot = self._slot(keys)
         while len(keys):
-            free = np.flatnonzero(self.keys[slot] < 0)
+            free = np.flatnonzero(self.keys[2 * slot] < 0)
             taken, first = np.unique(slot[free], return_index=True)
             put = free[first]
-            self.keys[taken], self.values[taken] = keys[put], values[put]
+            self.keys[2 * taken], self.values[2 * taken + 1] = keys[put], values[put]
             rest = np.ones(len(keys), bool)
             rest[put] = False
             keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
@@ -379,20 +450,23 @@ class Lookup:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values, and the positions of keys that aren't there (with value 0)."""
-        slot = self._slot(keys)
-        held = self.keys[slot]
-        values = np.where(held == keys, self.values[slot], 0.0)
-        absent = [np.flatnonzero(held < 0)]
-        rest = np.flatnonzero((held != keys) & (held >= 0))
-        slot = slot[rest]
-        while len(rest):
-            slot = (slot + 1) & ((1 << self.bits) - 1)
-            held = self.keys[slot]
-            same = held == keys[rest]
-            values[rest[same]] = self.values[slot[same]]
-            absent.append(rest[held < 0])
-            on = ~same & (held >= 0)
-            rest, slot = rest[on], slot[on]
+        values, absent = np.empty(len(keys)), [np.zeros(0, np.int64)]
+        for at in range(0, len(keys), _BLOCK):
+            some = keys[at : at + _BLOCK]
+            slot = self._slot(some)
+            held = self.keys.take(2 * slot, mode="clip")
+            self.values.take(2 * slot + 1, mode="clip", out=values[at : at + _BLOCK])
+            rest = np.flatnonzero(held != some)
+            held, slot, wanted = held[rest], slot[rest], some[rest]
+            while len(rest):
+                gone, same = held < 0, held == wanted
+                values[at + rest[gone]] = 0.0
+                absent.append(at + rest[gone])
+                values[at + rest[same]] = self.values[2 * slot[same] + 1]
+                on = ~(gone | same)
+                rest, wanted = rest[on], wanted[on]
+                slot = (slot[on] + 1) & ((1 << self.bits) - 1)
+                held = self.keys[2 * slot]
         return values, np.concatenate(absent)
 
 
@@ -408,7 +482,9 @@ def frequent(table: DataFrame, most: int) -> DataFrame:
     return table.where(F.lit(False)) if least is None else table.where((size >= least) & (F.col("n") > 0))
 
 
-_OUT = "row long, kind int, doc_id long, n_tokens long, n_known long, base double, score double, token binary, gram long, n long"
+_OUT = ("row long, kind int, doc_id long, n_tokens long, n_known long, base double, score double, token binary, n long, "
+        "part int, grams binary, texts binary, numbers binary")
+_SENDS = "row long, kind int, part int, grams binary, texts binary, numbers binary"
 
 
 def score_texts(docs: DataFrame, training: Column | None = None, depth: int = DEPTH, grams: int = GRAMS, tokens: int = TOKENS) -> DataFrame:
@@ -432,74 +508,186 @@ def score_texts(docs: DataFrame, training: Column | None = None, depth: int = DE
     table = Sent(spark, (top.column("gram").to_numpy(), top.column("logp").to_numpy()))
     common = frequent(words, tokens).select("token", "n").toArrow()
     known = Sent(spark, (common.column("token").combine_chunks(), common.column("n").to_numpy()))
+    bits = min(max((strings.count() // _PART).bit_length(), _PART_BITS[0]), _PART_BITS[1])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup, log_count = table.derive(Lookup), known.derive(_log_counts)
-        for whole in batches:
-            for at in range(0, whole.num_rows, _TEXTS):  # bounds the arrays
-                yield from _scored(whole.slice(at, _TEXTS), lookup, log_count, unit, depth)
+        lookup, log_count, missing = table.derive(Lookup), known.derive(_LogCounts), _Missing(bits)
+        for batch in _bounded(batches):
+            yield from _scored(batch, lookup, log_count, missing, unit, depth)
+            if missing.size > _HELD:
+                yield from missing.sent()
+        yield from missing.sent()
 
     with rows_per_batch(spark, _BATCH):
         kept = saved(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(score, _OUT), "scored", _CODEC)
     of_token = kept.where("kind = 1").select("row", "token", F.col("n").alias("times")).join(words.where("n > 0"), "token")
-    of_gram = kept.where("kind = 2").select("row", "gram", F.col("n").alias("times")).join(strings.select("gram", "logp"), "gram")
     parts = (
         kept.where("kind = 0").select("row", "doc_id", "n_tokens", "n_known", "base", "score")
         .unionByName(of_token.select("row", F.col("times").alias("n_known"), (F.col("times") * F.log10(F.col("n") + 1.0)).alias("base")), allowMissingColumns=True)
-        .unionByName(of_gram.select("row", (F.col("times") * F.col("logp")).alias("score")), allowMissingColumns=True))
+        .unionByName(_rest(kept, strings, bits), allowMissingColumns=True))
     return parts.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.sum("base").alias("base_score"), F.sum("score").alias("score"),
     ).select("doc_id", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _log_counts(sent: tuple) -> dict[bytes, float]:
-    return dict(zip(sent[0].to_pylist(), np.log10(sent[1] + 1.0).tolist()))
+class _LogCounts:
+    """Known words and the logs of their counts."""
+
+    def __init__(self, sent: tuple[pa.Array, np.ndarray]):
+        self.words, n = sent
+        self.logs = np.append(np.log10(n + 1.0), np.nan)  # the last one: of words that aren't there
+        self.end = float(self.find(pa.array([END], pa.binary()))[0])
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Not a number for words that aren't there."""
+        return self.logs[pc.index_in(words, value_set=self.words).fill_null(len(self.logs) - 1).to_numpy()]
 
 
-def _scored(batch: pa.RecordBatch, lookup: Lookup, log_count: dict[bytes, float], unit: float, depth: int) -> Iterator[pa.RecordBatch]:
-    """A row per text (kind 0), and one per text and missing word (1) or string (2)."""
-    texts = [words_of(t) for t in batch.column("text").to_pylist()]
+def _part_of(grams: np.ndarray, bits: int) -> np.ndarray:
+    return ((grams.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.uint16)
+
+
+def _by_part(bits: int, grams: np.ndarray, *others: np.ndarray) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """Packed arrays, at most so many entries in each: parts, and the slices of each array."""
+    part = _part_of(grams, bits)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.unique(np.concatenate((np.flatnonzero(part[1:] != part[:-1]) + 1, np.arange(0, len(part) + 1, _PACK), [len(part)]))).tolist()
+    sorted_ = [x[order] for x in (grams, *others)]
+    for k in range(0, len(cuts) - 1, _SENT):
+        some = cuts[k : k + _SENT + 1]
+        yield part[some[:-1]].tolist(), [[x[a:b].tobytes() for a, b in zip(some, some[1:])] for x in sorted_]
+
+
+class _Missing:
+    """Strings of a task's texts that the broadcast table lacks: string, row and how often."""
+
+    def __init__(self, bits: int):
+        self.bits, self.size = bits, 0
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, grams: np.ndarray, rows: np.ndarray, times: np.ndarray) -> None:
+        self.held.append((grams, rows, times.astype(np.uint32)))
+        self.size += len(grams)
+
+    def sent(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            grams, rows, times = (np.concatenate(x) for x in zip(*self.held))
+            self.__init__(self.bits)
+            first = int(rows.min())
+            for part, (g, texts, numbers) in _by_part(self.bits, grams, (rows - first).astype(np.uint32), times):  # ids of one task
+                yield _rows(len(part), {"row": first, "kind": 2, "part": part, "grams": g, "texts": texts, "numbers": numbers})
+
+
+def _rest(kept: DataFrame, strings: DataFrame, bits: int) -> DataFrame:
+    """row and score: what the strings add that texts sent to their parts, a row per text and string."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _gathered(batches):
+            for part, (g, logp) in _by_part(bits, some.column("gram").to_numpy(), some.column("logp").to_numpy()):
+                yield _rows(len(part), {"kind": 0, "part": part, "grams": g, "numbers": logp}, _PARTS)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, now = _Part(), None
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("part", "kind", "row", "grams", "texts", "numbers")]
+            for number, kind, row, g, texts, numbers in zip(*columns):
+                if number != now:
+                    yield from part.found()
+                    part, now = _Part(), number
+                if kind == 0:  # before all of kind 2
+                    part.table.append((np.frombuffer(g, np.int64), np.frombuffer(numbers, np.float64)))
+                else:
+                    part.wanted.append((np.frombuffer(g, np.int64), row + np.frombuffer(texts, np.uint32).astype(np.int64), np.frombuffer(numbers, np.uint32)))
+            yield from part.found()
+
+    both = strings.select("gram", "logp").mapInArrow(send, _SENDS).unionByName(kept.where("kind = 2").select(*_PARTS.names))
+    return both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(join, "row long, score double")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of many rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size > _HELD:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+class _Part:
+    """A part of the table of strings, and what texts want of it."""
+
+    def __init__(self) -> None:
+        self.table: list[tuple[np.ndarray, np.ndarray]] = []
+        self.sorted: tuple[np.ndarray, np.ndarray] | None = None
+        self.wanted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        if self.wanted:
+            if self.sorted is None:
+                keys, logp = (np.concatenate(x) for x in zip(*self.table))
+                order = np.argsort(keys)
+                self.table, self.sorted = [], (keys[order], logp[order])
+            grams, rows, times = (np.concatenate(x) for x in zip(*self.wanted))
+            self.wanted = []
+            at = np.searchsorted(self.sorted[0], grams)  # all strings of all texts are there
+            yield pa.RecordBatch.from_pydict({"row": rows, "score": self.sorted[1][at] * times})
+
+
+def _scored(batch: pa.RecordBatch, lookup: Lookup, log_count: _LogCounts, missing: _Missing, unit: float, depth: int) -> Iterator[pa.RecordBatch]:
+    """A row per text (kind 0), and one per text and missing word (1); missing strings are held."""
+    joined, words, n_words = words_of(batch.column("text"))
     ids = batch.column("row").to_numpy()
-    n_tokens, n_known, base = [], [], []
-    missing: list[tuple[int, bytes, int]] = []
-    for row, words in zip(ids.tolist(), texts):
-        found = [x for w in words if (x := log_count.get(w)) is not None]
-        if len(found) < len(words):
-            missing += [(row, w, k) for w, k in Counter(w for w in words if w not in log_count).items()]
-        end = log_count.get(END)
-        if end is None:
-            missing.append((row, END, 1))
-        else:
-            found.append(end)
-        n_tokens.append(len(words) + 1)
-        n_known.append(len(found))
-        base.append(math.fsum(found) - (len(words) + 1) * unit)
-    grams, lengths = packed(texts, depth)
-    logp, absent = lookup.find(grams)
-    scores = np.add.reduceat(logp, np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)
-    nothing = {name: None for name in ("doc_id", "n_tokens", "n_known", "base", "score", "token", "gram", "n")}
-    yield _rows(batch.num_rows, {**nothing, "row": ids, "kind": 0, "doc_id": batch.column("doc_id"), "n_tokens": n_tokens,
-                                 "n_known": n_known, "base": base, "score": scores})
-    if missing:
-        row, token, n = zip(*missing)
-        yield _rows(len(missing), {**nothing, "row": row, "kind": 1, "token": token, "n": n})
-    if len(absent):
-        owner = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)[absent]
-        pair, n = np.unique(owner << np.uint64(56) | grams[absent].view(np.uint64), return_counts=True)
-        gram = (pair & np.uint64((1 << 56) - 1)).view(np.int64)
-        yield _rows(len(pair), {**nothing, "row": ids[(pair >> np.uint64(56)).astype(np.int64)], "kind": 2, "gram": gram, "n": n})
-
-
-_ARROW = pa.schema([(name, {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}[kind])
-                    for name, kind in (x.split() for x in _OUT.split(", "))])
-
-
-def _rows(size: int, values: dict) -> pa.RecordBatch:
+    found = words.dictionary_encode()
+    index = found.indices.to_numpy()
+    logs = log_count.find(found.dictionary)[index]
+    absent = np.isnan(logs)
+    ends = np.cumsum(n_words)
+    n_known = n_words - np.bincount(np.repeat(np.arange(len(ids)), n_words)[absent], minlength=len(ids))
+    plain = np.where(absent, 0.0, logs).tolist()
+    end = log_count.end
+    base = [math.fsum([*plain[a:b], 0.0 if math.isnan(end) else end]) - (b - a + 1) * unit for a, b in zip((ends - n_words).tolist(), ends.tolist())]
+    score = np.zeros(len(ids))
+    for at in range(0, len(ids), _TEXTS):  # bounds the arrays
+        grams, lengths = packed(joined[at : at + _TEXTS], depth)
+        logp, gone = lookup.find(grams)
+        score[at : at + _TEXTS] = np.add.reduceat(logp, np.cumsum(lengths) - lengths)
+        if len(gone):
+            owner = np.repeat(np.arange(len(lengths), dtype=np.uint64), lengths)[gone]
+            pair, n = np.unique(owner << np.uint64(56) | grams[gone].view(np.uint64), return_counts=True)
+            gram = (pair & np.uint64((1 << 56) - 1)).view(np.int64)
+            missing.add(gram, ids[at + (pair >> np.uint64(56)).astype(np.int64)], n)
+    yield _rows(len(ids), {"row": ids, "kind": 0, "doc_id": batch.column("doc_id"), "n_tokens": n_words + 1,
+                           "n_known": n_known + (not math.isnan(end)), "base": base, "score": score})
+    if absent.any():
+        owner = np.repeat(np.arange(len(ids)), n_words)[absent]
+        pair, n = np.unique(owner * len(found.dictionary) + index[absent], return_counts=True)
+        owner, word = np.divmod(pair, len(found.dictionary))
+        yield _rows(len(pair), {"row": ids[owner], "kind": 1, "token": found.dictionary.take(pa.array(word)), "n": n})
+    if math.isnan(end):
+        yield _rows(len(ids), {"row": ids, "kind": 1, "token": [END] * len(ids), "n": np.ones(len(ids), np.int64)})
+
+
+def _schema(columns: str) -> pa.Schema:
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.schema([(name, types[kind]) for name, kind in (x.split() for x in columns.split(", "))])
+
+
+_ARROW, _PARTS = _schema(_OUT), _schema(_SENDS)
+
+
+def _rows(size: int, values: dict, schema: pa.Schema = _ARROW) -> pa.RecordBatch:
+    """Rows of these columns; a plain number stands in all rows, other columns are null."""
+
     def column(field: pa.Field) -> pa.Array:
-        x = values[field.name]
+        x = values.get(field.name)
         if x is None:
             return pa.nulls(size, field.type)
         return pa.array(np.full(size, x) if isinstance(x, int) else x, field.type)
 
-    return pa.RecordBatch.from_arrays([column(f) for f in _ARROW], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([column(f) for f in schema], schema=schema)

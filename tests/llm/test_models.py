@@ -8,11 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import context_tree, quality, toxicity
-from ledgerloom.llm.common import in_fold
+from ledgerloom.llm.common import in_fold, saved
 from tests.llm.cases import awkward, frame, prose
 
 LABELS = "doc_id long, quality int, toxic int, note string"
@@ -87,6 +88,39 @@ def test_context_tree_without_training_rows(spark):
     assert context_tree.score_texts(frame(spark, [])).count() == 0
 
 
+def test_context_tree_sends_missing_strings_packed(spark, monkeypatch):
+    """Not a row per text and string: such rows cost most of the time of larger tables."""
+    kept = {}
+    monkeypatch.setattr(context_tree, "saved", lambda df, name, *a: kept.setdefault(name, saved(df, name, *a)))
+    monkeypatch.setattr(context_tree, "_PART_BITS", (2, 4), raising=False)
+    rows = [(i, prose(i, 200), "en", "a", 1) for i in range(100)]
+    found = context_tree.score_texts(frame(spark, rows).coalesce(2), grams=0)
+    assert kept["scored"].where("kind = 2").count() < kept["strings"].count() / 20
+    whole = context_tree.score_texts(frame(spark, rows))
+    assert {r.doc_id: round(r.score, 6) for r in found.collect()} == {r.doc_id: round(r.score, 6) for r in whole.collect()}
+
+
+def test_context_tree_words_and_nodes():
+    """Of whole batches as of single texts and strings."""
+    rng = random.Random(3)
+    texts = [bytes(rng.choice([*range(256), *b"  \t\nAZ"]) for _ in range(rng.randint(0, 30))) for _ in range(500)] + [None, b"", b" \n", bytes(range(256))]
+    plain = [(t or b"").lower().split() for t in texts]
+    joined, words, lengths = context_tree.words_of(pa.array([b"x", *texts], pa.binary()).slice(1))
+    assert joined == [b" ".join(w) + b"\n" for w in plain]
+    assert (words.to_pylist(), lengths.tolist()) == ([w for x in plain for w in x], [len(x) for x in plain])
+
+    grams, n = np.unique(context_tree.packed(joined, 3)[0], return_counts=True)
+    level, at = context_tree.decisions(grams, n, 3)
+    seen = defaultdict(lambda: [0, 0])
+    for gram, times, nodes in zip(grams.tolist(), n.tolist(), at.T):
+        *context, byte = gram.to_bytes(4, "big")
+        for i, node in enumerate(nodes):
+            code = (1 << i) | (byte >> (8 - i))
+            assert level.key[node] == int.from_bytes(bytes([code, *reversed(context)]), "big")
+            seen[int(level.key[node])][byte >> (7 - i) & 1] += times
+    assert [[int(k), [a, b]] for k, a, b in zip(level.key, level.n0, level.n1)] == [[k, v] for k, v in sorted(seen.items())]
+
+
 def test_log_gamma():
     x = np.array([0.5, 1.0, 1.5, 7.5, 1000.5, 1e9])
     assert context_tree.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-10, abs=1e-10)
